@@ -64,7 +64,7 @@ def bi_wire_after_mfa(wires: DataFrame) -> DataFrame:
     ).orderBy(F.desc("wire_timestamp"))
 
 
-_LEVEL_RANK = {"critical": 1, "high": 2, "medium": 3}
+
 
 
 def bi_risk_distribution(risk: DataFrame) -> DataFrame:

@@ -79,3 +79,65 @@ def _q(name: str, fn: Callable[[Inputs], DataFrame]):
 
 # --- BI reports -------------------------------------------------------------
 _q("bi_risk_distribution", lambda i: bi.bi_risk_distribution(i.risk))
+
+
+# --- Sources and silver -----------------------------------------------------
+_q("bronze_transactions", lambda i: i.bronze_tx)
+_q("bronze_login_logs", lambda i: i.bronze_logins)
+_q("silver_transactions", lambda i: i.silver_tx)
+_q("silver_login_logs", lambda i: i.silver_logins)
+
+
+def _quality(i: Inputs) -> DataFrame:
+    from riskweave.operators.quality import LOGIN_RULES, TRANSACTION_RULES, quality_report
+    return quality_report(i.bronze_tx, TRANSACTION_RULES, "transactions").unionByName(
+        quality_report(i.bronze_logins, LOGIN_RULES, "login_logs"))
+
+
+_q("quality_report", _quality)
+
+
+def _mask_card(i: Inputs) -> DataFrame:
+    from riskweave.functions.features import mask_card
+    return i.bronze_tx.select("transaction_id", "card_number",
+                              mask_card("card_number").alias("card_number_masked"))
+
+
+def _mask_ip(i: Inputs) -> DataFrame:
+    from riskweave.functions.features import mask_ip
+    return i.bronze_logins.select("login_id", "ip_address", mask_ip("ip_address").alias("ip_masked"))
+
+
+_q("mask_card", _mask_card)
+_q("mask_ip", _mask_ip)
+_q("amount_buckets", lambda i: silver.amount_buckets(i.silver_tx))
+
+
+def _table_counts(i: Inputs) -> DataFrame:
+    from riskweave.sources.writers import table_counts
+    return table_counts({"bronze_transactions": i.bronze_tx, "bronze_login_logs": i.bronze_logins,
+                         "silver_transactions": i.silver_tx, "silver_login_logs": i.silver_logins,
+                         "gold_user_session_risk": i.risk, "gold_wire_after_mfa_change": i.wires})
+
+
+_q("table_counts", _table_counts)
+
+# --- Gold ---------------------------------------------------------------------
+_q("session_join", lambda i: gold.session_join(i.silver_tx, i.silver_logins, strategy="plain"))
+_q("session_join_bucketed", lambda i: gold.session_join(i.silver_tx, i.silver_logins, strategy="bucketed"))
+_q("session_risk", lambda i: i.risk)
+_q("wire_after_mfa", lambda i: i.wires)
+_q("fraud_kpis", lambda i: kpis.fraud_kpis(i.risk))
+_q("risk_counts", lambda i: gold.risk_counts(i.risk))
+_q("risk_per_transaction", lambda i: gold.dedupe_per_transaction(i.risk))
+_q("latest_session", lambda i: gold.latest_session(i.silver_logins))
+
+# --- BI reports (remaining) -------------------------------------------------------
+_q("bi_false_positive_rate", lambda i: bi.bi_false_positive_rate(i.risk))
+_q("bi_account_takeover", lambda i: bi.bi_account_takeover(i.risk))
+_q("bi_wire_after_mfa", lambda i: bi.bi_wire_after_mfa(i.wires))
+_q("bi_top_risky_users", lambda i: bi.bi_top_risky_users(i.risk))
+_q("bi_bot_detection", lambda i: bi.bi_bot_detection(i.risk))
+_q("bi_cross_channel", lambda i: bi.bi_cross_channel(i.risk))
+_q("bi_cross_channel_family", lambda i: bi.bi_cross_channel_family(i.risk))
+_q("bi_impossible_travel", lambda i: bi.bi_impossible_travel(i.risk))

@@ -23,6 +23,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
