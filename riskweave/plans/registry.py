@@ -141,3 +141,66 @@ _q("bi_bot_detection", lambda i: bi.bi_bot_detection(i.risk))
 _q("bi_cross_channel", lambda i: bi.bi_cross_channel(i.risk))
 _q("bi_cross_channel_family", lambda i: bi.bi_cross_channel_family(i.risk))
 _q("bi_impossible_travel", lambda i: bi.bi_impossible_travel(i.risk))
+
+
+# --- Review queue ---------------------------------------------------------------
+from riskweave.operators import quality, triage as tr  # noqa: E402
+
+
+def _batch(i: Inputs, factors: str) -> DataFrame:
+    return tr.to_triage(gold.dedupe_per_transaction(i.risk), factors=factors,
+                        created_at=F.col("tx_timestamp"))
+
+
+def _triage0(i: Inputs) -> DataFrame:
+    """First sync (one-key factor form) into an empty queue."""
+    return i._get("triage0", lambda: tr.upsert(tr.empty_triage(i.spark), _batch(i, "min"), now=i.now))
+
+
+def _triage_decided(i: Inputs) -> DataFrame:
+    return i._get("triage_decided", lambda: tr.apply_decisions(_triage0(i), i.decisions, now=i.now))
+
+
+def _triage(i: Inputs) -> DataFrame:
+    """Second sync (object factor form) upserted over the decided queue."""
+    return i._get("triage", lambda: tr.upsert(_triage_decided(i), _batch(i, "object"), now=i.now))
+
+
+def _tags(i: Inputs) -> DataFrame:
+    t = _triage(i)
+    tags = tr.parse_factors("triggered_factors")
+    return t.select("transaction_id", "triggered_factors", F.array_join(tags, ",").alias("tags"),
+                    F.size(tags).alias("n_tags"))
+
+
+def _triage_validation(i: Inputs) -> DataFrame:
+    raw = i.risk.filter(F.col("automated_action").isin("YELLOW_FLAG", "BLOCK")).select(
+        "transaction_id", "user_id", F.col("amount").cast("double").alias("amount"), "risk_score",
+        "risk_level", "automated_action", F.lit(None).cast("string").alias("analyst_decision"))
+    v = quality.validate_triage(raw)
+    return v.select("transaction_id", F.array_join("violations", ",").alias("violations"), "is_valid")
+
+
+_q("flagged_extract", lambda i: tr.to_triage(i.risk, created_at=F.col("tx_timestamp")))
+_q("factors_object", lambda i: i.risk.select("transaction_id", "login_id",
+                                            tr.factors_object().alias("triggered_factors")))
+_q("factors_object_min", lambda i: i.risk.select("transaction_id", "login_id",
+                                                tr.factors_object_min().alias("triggered_factors")))
+_q("decision_validation", lambda i: quality.validate_decisions(i.decisions)
+   .select("transaction_id", "analyst_id", "decision", "is_valid"))
+_q("decision_apply", _triage_decided)
+_q("triage_upsert", _triage)
+_q("decision_outcome", lambda i: tr.decision_outcome(_triage0(i), i.decisions))
+_q("fraud_queue", lambda i: tr.fraud_queue(_triage(i), i.now))
+_q("queue_page", lambda i: tr.queue_page(_triage(i), i.now))
+_q("queue_stats", lambda i: tr.queue_stats(_triage(i), i.now))
+_q("queue_size", lambda i: tr.queue_size(_triage(i), i.now))
+_q("reviewed_page", lambda i: tr.reviewed_page(_triage(i)))
+_q("review_summary", lambda i: tr.review_summary(_triage(i)))
+_q("analyst_metrics", lambda i: tr.analyst_metrics(_triage(i)))
+_q("triage_summary", lambda i: tr.triage_summary(_triage(i)))
+_q("transaction_detail", lambda i: tr.transaction_detail(_triage(i), i.decisions))
+_q("missing_explanation", lambda i: tr.missing_explanation(_triage(i)))
+_q("triage_validation", _triage_validation)
+_q("session_table", lambda i: tr.session_table(i.bronze_logins, i.risk, i.now))
+_q("factor_tags", _tags)
