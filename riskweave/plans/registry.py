@@ -204,3 +204,55 @@ _q("missing_explanation", lambda i: tr.missing_explanation(_triage(i)))
 _q("triage_validation", _triage_validation)
 _q("session_table", lambda i: tr.session_table(i.bronze_logins, i.risk, i.now))
 _q("factor_tags", _tags)
+
+
+# --- Nine-factor scorer and narratives ------------------------------------------
+from riskweave.operators import narrative, scorer  # noqa: E402
+
+
+def _records(i: Inputs) -> DataFrame:
+    """Gold pairs with the scorer's extra fields and the gold signals/score."""
+    return i._get("records", lambda: gold.with_risk(scorer.scorer_records(i.silver_tx, i.silver_logins)))
+
+
+def _nine(i: Inputs) -> DataFrame:
+    s = scorer.score_frame(scorer.scorer_records(i.silver_tx, i.silver_logins))
+    return s.select("transaction_id", "login_id", "raw_score", "risk_score", "risk_level",
+                    "automated_action", F.size("factor_names").alias("n_factors"))
+
+
+def _expl_input(i: Inputs) -> DataFrame:
+    return narrative.explanation_input(gold.dedupe_per_transaction(_records(i)))
+
+
+def _explanations(i: Inputs) -> DataFrame:
+    return i._get("explanations", lambda: tr.apply_explanations(
+        _triage(i), narrative.assessment_long(_expl_input(i), i.now)))
+
+
+_q("impossible_travel", lambda i: scorer.impossible_travel(scorer.scorer_records(i.silver_tx, i.silver_logins)))
+_q("nine_factor_score", _nine)
+_q("triggered_factors", lambda i: scorer.score_frame(scorer.scorer_records(i.silver_tx, i.silver_logins))
+   .select("transaction_id", "login_id", scorer.triggered_json().alias("triggered_factors")))
+_q("factor_text", lambda i: narrative.factor_text(scorer.scorer_records(i.silver_tx, i.silver_logins))
+   .select("transaction_id", "login_id", "factor_text"))
+_q("assessment", lambda i: narrative.assessment(scorer.scorer_records(i.silver_tx, i.silver_logins), i.now)
+   .select("transaction_id", "login_id", "explanation"))
+_q("assessment_short", lambda i: narrative.assessment_triage(_triage(i), i.now)
+   .select("transaction_id", "explanation", "triggered_factors"))
+_q("assessment_notebook_model", lambda i: narrative.assessment_notebook_model(
+    scorer.scorer_records(i.silver_tx, i.silver_logins)).select("transaction_id", "login_id", "explanation"))
+_q("explanation_input", _expl_input)
+_q("assessment_long", lambda i: narrative.assessment_long(_expl_input(i), i.now)
+   .select("transaction_id", "explanation", "triggered_factors"))
+_q("factor_details", lambda i: narrative.factor_details(scorer.scorer_records(i.silver_tx, i.silver_logins))
+   .select("transaction_id", "login_id", F.array_join("factor_details", "\n").alias("factor_details")))
+_q("prompt_text", lambda i: narrative.prompt_text(scorer.scorer_records(i.silver_tx, i.silver_logins))
+   .select("transaction_id", "login_id", "prompt_text"))
+_q("assessment_fallback", lambda i: narrative.assessment_fallback(
+    scorer.scorer_records(i.silver_tx, i.silver_logins)).select("transaction_id", "login_id", "explanation"))
+_q("scored_transactions", lambda i: narrative.score_transactions(
+    scorer.scorer_records(i.silver_tx, i.silver_logins), i.now))
+_q("explanation_apply", lambda i: _explanations(i).select("transaction_id", "explanation", "triggered_factors"))
+_q("explanation_coverage", lambda i: tr.explanation_coverage(_explanations(i)))
+_q("explanation_preview", lambda i: tr.explanation_preview(_explanations(i)))
