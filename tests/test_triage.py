@@ -1,0 +1,118 @@
+"""Review queue: upsert, first-wins decisions, pending/expired, validation, factor parsing."""
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from riskweave.operators import quality, triage as tr
+from riskweave.sources.schemas import TRIAGE
+
+NOW = dt.datetime(2024, 1, 31, 0, 0, 0)
+H = dt.timedelta(hours=1)
+
+
+def _row(tid, score=50, level="HIGH", action="YELLOW_FLAG", created=NOW - H, decision=None, expires=None):
+    d = {f.name: None for f in TRIAGE.fields}
+    d.update(transaction_id=tid, user_id="U", amount=10.0, currency="USD", risk_score=score, risk_level=level,
+             automated_action=action, triggered_factors="{}", explanation="", geo_mismatch=False,
+             mfa_changed=False, bot_detected=False, analyst_decision=decision, created_at=created,
+             updated_at=created, expires_at=expires or created + 24 * H)
+    return tuple(d[f.name] for f in TRIAGE.fields)
+
+
+def _triage(spark, rows):
+    return spark.createDataFrame(rows, TRIAGE)
+
+
+def test_upsert_insert_update_and_survivors(spark):
+    target = _triage(spark, [_row("a", decision="RELEASE"), _row("b")])
+    source = spark.createDataFrame(
+        [("a", "U", 20.0, 90, "CRITICAL", "BLOCK", '["x"]'), ("c", "U", 5.0, 45, "HIGH", "YELLOW_FLAG", None)],
+        "transaction_id string, user_id string, amount double, risk_score int, risk_level string, "
+        "automated_action string, triggered_factors string")
+    out = {r.transaction_id: r for r in tr.upsert(target, source, now=NOW).collect()}
+    assert set(out) == {"a", "b", "c"}
+    a = out["a"]
+    assert (a.risk_score, a.risk_level, a.automated_action, a.triggered_factors) == (90, "CRITICAL", "BLOCK", '["x"]')
+    assert a.analyst_decision == "RELEASE" and a.amount == 10.0 and a.updated_at == NOW
+    assert a.created_at == NOW - H                       # creation time survives
+    assert out["b"].updated_at == NOW - H                 # untouched row unchanged
+    c = out["c"]
+    assert c.currency == "USD" and c.triggered_factors == "[]" and c.created_at == NOW
+    assert c.expires_at == NOW + 24 * H and c.geo_mismatch is False
+
+
+def test_upsert_replay_is_idempotent(spark):
+    src = spark.createDataFrame([("a", "U", 1.0, 50, "HIGH", "YELLOW_FLAG")],
+                                "transaction_id string, user_id string, amount double, risk_score int, "
+                                "risk_level string, automated_action string")
+    once = tr.upsert(tr.empty_triage(spark), src, now=NOW)
+    twice = tr.upsert(once, src, now=NOW)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_first_decision_wins(spark):
+    t = _triage(spark, [_row("a"), _row("b", decision="APPROVE")])
+    d = spark.createDataFrame([
+        ("a", "an1", "ESCALATE", "n1", NOW - H), ("a", "an2", "RELEASE", None, NOW),
+        ("b", "an3", "RELEASE", None, NOW), ("z", "an4", "APPROVE", None, NOW), ("a", "an5", "MAYBE", None, NOW)],
+        "transaction_id string, analyst_id string, decision string, notes string, decided_at timestamp")
+    applied = {r.transaction_id: r for r in tr.apply_decisions(t, d, now=NOW).collect()}
+    assert (applied["a"].analyst_id, applied["a"].analyst_decision, applied["a"].reviewed_at) == ("an1", "ESCALATE", NOW - H)
+    assert applied["b"].analyst_decision == "APPROVE" and applied["b"].analyst_id is None
+    status = sorted((r.analyst_id, r.status, r.previous_action) for r in tr.decision_outcome(t, d).collect())
+    assert status == [("an1", "applied", "YELLOW_FLAG"), ("an2", "superseded", None),
+                      ("an3", "already_reviewed", None), ("an4", "not_found", None), ("an5", "invalid", None)]
+
+
+def test_pending_excludes_expired_decided_and_unflagged(spark):
+    t = _triage(spark, [_row("ok"), _row("old", created=NOW - 30 * H), _row("done", decision="RELEASE"),
+                        _row("low", score=10, level="LOW", action="ALLOW")])
+    assert [r.transaction_id for r in tr.pending(t, NOW).collect()] == ["ok"]
+    st = tr.queue_stats(t, NOW).first()
+    assert (st.total_pending, st.yellow_flagged, st.blocked, st.oldest_age_minutes) == (1, 1, 0, 60.0)
+
+
+def test_queue_stats_empty_gives_zeros(spark):
+    st = tr.queue_stats(tr.empty_triage(spark), NOW).first()
+    assert (st.total_pending, st.avg_risk_score, st.oldest_age_minutes) == (0, 0.0, 0.0)
+
+
+def test_queue_page_order_filter_and_paging(spark):
+    t = _triage(spark, [_row("a", score=50), _row("b", score=90, level="CRITICAL", action="BLOCK"),
+                        _row("c", score=50, created=NOW - 2 * H)])
+    ids = [r.transaction_id for r in tr.queue_page(t, NOW).collect()]
+    assert ids == ["b", "c", "a"]
+    assert [r.transaction_id for r in tr.queue_page(t, NOW, risk_level="critical").collect()] == ["b"]
+    assert [r.transaction_id for r in tr.queue_page(t, NOW, limit=1, offset=1).collect()] == ["c"]
+    assert len(tr.queue_page(t, NOW, limit=10_000).collect()) == 3
+
+
+def test_validation_rejects_lowercase_and_out_of_range(spark):
+    df = spark.createDataFrame([("a", "U", 1.0, 150, "critical", "BLOCK", None), ("b", "U", 1.0, 50, "HIGH", "YELLOW_FLAG", None)],
+                               "transaction_id string, user_id string, amount double, risk_score int, "
+                               "risk_level string, automated_action string, analyst_decision string")
+    got = {r.transaction_id: (r.is_valid, r.violations) for r in quality.validate_triage(df).collect()}
+    assert got == {"a": (False, ["risk_score_range", "risk_level_invalid"]), "b": (True, [])}
+
+
+def test_to_triage_caps_and_uppercases(spark):
+    risk = spark.createDataFrame(
+        [("t", "U", 20000.0, "wire_transfer", "wire", "web", "Lagos", "NG", None, None, None, None, None, None, None, 150, "critical", "BLOCK", NOW)],
+        "transaction_id string, user_id string, amount double, transaction_type string, merchant_category string, "
+        "tx_channel string, tx_city string, tx_country string, login_city string, login_country string, "
+        "geo_mismatch boolean, mfa_then_wire boolean, is_bot_typing boolean, is_off_hours boolean, "
+        "mfa_change_flag boolean, risk_score int, risk_level string, automated_action string, tx_timestamp timestamp")
+    r = tr.to_triage(risk, created_at=F.col("tx_timestamp")).first()
+    assert (r.risk_score, r.risk_level, r.login_city, r.mfa_changed, r.triggered_factors) == (100, "CRITICAL", "", False, "{}")
+
+
+def test_factor_object_drops_nulls(spark):
+    df = spark.createDataFrame([(True, None, False, True)],
+                               "geo_mismatch boolean, mfa_then_wire boolean, is_bot_typing boolean, is_off_hours boolean")
+    assert df.select(tr.factors_object()).first()[0] == '{"geo_mismatch":true,"bot_detected":false,"off_hours":true}'
+
+
+def test_parse_factors_forms(spark):
+    rows = [('["a", "b"]',), ('{"geo_mismatch": true, "bot_detected": false}',), ("{}",), ("[]",), (None,), ("not json",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "f string").select(tr.parse_factors("f")).collect()]
+    assert got == [["a", "b"], ["geo_mismatch"], [], [], [], []]
