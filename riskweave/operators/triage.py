@@ -78,19 +78,18 @@ def to_triage(risk: DataFrame, factors: str = "object", created_at: Column | Non
 
 def with_triage_defaults(df: DataFrame, now=None, ttl: str = C.TRIAGE_TTL) -> DataFrame:
     """Fill the table defaults and complete the triage column set."""
-    n = _now(now)
     present = set(df.columns)
-    col = lambda c: F.col(c) if c in present else F.lit(None)
-    out = df.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in TRIAGE.fields])
-    out = out.withColumns({
-        "currency": F.coalesce("currency", F.lit(C.DEFAULT_CURRENCY)),
-        "triggered_factors": F.coalesce("triggered_factors", F.lit("[]")),
-        "geo_mismatch": F.coalesce("geo_mismatch", F.lit(False)),
-        "mfa_changed": F.coalesce("mfa_changed", F.lit(False)),
-        "bot_detected": F.coalesce("bot_detected", F.lit(False)),
-        "created_at": F.coalesce("created_at", n),
-        "updated_at": F.coalesce("updated_at", n),
-    })
+    df = df.withColumn("__now", _now(now))
+    defaults = {"currency": f"'{C.DEFAULT_CURRENCY}'", "triggered_factors": "'[]'", "geo_mismatch": "false",
+                "mfa_changed": "false", "bot_detected": "false", "created_at": "__now", "updated_at": "__now"}
+    exprs = []
+    for f in TRIAGE.fields:
+        v = f"CAST(`{f.name}` AS {f.dataType.simpleString()})" if f.name in present else \
+            f"CAST(NULL AS {f.dataType.simpleString()})"
+        if f.name in defaults:
+            v = f"coalesce({v}, {defaults[f.name]})"
+        exprs.append(f"{v} AS `{f.name}`")
+    out = df.selectExpr(*exprs)
     return out.withColumn("expires_at", F.coalesce(
         "expires_at", F.col("created_at") + F.expr(f"INTERVAL {ttl}")))
 
@@ -117,24 +116,22 @@ def upsert(target: DataFrame, source: DataFrame, key: str = "transaction_id",
     """
     n = _now(now)
     src = with_triage_defaults(source, n, ttl)
-    t = target.select(*[F.col(c).alias(f"t__{c}") for c in TRIAGE_COLUMNS], F.lit(True).alias("__t"))
-    s = src.select(*[F.col(c).alias(f"s__{c}") for c in TRIAGE_COLUMNS], F.lit(True).alias("__s"))
-    j = t.join(s, F.col(f"t__{key}") == F.col(f"s__{key}"), "full")
-    both = F.col("__t").isNotNull() & F.col("__s").isNotNull()
-    in_t = F.col("__t").isNotNull()
-    cols = []
+    t = target.selectExpr(*[f"`{c}` AS `t__{c}`" for c in TRIAGE_COLUMNS], "true AS __t")
+    s = src.selectExpr(*[f"`{c}` AS `s__{c}`" for c in TRIAGE_COLUMNS], "true AS __s")
+    j = t.join(s, F.col(f"t__{key}") == F.col(f"s__{key}"), "full").withColumn("__now", n)
+    both = "__t IS NOT NULL AND __s IS NOT NULL"
+    exprs = []
     for c in TRIAGE_COLUMNS:
-        tc, sc = F.col(f"t__{c}"), F.col(f"s__{c}")
         if c == key:
-            v = F.coalesce(tc, sc)
+            e = f"coalesce(`t__{c}`, `s__{c}`)"
         elif c in update_cols:
-            v = F.when(both, sc).when(in_t, tc).otherwise(sc)
+            e = f"CASE WHEN {both} THEN `s__{c}` WHEN __t IS NOT NULL THEN `t__{c}` ELSE `s__{c}` END"
         elif c == "updated_at":
-            v = F.when(both, n).when(in_t, tc).otherwise(sc)
+            e = f"CASE WHEN {both} THEN __now WHEN __t IS NOT NULL THEN `t__{c}` ELSE `s__{c}` END"
         else:
-            v = F.when(in_t, tc).otherwise(sc)
-        cols.append(v.alias(c))
-    return j.select(*cols)
+            e = f"CASE WHEN __t IS NOT NULL THEN `t__{c}` ELSE `s__{c}` END"
+        exprs.append(f"{e} AS `{c}`")
+    return j.selectExpr(*exprs)
 
 
 # ---------------------------------------------------------------------------

@@ -73,8 +73,20 @@ class Inputs:
         return self._get("wires", lambda: gold.wire_after_mfa(self.silver_tx, self.silver_logins))
 
 
+_INPUTS: dict[tuple[int, str], Inputs] = {}
+
+
+def inputs_for(spark: SparkSession, sf_dir: str) -> Inputs:
+    """Layers are lazy and immutable, so one set per (session, directory) is
+    shared by every query instead of rebuilding the same plans."""
+    key = (id(spark), sf_dir)
+    if key not in _INPUTS or _INPUTS[key].spark is not spark:
+        _INPUTS[key] = Inputs(spark, sf_dir)
+    return _INPUTS[key]
+
+
 def _q(name: str, fn: Callable[[Inputs], DataFrame]):
-    QUERIES[name] = lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
+    QUERIES[name] = lambda spark, sf_dir: fn(inputs_for(spark, sf_dir))
 
 
 # --- BI reports -------------------------------------------------------------

@@ -65,106 +65,89 @@ def fixture_now() -> Column:
     return F.lit(FIXTURE_NOW).cast("timestamp")
 
 
-def _pick(values: list, idx: Column) -> Column:
-    """values[idx] for a 0-based integer column, as a literal array lookup."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "\\'") + "'"
+    return repr(v)
 
 
-def _struct_table(rows: list, names: list[str]) -> Column:
-    return F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])
+def _pick(values: list, idx: str) -> str:
+    """SQL text of values[idx] for a 0-based integer expression."""
+    return f"element_at(array({', '.join(_sql_lit(v) for v in values)}), CAST(({idx}) + 1 AS INT))"
 
 
-_CITY_ARR = lambda: _struct_table(CITIES, ["ci", "city", "country", "lat", "lon"])
-_MERCH_ARR = lambda: _struct_table(MERCHANTS, ["mi", "merchant_id", "merchant_name",
-                                               "merchant_category"])
+def _table_lookup(rows: list, names: list[str], idx: str) -> str:
+    """SQL text of a struct picked from a literal table by a 0-based index."""
+    structs = ", ".join("named_struct(" + ", ".join(f"'{n}', {_sql_lit(v)}" for n, v in zip(names, r)) + ")"
+                        for r in rows)
+    return f"element_at(array({structs}), CAST(({idx}) + 1 AS INT))"
 
 
-def _pad(c: Column, n: int) -> Column:
-    return F.lpad(c.cast("string"), n, "0")
+_CITY_NAMES = ["ci", "city", "country", "lat", "lon"]
+_MERCH_NAMES = ["mi", "merchant_id", "merchant_name", "merchant_category"]
 
 
 def events_base(events: DataFrame) -> DataFrame:
     """Fold five users into one and pull the integer ``k`` out of props."""
-    return events.select(
-        "event_id",
-        ((F.col("user_id") - F.col("user_id") % 5) / 5).cast("bigint").alias("user_id"),
-        "ts", "event_type", "value",
-        F.regexp_extract("props", r"([0-9]+)", 1).cast("bigint").alias("k"),
-    )
+    return events.selectExpr(
+        "event_id", "CAST((user_id - user_id % 5) / 5 AS BIGINT) AS user_id", "ts", "event_type", "value",
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k")
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
-    e = events_base(events).filter(F.col("event_type").isin(*TX_EVENT_TYPES))
-    risky = (F.col("k") >= 80) | (F.col("user_id") % 10 == 1)
-    city_idx = F.when(risky, F.col("event_id") % 12).otherwise(F.col("user_id") % 5)
-    merch_idx = F.when(risky, 4 + F.col("event_id") % 11).otherwise(F.col("event_id") % 8)
-    e = e.select("*", F.element_at(_CITY_ARR(), (city_idx + 1).cast("int")).alias("c"),
-                 F.element_at(_MERCH_ARR(), (merch_idx + 1).cast("int")).alias("m"),
-                 risky.alias("risky"))
-    amount = F.round(F.col("value") * 100)
-    return e.select(
-        F.concat(F.lit("TXN-"), _pad(F.col("event_id"), 12)).alias("transaction_id"),
-        F.when(F.col("event_id") % 101 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("USR-"), _pad(F.col("user_id"), 6))).alias("user_id"),
-        F.concat(F.lit("4000-1234-5678-"), _pad((F.col("user_id") * 7919) % 10000, 4)).alias("card_number"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.when(F.col("event_id") % 97 == 0, -amount).otherwise(amount).alias("amount"),
-        F.lit("USD").alias("currency"),
-        F.col("m.merchant_id"), F.col("m.merchant_name"), F.col("m.merchant_category"),
-        _pick(TX_TYPES, F.col("event_id") % 6).alias("transaction_type"),
-        _pick(CHANNELS, F.col("event_id") % 5).alias("channel"),
-        F.col("c.city"), F.col("c.country"),
-        F.col("c.lat").cast("double").alias("latitude"),
-        F.col("c.lon").cast("double").alias("longitude"),
-        _pick(DEVICES, F.col("event_id") % 6).alias("device_type"),
-        (F.col("c.country") != "US").alias("is_international"),
-        (F.col("risky") & (F.col("event_id") % 3 == 0)).alias("is_flagged"),
-    )
+    e = events_base(events).where(f"event_type IN {TX_EVENT_TYPES}")
+    risky = "(k >= 80 OR user_id % 10 = 1)"
+    e = e.selectExpr(
+        "*", f"{risky} AS risky",
+        _table_lookup(CITIES, _CITY_NAMES, f"CASE WHEN {risky} THEN event_id % 12 ELSE user_id % 5 END") + " AS c",
+        _table_lookup(MERCHANTS, _MERCH_NAMES, f"CASE WHEN {risky} THEN 4 + event_id % 11 ELSE event_id % 8 END") + " AS m")
+    return e.selectExpr(
+        "concat('TXN-', lpad(CAST(event_id AS STRING), 12, '0')) AS transaction_id",
+        "CASE WHEN event_id % 101 = 0 THEN CAST(NULL AS STRING) "
+        "ELSE concat('USR-', lpad(CAST(user_id AS STRING), 6, '0')) END AS user_id",
+        "concat('4000-1234-5678-', lpad(CAST((user_id * 7919) % 10000 AS STRING), 4, '0')) AS card_number",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
+        "CASE WHEN event_id % 97 = 0 THEN -round(value * 100) ELSE round(value * 100) END AS amount",
+        "'USD' AS currency", "m.merchant_id", "m.merchant_name", "m.merchant_category",
+        _pick(TX_TYPES, "event_id % 6") + " AS transaction_type",
+        _pick(CHANNELS, "event_id % 5") + " AS channel",
+        "c.city", "c.country", "CAST(c.lat AS DOUBLE) AS latitude", "CAST(c.lon AS DOUBLE) AS longitude",
+        _pick(DEVICES, "event_id % 6") + " AS device_type",
+        "c.country <> 'US' AS is_international",
+        "risky AND event_id % 3 = 0 AS is_flagged")
 
 
 def logins_from_events(events: DataFrame) -> DataFrame:
-    e = events_base(events).filter(F.col("event_type").isin(*LOGIN_EVENT_TYPES))
-    risky = (F.col("k") >= 70) | (F.col("user_id") % 10 == 1)
-    city_idx = F.when(risky, 5 + F.col("event_id") % 7).otherwise(F.col("user_id") % 5)
-    e = e.select("*", F.element_at(_CITY_ARR(), (city_idx + 1).cast("int")).alias("c"),
-                 risky.alias("risky"))
-    ip = F.concat(
-        (10 + F.col("c.ci")).cast("string"), F.lit("."),
-        (1 + F.col("event_id") % 254).cast("string"), F.lit("."),
-        (1 + F.col("user_id") % 254).cast("string"), F.lit("."),
-        (1 + F.col("k")).cast("string"))
-    signup = F.col("event_type") == "signup"
-    return e.select(
-        F.concat(F.lit("LOG-"), _pad(F.col("event_id"), 12)).alias("login_id"),
-        F.concat(F.lit("USR-"), _pad(F.col("user_id"), 6)).alias("user_id"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        ip.alias("ip_address"),
-        F.col("c.city"), F.col("c.country"),
-        F.col("c.lat").cast("double").alias("latitude"),
-        F.col("c.lon").cast("double").alias("longitude"),
-        _pick(DEVICES, F.col("event_id") % 6).alias("device_type"),
-        _pick(USER_AGENTS, F.col("event_id") % 4).alias("user_agent"),
-        signup.alias("login_successful"),
-        F.when(F.col("event_type") == "error", F.col("k") % 6).otherwise(0)
-         .cast("int").alias("failed_attempts_before_success"),
-        (F.col("k") % 4 == 0).alias("mfa_change_flag"),
-        _pick(MFA_METHODS, F.col("event_id") % 4).alias("mfa_method"),
-        (20 + (F.col("event_id") * 7 + F.col("k")) % 160).cast("double").alias("typing_speed_ms"),
-        F.when(signup, (1 + F.col("event_id") % 120).cast("double")).otherwise(F.lit(0.0))
-         .alias("session_duration_min"),
-        F.col("risky").alias("is_suspicious"),
-    )
+    e = events_base(events).where(f"event_type IN {LOGIN_EVENT_TYPES}")
+    risky = "(k >= 70 OR user_id % 10 = 1)"
+    e = e.selectExpr(
+        "*", f"{risky} AS risky",
+        _table_lookup(CITIES, _CITY_NAMES, f"CASE WHEN {risky} THEN 5 + event_id % 7 ELSE user_id % 5 END") + " AS c")
+    return e.selectExpr(
+        "concat('LOG-', lpad(CAST(event_id AS STRING), 12, '0')) AS login_id",
+        "concat('USR-', lpad(CAST(user_id AS STRING), 6, '0')) AS user_id",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
+        "concat(CAST(10 + c.ci AS STRING), '.', CAST(1 + event_id % 254 AS STRING), '.', "
+        "CAST(1 + user_id % 254 AS STRING), '.', CAST(1 + k AS STRING)) AS ip_address",
+        "c.city", "c.country", "CAST(c.lat AS DOUBLE) AS latitude", "CAST(c.lon AS DOUBLE) AS longitude",
+        _pick(DEVICES, "event_id % 6") + " AS device_type",
+        _pick(USER_AGENTS, "event_id % 4") + " AS user_agent",
+        "event_type = 'signup' AS login_successful",
+        "CAST(CASE WHEN event_type = 'error' THEN k % 6 ELSE 0 END AS INT) AS failed_attempts_before_success",
+        "k % 4 = 0 AS mfa_change_flag",
+        _pick(MFA_METHODS, "event_id % 4") + " AS mfa_method",
+        "CAST(20 + (event_id * 7 + k) % 160 AS DOUBLE) AS typing_speed_ms",
+        "CASE WHEN event_type = 'signup' THEN CAST(1 + event_id % 120 AS DOUBLE) ELSE 0.0 END AS session_duration_min",
+        "risky AS is_suspicious")
 
 
 def decisions_from_events(events: DataFrame) -> DataFrame:
-    e = events.filter(F.col("event_id") % 3 == 0)
-    return e.select(
-        F.concat(F.lit("TXN-"), _pad(F.col("event_id"), 12)).alias("transaction_id"),
-        F.concat(F.lit("analyst_"), (F.col("event_id") % 4).cast("string")).alias("analyst_id"),
-        _pick(DECISION_VALUES, F.col("event_id") % 5).alias("decision"),
-        F.when(F.col("event_id") % 5 == 2, F.lit("needs second look")).alias("notes"),
-        (F.col("ts").cast("timestamp") + F.expr("INTERVAL 30 MINUTES")).alias("decided_at"),
-    )
+    return events.where("event_id % 3 = 0").selectExpr(
+        "concat('TXN-', lpad(CAST(event_id AS STRING), 12, '0')) AS transaction_id",
+        "concat('analyst_', CAST(event_id % 4 AS STRING)) AS analyst_id",
+        _pick(DECISION_VALUES, "event_id % 5") + " AS decision",
+        "CASE WHEN event_id % 5 = 2 THEN 'needs second look' END AS notes",
+        "CAST(ts AS TIMESTAMP) + INTERVAL 30 MINUTES AS decided_at")
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
