@@ -52,11 +52,13 @@ def blank_nulls(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def to_triage(risk: DataFrame, factors: str = "object", created_at: Column | None = None,
-              real_merchant_name: bool = False) -> DataFrame:
+              real_merchant_name: bool = False, limit: int | None = None) -> DataFrame:
     """Flagged pairs in the triage layout.  Score capped to 0-100 and level upper
     case (the queue's constraints); text blanks and boolean defaults as the sync
     jobs write them.  ``merchant_name`` carries the category unless
-    ``real_merchant_name`` (the extract copies category into name)."""
+    ``real_merchant_name`` (the extract copies category into name).  ``limit``
+    caps one sync batch; it is taken in a fixed order (highest score first) so
+    repeated batches are reproducible."""
     fac = factors_object() if factors == "object" else factors_object_min()
     merchant = F.col("merchant_name") if real_merchant_name else F.col("merchant_category")
     out = risk.filter(fx.is_flagged_action()).select(
@@ -72,8 +74,11 @@ def to_triage(risk: DataFrame, factors: str = "object", created_at: Column | Non
         F.coalesce("is_bot_typing", F.lit(False)).alias("bot_detected"),
         (created_at if created_at is not None else F.lit(None).cast("timestamp")).alias("created_at"),
     )
-    return blank_nulls(out, ["merchant_name", "channel", "tx_city", "tx_country",
-                             "login_city", "login_country"])
+    out = blank_nulls(out, ["merchant_name", "channel", "tx_city", "tx_country",
+                            "login_city", "login_country"])
+    if limit is not None:
+        out = out.orderBy(F.desc("risk_score"), "transaction_id").limit(int(limit))
+    return out
 
 
 def with_triage_defaults(df: DataFrame, now=None, ttl: str = C.TRIAGE_TTL) -> DataFrame:

@@ -20,6 +20,18 @@ from riskweave.sources.writers import snapshot_read, snapshot_write, write_table
 from riskweave.sources.schemas import TRIAGE
 
 
+# Named tables of the batch run: layer and description (table comments).
+DATASETS = {
+    "bronze_transactions": ("bronze", "Raw transaction data ingested from CSV"),
+    "bronze_login_logs": ("bronze", "Raw login log data ingested from CSV"),
+    "silver_transactions": ("silver", "Cleaned transactions with masked PII and derived features"),
+    "silver_login_logs": ("silver", "Cleaned login logs with masked IP and anomaly features"),
+    "gold_user_session_risk": ("gold", "Transactions paired with logins in the hour before, scored for fraud risk"),
+    "gold_fraud_kpis": ("gold", "Hourly fraud detection KPIs"),
+    "gold_wire_after_mfa_change": ("gold", "Wire transfers over 10,000 within 24 hours after an MFA change"),
+}
+
+
 def run_batch(spark: SparkSession, bronze_tx: DataFrame, bronze_logins: DataFrame, root: str,
               now=None, strategy: str = "bucketed") -> dict[str, str]:
     paths = {k: os.path.join(root, k) for k in (
