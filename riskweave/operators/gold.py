@@ -4,7 +4,7 @@ the MFA-change-then-wire join, and per-transaction / per-user reductions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave import config as C
@@ -95,13 +95,13 @@ def wire_after_mfa(tx: DataFrame, logins: DataFrame, window: str = C.MFA_WIRE_WI
 
 def dedupe_per_transaction(risk: DataFrame) -> DataFrame:
     """One row per transaction: highest score, then latest login, then largest
-    login id.  A top-1 aggregate (``max_by`` over an ordering struct) combines
-    map-side, so a transaction with a huge fan-out never gathers its pairs in
-    one place."""
-    cols = [c for c in risk.columns if c != "transaction_id"]
-    order = F.struct("risk_score", "login_timestamp", "login_id")
-    best = F.max_by(F.struct(*cols), order).alias("__best")
-    return risk.groupBy("transaction_id").agg(best).select("transaction_id", "__best.*").select(*risk.columns)
+    login id.  ``row_number() == 1`` is planned with a window group limit: each
+    map task keeps only its best row per transaction before the shuffle
+    (partial top-1) and the final top-1 runs after it, so a transaction with a
+    huge fan-out never moves or buffers all of its pairs."""
+    w = Window.partitionBy("transaction_id").orderBy(
+        F.desc("risk_score"), F.desc_nulls_last("login_timestamp"), F.desc_nulls_last("login_id"))
+    return risk.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
 def latest_session(logins: DataFrame) -> DataFrame:
