@@ -21,6 +21,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    # Broadcast only on a measured size: no plan-time broadcast from estimates;
+    # AQE turns a join into a broadcast when the materialised side is small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -56,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name shared storage when running on a cluster")
     key = id(spark.sparkContext)
     if key not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="riskweave-ckpt-")

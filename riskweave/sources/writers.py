@@ -58,37 +58,67 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Versioned snapshots (a keyed table without MERGE support)
 # ---------------------------------------------------------------------------
+# Layout: <root>/v=<000000000001>/part-*.parquet + _SUCCESS.  A version is
+# visible once its job committed (_SUCCESS written); readers take the highest
+# committed version.  Nothing is overwritten in place, so a crash at any point
+# leaves the previous version readable, and a plan may read version n while
+# writing n + 1.  Listing uses the Hadoop FileSystem of the path (HDFS, object
+# stores, local files alike); only directory names are read on the driver.
 
-_POINTER = "_CURRENT"
+_VERSION_PREFIX = "v="
 
 
-def snapshot_write(df: DataFrame, root: str, version: str | None = None,
+def _fs_and_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed version numbers under ``root``, ascending."""
+    fs, p, jvm = _fs_and_path(spark, root)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(_VERSION_PREFIX) and name[len(_VERSION_PREFIX):].isdigit():
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[len(_VERSION_PREFIX):]))
+    return sorted(out)
+
+
+def _version_path(root: str, version: int) -> str:
+    return os.path.join(root, f"{_VERSION_PREFIX}{version:012d}")
+
+
+def snapshot_current(spark: SparkSession, root: str) -> str | None:
+    versions = snapshot_versions(spark, root)
+    return _version_path(root, versions[-1]) if versions else None
+
+
+def snapshot_current_version(spark: SparkSession, root: str) -> int:
+    versions = snapshot_versions(spark, root)
+    return versions[-1] if versions else 0
+
+
+def snapshot_write(df: DataFrame, root: str, version: int | None = None,
                    buckets: int | None = None, key: str | None = None) -> str:
-    """Write ``df`` as a new version directory under ``root`` and move the
-    pointer to it.  Readers of the previous version are never disturbed, and
-    a plan may read the current version while writing the next one.
+    """Write ``df`` as a new version under ``root`` (default: current + 1).
 
     ``buckets``/``key``: repartition by the key before writing, so each file
     holds a hash range of keys and the next upsert's join reads clustered data.
     """
-    version = version or uuid.uuid4().hex
-    path = os.path.join(root, f"v={version}")
+    spark = df.sparkSession
+    if version is None:
+        version = snapshot_current_version(spark, root) + 1
+    path = _version_path(root, version)
     if buckets and key:
         df = df.repartition(buckets, key).sortWithinPartitions(key)
     df.write.mode("overwrite").parquet(path)
-    _write_pointer(df.sparkSession, root, path)
     return path
 
 
-def snapshot_current(spark: SparkSession, root: str) -> str | None:
-    p = os.path.join(root, _POINTER)
-    try:
-        rows = spark.read.text(p).collect()  # a one-line pointer file, not data
-    except Exception:  # noqa: BLE001 - no snapshot yet
-        return None
-    return rows[0][0] if rows else None
-
-
 def snapshot_read(spark: SparkSession, root: str, schema=None) -> DataFrame:
     cur = snapshot_current(spark, root)
     if cur is None:
@@ -96,8 +126,3 @@ def snapshot_read(spark: SparkSession, root: str, schema=None) -> DataFrame:
             raise FileNotFoundError(f"no snapshot under {root}")
         return spark.createDataFrame([], schema)
     return spark.read.parquet(cur)
-
-
-def _write_pointer(spark: SparkSession, root: str, path: str) -> None:
-    spark.createDataFrame([(path,)], "value string").coalesce(1).write.mode("overwrite") \
-         .text(os.path.join(root, _POINTER))

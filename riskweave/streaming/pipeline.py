@@ -15,8 +15,6 @@ Checkpoints and snapshots go under the shared root named by the session's
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +22,7 @@ from pyspark.sql import types as T
 from riskweave import config as C
 from riskweave.operators import gold, triage as tr
 from riskweave.sources import schemas
-from riskweave.sources.writers import snapshot_current, snapshot_read
+from riskweave.sources.writers import snapshot_current_version, snapshot_read, snapshot_write
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
@@ -115,31 +113,21 @@ def dedupe_stream(df: DataFrame, key: str = "transaction_id", ts: str = "timesta
 class TriageSink:
     """``foreachBatch`` sink: dedupe the batch per transaction, lay it out as
     queue rows and upsert it into the current snapshot, writing version
-    ``batch=<id>``.  A batch id at or below the current version is skipped, so
-    a replay after a failure changes nothing."""
+    ``batch_id + 1``.  A batch whose version is already committed is skipped,
+    so a replay after a failure changes nothing.  One writer owns a root."""
 
     def __init__(self, root: str, now=None, factors: str = "object"):
         self.root, self.now, self.factors = root, now, factors
 
-    @staticmethod
-    def _version(path: str | None) -> int:
-        if not path:
-            return -1
-        base = os.path.basename(path.rstrip("/"))
-        prefix = "v=batch"
-        return int(base[len(prefix):]) if base.startswith(prefix) else -1
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cur = snapshot_current(spark, self.root)
-        if self._version(cur) >= batch_id:
+        version = batch_id + 1
+        if snapshot_current_version(spark, self.root) >= version:
             return
         src = tr.to_triage(gold.dedupe_per_transaction(batch), factors=self.factors,
                            created_at=F.col("tx_timestamp"))
         target = snapshot_read(spark, self.root, schema=schemas.TRIAGE)
-        merged = tr.upsert(target, src, now=self.now)
-        from riskweave.sources.writers import snapshot_write
-        snapshot_write(merged, self.root, version=f"batch{batch_id:012d}")
+        snapshot_write(tr.upsert(target, src, now=self.now), self.root, version=version)
 
 
 def start_triage_upsert(risk_stream: DataFrame, root: str, checkpoint: str, now=None, trigger=None):
