@@ -110,17 +110,20 @@ def empty_triage(spark) -> DataFrame:
 TRIAGE_UPDATE_COLS = ("risk_score", "risk_level", "automated_action", "triggered_factors")
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str = "transaction_id",
+def upsert(target: DataFrame | None, source: DataFrame, key: str = "transaction_id",
            update_cols=TRIAGE_UPDATE_COLS, now=None, ttl: str = C.TRIAGE_TTL) -> DataFrame:
     """INSERT ... ON CONFLICT (key) DO UPDATE SET update_cols, updated_at = now.
 
     New keys are inserted with the table defaults; on a match only
     ``update_cols`` and ``updated_at`` change, so creation time, expiry,
     explanation and analyst fields survive.  ``source`` must hold each key at
-    most once (dedupe with ``gold.dedupe_per_transaction`` first).
+    most once (dedupe with ``gold.dedupe_per_transaction`` first).  With no
+    target (first load) the rows are inserted without a join.
     """
     n = _now(now)
     src = with_triage_defaults(source, n, ttl)
+    if target is None:
+        return src
     t = target.selectExpr(*[f"`{c}` AS `t__{c}`" for c in TRIAGE_COLUMNS], "true AS __t")
     s = src.selectExpr(*[f"`{c}` AS `s__{c}`" for c in TRIAGE_COLUMNS], "true AS __s")
     j = t.join(s, F.col(f"t__{key}") == F.col(f"s__{key}"), "full").withColumn("__now", n)

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import gold, kpis, silver, triage as tr
-from riskweave.sources.writers import snapshot_read, snapshot_write, write_table
-from riskweave.sources.schemas import TRIAGE
+from riskweave.sources.writers import snapshot_current, snapshot_read, snapshot_write, write_table
 
 
 # Named tables of the batch run: layer and description (table comments).
@@ -49,6 +48,6 @@ def run_batch(spark: SparkSession, bronze_tx: DataFrame, bronze_logins: DataFram
     write_table(kpis.fraud_kpis(g), paths["gold_fraud_kpis"])
 
     batch = tr.to_triage(gold.dedupe_per_transaction(g.drop("tx_date")), created_at=F.col("tx_timestamp"))
-    current = snapshot_read(spark, paths["triage"], schema=TRIAGE)
+    current = snapshot_read(spark, paths["triage"]) if snapshot_current(spark, paths["triage"]) else None
     snapshot_write(tr.upsert(current, batch, now=now), paths["triage"])
     return paths

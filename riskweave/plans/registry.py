@@ -166,7 +166,7 @@ def _batch(i: Inputs, factors: str) -> DataFrame:
 
 def _triage0(i: Inputs) -> DataFrame:
     """First sync (one-key factor form) into an empty queue."""
-    return i._get("triage0", lambda: tr.upsert(tr.empty_triage(i.spark), _batch(i, "min"), now=i.now))
+    return i._get("triage0", lambda: tr.upsert(None, _batch(i, "min"), now=i.now))
 
 
 def _triage_decided(i: Inputs) -> DataFrame:

@@ -126,7 +126,7 @@ class TriageSink:
             return
         src = tr.to_triage(gold.dedupe_per_transaction(batch), factors=self.factors,
                            created_at=F.col("tx_timestamp"))
-        target = snapshot_read(spark, self.root, schema=schemas.TRIAGE)
+        target = snapshot_read(spark, self.root) if snapshot_current_version(spark, self.root) else None
         snapshot_write(tr.upsert(target, src, now=self.now), self.root, version=version)
 
 
