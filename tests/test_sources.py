@@ -66,3 +66,23 @@ def test_batch_plan_writes_layers(spark, tmp_dir):
     assert spark.read.parquet(paths["gold_user_session_risk"]).count() == 596
     assert spark.read.parquet(paths["gold_wire_after_mfa_change"]).count() == 10
     assert writers.snapshot_read(spark, paths["triage"]).count() == 87
+
+
+def test_review_jobs_version_by_version(spark, tmp_dir):
+    from riskweave.operators import gold, scorer
+    from riskweave.plans import review
+    i = inputs_for(spark, SF_SMALL)
+    root = os.path.join(tmp_dir, "queue")
+    review.sync_queue(spark, i.risk, root, now=i.now)
+    assert writers.snapshot_versions(spark, root) == [1]
+    path, outcome = review.apply_decision_batch(spark, i.decisions, root, now=i.now)
+    assert writers.snapshot_versions(spark, root) == [1, 2]
+    assert outcome.filter("status = 'applied'").count() == 36
+    records = gold.with_risk(scorer.scorer_records(i.silver_tx, i.silver_logins))
+    review.explain_queue(spark, records, root, now=i.now)
+    q = writers.snapshot_read(spark, root)
+    assert q.count() == 87 and q.filter("explanation = ''").count() == 0
+    assert q.filter("analyst_decision IS NOT NULL").count() == 36
+    review.sync_queue(spark, i.risk, root, now=i.now)  # a rerun keeps decisions and texts
+    q = writers.snapshot_read(spark, root)
+    assert q.filter("analyst_decision IS NOT NULL").count() == 36 and q.filter("explanation = ''").count() == 0
