@@ -17,11 +17,6 @@ def fixed(c: Column, digits: int, grouping: bool = False) -> Column:
     return s if grouping else F.regexp_replace(s, ",", "")
 
 
-def py_str(c: Column) -> Column:
-    """Text of a value the way Python's ``str`` prints it for bool / int / float."""
-    return c.cast("string")
-
-
 def py_bool(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("None")).when(c, F.lit("True")).otherwise(F.lit("False"))
 
