@@ -111,7 +111,8 @@ TRIAGE_UPDATE_COLS = ("risk_score", "risk_level", "automated_action", "triggered
 
 
 def upsert(target: DataFrame | None, source: DataFrame, key: str = "transaction_id",
-           update_cols=TRIAGE_UPDATE_COLS, now=None, ttl: str = C.TRIAGE_TTL) -> DataFrame:
+           update_cols=TRIAGE_UPDATE_COLS, now=None, ttl: str = C.TRIAGE_TTL,
+           only_if_higher: bool = False) -> DataFrame:
     """INSERT ... ON CONFLICT (key) DO UPDATE SET update_cols, updated_at = now.
 
     New keys are inserted with the table defaults; on a match only
@@ -119,6 +120,9 @@ def upsert(target: DataFrame | None, source: DataFrame, key: str = "transaction_
     explanation and analyst fields survive.  ``source`` must hold each key at
     most once (dedupe with ``gold.dedupe_per_transaction`` first).  With no
     target (first load) the rows are inserted without a join.
+    ``only_if_higher``: a match updates only when the new score is strictly
+    higher (used by the streaming sink, where a transaction's login pairs can
+    arrive in different micro-batches).
     """
     n = _now(now)
     src = with_triage_defaults(source, n, ttl)
@@ -128,6 +132,8 @@ def upsert(target: DataFrame | None, source: DataFrame, key: str = "transaction_
     s = src.selectExpr(*[f"`{c}` AS `s__{c}`" for c in TRIAGE_COLUMNS], "true AS __s")
     j = t.join(s, F.col(f"t__{key}") == F.col(f"s__{key}"), "full").withColumn("__now", n)
     both = "__t IS NOT NULL AND __s IS NOT NULL"
+    if only_if_higher:
+        both += " AND `s__risk_score` > `t__risk_score`"
     exprs = []
     for c in TRIAGE_COLUMNS:
         if c == key:

@@ -112,8 +112,8 @@ def dedupe_stream(df: DataFrame, key: str = "transaction_id", ts: str = "timesta
 
 class TriageSink:
     """``foreachBatch`` sink: dedupe the batch per transaction, lay it out as
-    queue rows and upsert it into the current snapshot, writing version
-    ``batch_id + 1``.  A batch whose version is already committed is skipped,
+    queue rows and upsert it into the current snapshot (a known transaction is
+    updated only by a higher-scoring pair), writing version ``batch_id + 1``.  A batch whose version is already committed is skipped,
     so a replay after a failure changes nothing.  One writer owns a root."""
 
     def __init__(self, root: str, now=None, factors: str = "object"):
@@ -127,7 +127,7 @@ class TriageSink:
         src = tr.to_triage(gold.dedupe_per_transaction(batch), factors=self.factors,
                            created_at=F.col("tx_timestamp"))
         target = snapshot_read(spark, self.root) if snapshot_current_version(spark, self.root) else None
-        snapshot_write(tr.upsert(target, src, now=self.now), self.root, version=version)
+        snapshot_write(tr.upsert(target, src, now=self.now, only_if_higher=True), self.root, version=version)
 
 
 def start_triage_upsert(risk_stream: DataFrame, root: str, checkpoint: str, now=None, trigger=None):
@@ -136,3 +136,17 @@ def start_triage_upsert(risk_stream: DataFrame, root: str, checkpoint: str, now=
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+def start_session_risk_stream(spark: SparkSession, tx_path: str, login_path: str, queue_root: str,
+                              checkpoint: str, fmt: str = "csv", now=None, delay: str = "2 hours",
+                              trigger: dict | None = None, max_files_per_trigger: int | None = None):
+    """Landing files -> silver -> stream-stream session join -> gold score ->
+    queue upsert, as one streaming query.  Matched pairs flow as soon as both
+    sides arrive; transactions without a login are emitted (and may be
+    queued) once the login watermark passes their window."""
+    from riskweave.operators import silver
+    tx = silver.silver_transactions(read_stream(spark, tx_path, schemas.TRANSACTIONS, fmt, max_files_per_trigger))
+    lg = silver.silver_login_logs(read_stream(spark, login_path, schemas.LOGIN_LOGS, fmt, max_files_per_trigger))
+    risk = gold.with_risk(stream_session_join(tx, lg, tx_delay=delay, login_delay=delay, how="left"))
+    return start_triage_upsert(risk, queue_root, checkpoint, now=now, trigger=trigger)
