@@ -4,7 +4,7 @@ consumers (the lineage cut; nothing is recomputed per action).
 
 Layout under ``root`` (shared storage, e.g. under ``spark.checkpoint.dir``):
 ``silver_transactions/``, ``silver_login_logs/``, ``gold_user_session_risk/``
-(partitioned by transaction date, so date/hour reports prune files),
+(optionally partitioned by transaction date),
 ``gold_fraud_kpis/``, ``gold_wire_after_mfa_change/`` and ``triage/`` (versioned).
 """
 
@@ -32,7 +32,11 @@ DATASETS = {
 
 
 def run_batch(spark: SparkSession, bronze_tx: DataFrame, bronze_logins: DataFrame, root: str,
-              now=None, strategy: str = "bucketed") -> dict[str, str]:
+              now=None, strategy: str = "bucketed", partition_gold_by_date: bool = False) -> dict[str, str]:
+    """``partition_gold_by_date``: write the pair table partitioned by
+    transaction date, for deployments whose reports filter on recent days (the
+    certified reports scan every day, so it is off by default and each task
+    writes one file)."""
     paths = {k: os.path.join(root, k) for k in (
         "silver_transactions", "silver_login_logs", "gold_user_session_risk", "gold_fraud_kpis",
         "gold_wire_after_mfa_change", "triage")}
@@ -41,13 +45,18 @@ def run_batch(spark: SparkSession, bronze_tx: DataFrame, bronze_logins: DataFram
     s_tx = spark.read.parquet(paths["silver_transactions"])
     s_lg = spark.read.parquet(paths["silver_login_logs"])
 
-    risk = gold.session_risk(s_tx, s_lg, strategy=strategy).withColumn("tx_date", F.to_date("tx_timestamp"))
-    write_table(risk.sortWithinPartitions("tx_date"), paths["gold_user_session_risk"], partition_by=["tx_date"])
+    risk = gold.session_risk(s_tx, s_lg, strategy=strategy)
+    if partition_gold_by_date:
+        risk = risk.withColumn("tx_date", F.to_date("tx_timestamp")).sortWithinPartitions("tx_date")
+        write_table(risk, paths["gold_user_session_risk"], partition_by=["tx_date"])
+    else:
+        write_table(risk, paths["gold_user_session_risk"])
     write_table(gold.wire_after_mfa(s_tx, s_lg, strategy=strategy), paths["gold_wire_after_mfa_change"])
     g = spark.read.parquet(paths["gold_user_session_risk"])
     write_table(kpis.fraud_kpis(g), paths["gold_fraud_kpis"])
 
-    batch = tr.to_triage(gold.dedupe_per_transaction(g.drop("tx_date")), created_at=F.col("tx_timestamp"))
+    g = g.drop("tx_date") if "tx_date" in g.columns else g
+    batch = tr.to_triage(gold.dedupe_per_transaction(g), created_at=F.col("tx_timestamp"))
     current = snapshot_read(spark, paths["triage"]) if snapshot_current(spark, paths["triage"]) else None
     snapshot_write(tr.upsert(current, batch, now=now), paths["triage"])
     return paths

@@ -86,3 +86,13 @@ def test_review_jobs_version_by_version(spark, tmp_dir):
     review.sync_queue(spark, i.risk, root, now=i.now)  # a rerun keeps decisions and texts
     q = writers.snapshot_read(spark, root)
     assert q.filter("analyst_decision IS NOT NULL").count() == 36 and q.filter("explanation = ''").count() == 0
+
+
+def test_batch_plan_date_partitioned_gold(spark, tmp_dir):
+    from riskweave.plans.medallion import run_batch
+    i = inputs_for(spark, SF_SMALL)
+    paths = run_batch(spark, i.bronze_tx, i.bronze_logins, os.path.join(tmp_dir, "run"), now=i.now,
+                      partition_gold_by_date=True)
+    g = spark.read.parquet(paths["gold_user_session_risk"])
+    assert g.count() == 596 and "tx_date" in g.columns
+    assert writers.snapshot_read(spark, paths["triage"]).count() == 87
