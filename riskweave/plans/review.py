@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import gold, narrative, triage as tr
-from riskweave.sources.writers import snapshot_current, snapshot_read, snapshot_write
+from riskweave.sources.writers import (read_bucketed, snapshot_current, snapshot_read, snapshot_write,
+                                       swap_bucketed)
 
 
 def _current(spark: SparkSession, root: str) -> DataFrame | None:
@@ -31,6 +32,17 @@ def sync_queue(spark: SparkSession, risk: DataFrame, root: str, now=None, factor
     return snapshot_write(merged, root, buckets=buckets, key="transaction_id" if buckets else None)
 
 
+def sync_queue_table(spark: SparkSession, risk: DataFrame, table: str, now=None, buckets: int = 64,
+                     location: str | None = None, factors: str = "object") -> DataFrame:
+    """``sync_queue`` against a catalog table bucketed by ``transaction_id``:
+    the upsert join reads the (large, growing) queue without an exchange and
+    shuffles only the incoming batch into the table's buckets."""
+    batch = tr.to_triage(gold.dedupe_per_transaction(risk), factors=factors, created_at=F.col("tx_timestamp"))
+    merged = tr.upsert(read_bucketed(spark, table), batch, now=now)
+    swap_bucketed(merged, table, "transaction_id", buckets, location)
+    return spark.table(table)
+
+
 def apply_decision_batch(spark: SparkSession, decisions: DataFrame, root: str, now=None) -> tuple[str, DataFrame]:
     current = snapshot_read(spark, root)
     outcome = tr.decision_outcome(current, decisions)

@@ -126,3 +126,32 @@ def snapshot_read(spark: SparkSession, root: str, schema=None) -> DataFrame:
             raise FileNotFoundError(f"no snapshot under {root}")
         return spark.createDataFrame([], schema)
     return spark.read.parquet(cur)
+
+
+# ---------------------------------------------------------------------------
+# Bucketed catalog table with a swap (co-located keyed joins)
+# ---------------------------------------------------------------------------
+
+def read_bucketed(spark: SparkSession, table: str) -> DataFrame | None:
+    """Current content of a swapped table, finishing an interrupted swap first."""
+    nxt = f"{table}__next"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(nxt):
+        spark.sql(f"ALTER TABLE {nxt} RENAME TO {table}")
+    return spark.table(table) if spark.catalog.tableExists(table) else None
+
+
+def swap_bucketed(df: DataFrame, table: str, key: str, buckets: int, location: str | None = None) -> None:
+    """Write ``df`` bucketed and sorted by ``key`` as ``<table>__next``, then
+    swap it in.  Joins on ``key`` against the table then read it without a
+    shuffle (its scan is already hash-partitioned into ``buckets``); only the
+    other side moves.  ``location``: external data under shared storage (a new
+    directory per write); otherwise a managed table in the warehouse."""
+    spark = df.sparkSession
+    nxt = f"{table}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {nxt}")
+    w = df.write.bucketBy(buckets, key).sortBy(key).format("parquet")
+    if location:
+        w = w.option("path", os.path.join(location, f"v={uuid.uuid4().hex}"))
+    w.saveAsTable(nxt)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {nxt} RENAME TO {table}")

@@ -96,3 +96,23 @@ def test_batch_plan_date_partitioned_gold(spark, tmp_dir):
     g = spark.read.parquet(paths["gold_user_session_risk"])
     assert g.count() == 596 and "tx_date" in g.columns
     assert writers.snapshot_read(spark, paths["triage"]).count() == 87
+
+
+def test_bucketed_queue_table_sync_reads_queue_without_shuffle(spark, tmp_dir):
+    from riskweave.operators import gold, triage as tr
+    from riskweave.plans import review
+    from pyspark.sql import functions as F
+    i = inputs_for(spark, SF_SMALL)
+    loc = os.path.join(tmp_dir, "queue_tbl")
+    q = review.sync_queue_table(spark, i.risk, "rw_queue_test", now=i.now, buckets=8, location=loc)
+    assert q.count() == 87
+    batch = tr.to_triage(gold.dedupe_per_transaction(i.risk), created_at=F.col("tx_timestamp"))
+    plan = tr.upsert(spark.table("rw_queue_test"), batch, now=i.now)._jdf.queryExecution().executedPlan().toString()
+    queue_scan = [l for l in plan.splitlines() if "rw_queue_test" in l][0]
+    above = plan.split(queue_scan.strip())[0].splitlines()[-3:]
+    assert not any("Exchange" in l for l in above)
+    q = review.sync_queue_table(spark, i.risk, "rw_queue_test", now=i.now, buckets=8, location=loc)
+    assert q.count() == 87
+    # an interrupted swap (table dropped, next kept) is finished on the next read
+    spark.sql("ALTER TABLE rw_queue_test RENAME TO rw_queue_test__next")
+    assert writers.read_bucketed(spark, "rw_queue_test").count() == 87
