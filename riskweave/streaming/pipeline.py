@@ -83,12 +83,15 @@ def stream_wire_after_mfa(tx: DataFrame, logins: DataFrame, window: str = C.MFA_
         "seconds_between", F.unix_timestamp("wire_timestamp") - F.unix_timestamp("mfa_change_timestamp"))
 
 
-def stream_kpis(risk: DataFrame, delay: str = "2 hours") -> DataFrame:
+def stream_kpis(risk: DataFrame, delay: str | None = "2 hours") -> DataFrame:
     """Hourly KPIs as an event-time tumbling window; a window is emitted once
-    the watermark passes its end (append mode)."""
+    the watermark passes its end (append mode).  ``delay=None`` when the input
+    already carries a watermark on ``tx_timestamp`` (e.g. straight behind
+    ``stream_session_join``: the join's event time flows through)."""
     flagged = F.col("is_flagged") == F.lit(True)
     fp = (F.col("automated_action") == "BLOCK") & (F.col("is_flagged") == F.lit(False))
-    agg = risk.withWatermark("tx_timestamp", delay).groupBy(
+    src = risk.withWatermark("tx_timestamp", delay) if delay else risk
+    agg = src.groupBy(
         F.window("tx_timestamp", "1 hour").alias("w"), "risk_level", "automated_action"
     ).agg(
         F.count("*").alias("transaction_count"),
@@ -150,3 +153,18 @@ def start_session_risk_stream(spark: SparkSession, tx_path: str, login_path: str
     lg = silver.silver_login_logs(read_stream(spark, login_path, schemas.LOGIN_LOGS, fmt, max_files_per_trigger))
     risk = gold.with_risk(stream_session_join(tx, lg, tx_delay=delay, login_delay=delay, how="left"))
     return start_triage_upsert(risk, queue_root, checkpoint, now=now, trigger=trigger)
+
+
+def start_kpi_stream(spark: SparkSession, tx_path: str, login_path: str, sink_path: str, checkpoint: str,
+                     fmt: str = "csv", delay: str = "2 hours", trigger: dict | None = None,
+                     max_files_per_trigger: int | None = None):
+    """Landing files -> silver -> stream-stream join -> score -> hourly KPI
+    window, appended to Parquet as each hour closes (two stateful operators in
+    one query; event time is carried through the join)."""
+    from riskweave.operators import silver
+    tx = silver.silver_transactions(read_stream(spark, tx_path, schemas.TRANSACTIONS, fmt, max_files_per_trigger))
+    lg = silver.silver_login_logs(read_stream(spark, login_path, schemas.LOGIN_LOGS, fmt, max_files_per_trigger))
+    risk = gold.with_risk(stream_session_join(tx, lg, tx_delay=delay, login_delay=delay, how="left"))
+    w = (stream_kpis(risk, delay=None).writeStream.format("parquet").option("path", sink_path)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return w.trigger(**trigger).start() if trigger else w.start()

@@ -145,3 +145,20 @@ def test_end_to_end_stream_queue_agrees_with_batch(spark, tmp_dir):
     matched = {t for t, r in batch.items() if r.login_city != ""}
     assert matched <= set(got)
     assert len(writers_versions(spark, root)) > 1  # several micro-batches ran
+
+
+def test_chained_join_then_kpi_window_equals_batch(spark, tmp_dir):
+    i = inputs_for(spark, SF_SMALL)
+    tx_path, lg_path = os.path.join(tmp_dir, "tx"), os.path.join(tmp_dir, "lg")
+    bounds = ["2024-01-01", "2024-01-09", "2024-01-17", "2024-01-25", "2024-02-02"]
+    _land_in_time_order(i.bronze_tx.drop("ingestion_timestamp"), tx_path, bounds)
+    _land_in_time_order(i.bronze_logins.drop("ingestion_timestamp"), lg_path, bounds)
+    out, ckpt = os.path.join(tmp_dir, "kpis"), os.path.join(tmp_dir, "ckpt")
+    q = sp.start_kpi_stream(spark, tx_path, lg_path, out, ckpt, fmt="parquet",
+                            trigger={"availableNow": True}, max_files_per_trigger=1)
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    last = got.agg(F.max("hour")).first()[0]
+    cols = ["hour", "risk_level", "automated_action", "transaction_count", "true_fraud_count"]
+    assert got.count() > 400
+    assert _rows(got, cols) == _rows(kpis.fraud_kpis(i.risk).filter(F.col("hour") <= last), cols)
