@@ -133,16 +133,23 @@ class TriageSink:
         snapshot_write(tr.upsert(target, src, now=self.now, only_if_higher=True), self.root, version=version)
 
 
-def start_triage_upsert(risk_stream: DataFrame, root: str, checkpoint: str, now=None, trigger=None):
+def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
+    """An explicit location, else one under the session's shared checkpoint root."""
+    from riskweave.session import shared_path
+    return checkpoint or shared_path(spark, "streams", name)
+
+
+def start_triage_upsert(risk_stream: DataFrame, root: str, checkpoint: str | None = None, now=None, trigger=None):
     """Continuously upsert flagged pairs of a gold stream into the queue snapshot."""
-    w = risk_stream.writeStream.foreachBatch(TriageSink(root, now)).option("checkpointLocation", checkpoint)
+    ckpt = _checkpoint(risk_stream.sparkSession, checkpoint, "triage_upsert")
+    w = risk_stream.writeStream.foreachBatch(TriageSink(root, now)).option("checkpointLocation", ckpt)
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
 
 
 def start_session_risk_stream(spark: SparkSession, tx_path: str, login_path: str, queue_root: str,
-                              checkpoint: str, fmt: str = "csv", now=None, delay: str = "2 hours",
+                              checkpoint: str | None = None, fmt: str = "csv", now=None, delay: str = "2 hours",
                               trigger: dict | None = None, max_files_per_trigger: int | None = None):
     """Landing files -> silver -> stream-stream session join -> gold score ->
     queue upsert, as one streaming query.  Matched pairs flow as soon as both
@@ -155,8 +162,8 @@ def start_session_risk_stream(spark: SparkSession, tx_path: str, login_path: str
     return start_triage_upsert(risk, queue_root, checkpoint, now=now, trigger=trigger)
 
 
-def start_kpi_stream(spark: SparkSession, tx_path: str, login_path: str, sink_path: str, checkpoint: str,
-                     fmt: str = "csv", delay: str = "2 hours", trigger: dict | None = None,
+def start_kpi_stream(spark: SparkSession, tx_path: str, login_path: str, sink_path: str,
+                     checkpoint: str | None = None, fmt: str = "csv", delay: str = "2 hours", trigger: dict | None = None,
                      max_files_per_trigger: int | None = None):
     """Landing files -> silver -> stream-stream join -> score -> hourly KPI
     window, appended to Parquet as each hour closes (two stateful operators in
@@ -166,5 +173,5 @@ def start_kpi_stream(spark: SparkSession, tx_path: str, login_path: str, sink_pa
     lg = silver.silver_login_logs(read_stream(spark, login_path, schemas.LOGIN_LOGS, fmt, max_files_per_trigger))
     risk = gold.with_risk(stream_session_join(tx, lg, tx_delay=delay, login_delay=delay, how="left"))
     w = (stream_kpis(risk, delay=None).writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+         .option("checkpointLocation", _checkpoint(spark, checkpoint, "kpi_stream")).outputMode("append"))
     return w.trigger(**trigger).start() if trigger else w.start()
