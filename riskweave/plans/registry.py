@@ -141,7 +141,7 @@ _q("session_risk", lambda i: i.risk)
 _q("wire_after_mfa", lambda i: i.wires)
 _q("fraud_kpis", lambda i: kpis.fraud_kpis(i.risk))
 _q("risk_counts", lambda i: gold.risk_counts(i.risk))
-_q("risk_per_transaction", lambda i: gold.dedupe_per_transaction(i.risk))
+_q("risk_per_transaction", lambda i: _risk_dedup(i))
 _q("latest_session", lambda i: gold.latest_session(i.silver_logins))
 
 # --- BI reports (remaining) -------------------------------------------------------
@@ -159,9 +159,14 @@ _q("bi_impossible_travel", lambda i: bi.bi_impossible_travel(i.risk))
 from riskweave.operators import quality, triage as tr  # noqa: E402
 
 
+def _risk_dedup(i: Inputs) -> DataFrame:
+    """One deduplicated frame shared by both syncs, so the identical shuffles
+    are planned once and reused (ReusedExchange) within a query."""
+    return i._get("risk_dedup", lambda: gold.dedupe_per_transaction(i.risk))
+
+
 def _batch(i: Inputs, factors: str) -> DataFrame:
-    return tr.to_triage(gold.dedupe_per_transaction(i.risk), factors=factors,
-                        created_at=F.col("tx_timestamp"))
+    return tr.to_triage(_risk_dedup(i), factors=factors, created_at=F.col("tx_timestamp"))
 
 
 def _triage0(i: Inputs) -> DataFrame:

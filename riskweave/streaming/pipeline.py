@@ -133,6 +133,35 @@ class TriageSink:
         snapshot_write(tr.upsert(target, src, now=self.now, only_if_higher=True), self.root, version=version)
 
 
+class DecisionSink:
+    """``foreachBatch`` sink for a stream of analyst decisions: each micro-batch
+    is applied first-wins to the current queue version (undecided rows only)
+    and written as a new version; the per-decision outcome rows are appended
+    to ``outcome_path``.  Versions advance by one per applied batch and the
+    batch id is recorded in ``<root>/_decision_batches``, so a replayed batch
+    is skipped."""
+
+    def __init__(self, root: str, outcome_path: str | None = None, now=None):
+        self.root, self.outcome_path, self.now = root, outcome_path, now
+
+    def _done(self, spark: SparkSession) -> str:
+        return f"{self.root.rstrip('/')}/_decision_batches"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marker = f"{self._done(spark)}/batch={batch_id}"
+        from riskweave.sources.writers import _fs_and_path
+        fs, p, _ = _fs_and_path(spark, marker + "/_SUCCESS")
+        if fs.exists(p):
+            return
+        current = snapshot_read(spark, self.root)
+        if self.outcome_path:
+            tr.decision_outcome(current, batch).withColumn("batch_id", F.lit(batch_id)) \
+              .write.mode("append").parquet(self.outcome_path)
+        snapshot_write(tr.apply_decisions(current, batch, now=self.now), self.root)
+        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(marker)
+
+
 def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
     """An explicit location, else one under the session's shared checkpoint root."""
     from riskweave.session import shared_path

@@ -162,3 +162,20 @@ def test_chained_join_then_kpi_window_equals_batch(spark, tmp_dir):
     cols = ["hour", "risk_level", "automated_action", "transaction_count", "true_fraud_count"]
     assert got.count() > 400
     assert _rows(got, cols) == _rows(kpis.fraud_kpis(i.risk).filter(F.col("hour") <= last), cols)
+
+
+def test_decision_stream_sink_first_wins_and_replay(spark, tmp_dir):
+    i = inputs_for(spark, SF_SMALL)
+    root = os.path.join(tmp_dir, "queue")
+    sp.TriageSink(root, now=i.now)(i.risk, 0)
+    sink = sp.DecisionSink(root, outcome_path=os.path.join(tmp_dir, "outcomes"), now=i.now)
+    sink(i.decisions, 0)
+    decided = snapshot_read(spark, root).filter("analyst_decision IS NOT NULL").count()
+    assert decided == 36
+    sink(i.decisions, 0)  # replay: skipped
+    assert len(writers_versions(spark, root)) == 2
+    sink(i.decisions, 1)  # same decisions again: all already reviewed, nothing changes
+    assert snapshot_read(spark, root).filter("analyst_decision IS NOT NULL").count() == 36
+    outcomes = spark.read.parquet(os.path.join(tmp_dir, "outcomes"))
+    counts = {(r.batch_id, r.status): r["count"] for r in outcomes.groupBy("batch_id", "status").count().collect()}
+    assert counts[(0, "applied")] == 36 and counts[(1, "already_reviewed")] == 36
