@@ -116,3 +116,16 @@ def test_bucketed_queue_table_sync_reads_queue_without_shuffle(spark, tmp_dir):
     # an interrupted swap (table dropped, next kept) is finished on the next read
     spark.sql("ALTER TABLE rw_queue_test RENAME TO rw_queue_test__next")
     assert writers.read_bucketed(spark, "rw_queue_test").count() == 87
+
+
+def test_uncommitted_version_is_ignored(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "snap2")
+    writers.snapshot_write(spark.range(3), root)
+    # a writer that died mid-job leaves a version directory without _SUCCESS
+    os.makedirs(os.path.join(root, "v=000000000002"))
+    open(os.path.join(root, "v=000000000002", "part-0000.parquet"), "wb").write(b"partial")
+    assert writers.snapshot_versions(spark, root) == [1]
+    assert writers.snapshot_read(spark, root).count() == 3
+    # the rerun overwrites the abandoned directory and commits it
+    writers.snapshot_write(spark.range(5), root)
+    assert writers.snapshot_versions(spark, root) == [1, 2] and writers.snapshot_read(spark, root).count() == 5
