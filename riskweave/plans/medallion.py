@@ -60,3 +60,12 @@ def run_batch(spark: SparkSession, bronze_tx: DataFrame, bronze_logins: DataFram
     current = snapshot_read(spark, paths["triage"]) if snapshot_current(spark, paths["triage"]) else None
     snapshot_write(tr.upsert(current, batch, now=now), paths["triage"])
     return paths
+
+
+def run_from_csv(spark: SparkSession, transactions_csv: str, logins_csv: str, root: str, now=None,
+                 infer_schema: bool = False, **kwargs) -> dict[str, str]:
+    """Bronze CSV landing files -> every layer under ``root`` (see ``run_batch``)."""
+    from riskweave.sources import readers
+    tx = readers.read_transactions(spark, transactions_csv, now=now, infer=infer_schema)
+    lg = readers.read_login_logs(spark, logins_csv, now=now, infer=infer_schema)
+    return run_batch(spark, tx, lg, root, now=now, **kwargs)

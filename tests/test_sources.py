@@ -129,3 +129,20 @@ def test_uncommitted_version_is_ignored(spark, tmp_dir):
     # the rerun overwrites the abandoned directory and commits it
     writers.snapshot_write(spark.range(5), root)
     assert writers.snapshot_versions(spark, root) == [1, 2] and writers.snapshot_read(spark, root).count() == 5
+
+
+def test_cli_batch_and_decisions_from_csv(spark, tmp_dir):
+    from riskweave.plans import cli
+    i = inputs_for(spark, SF_SMALL)
+    tx_csv, lg_csv, dec_csv = (os.path.join(tmp_dir, n) for n in ("tx_csv", "lg_csv", "dec_csv"))
+    i.bronze_tx.drop("ingestion_timestamp").write.option("header", "true").csv(tx_csv)
+    i.bronze_logins.drop("ingestion_timestamp").write.option("header", "true").csv(lg_csv)
+    i.decisions.write.option("header", "true").csv(dec_csv)
+    out = os.path.join(tmp_dir, "run")
+    assert cli.main(["batch", "--transactions", tx_csv, "--logins", lg_csv, "--out", out,
+                     "--now", "2024-01-31 00:00:00"]) == 0
+    assert spark.read.parquet(os.path.join(out, "gold_user_session_risk")).count() == 596
+    assert cli.main(["decisions", "--queue", os.path.join(out, "triage"), "--decisions", dec_csv,
+                     "--now", "2024-01-31 00:00:00"]) == 0
+    q = writers.snapshot_read(spark, os.path.join(out, "triage"))
+    assert q.count() == 87 and q.filter("analyst_decision IS NOT NULL").count() == 36
