@@ -37,8 +37,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf = dict(RECOMMENDED_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    if "spark.checkpoint.dir" not in conf:
-        # Local runs only: a scratch root.  Cluster launchers pass a shared one.
+    if "spark.checkpoint.dir" not in conf and master.startswith("local"):
+        # Local runs only: a scratch root.  Cluster launchers pass a shared one
+        # (checkpoint_root refuses to run on a cluster without it).
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="riskweave-ckpt-")
     for k, v in conf.items():
         builder = builder.config(k, v)
