@@ -248,17 +248,56 @@ def _page(df: DataFrame, limit: int, offset: int) -> DataFrame:
     return df.limit(limit)
 
 
+# Sort keys of the two pages: (column, descending).  Spark's default null
+# order applies: ascending puts NULLs first, descending puts them last.
+QUEUE_ORDER = [("risk_score", True), ("created_at", False), ("transaction_id", False)]
+REVIEWED_ORDER = [("reviewed_at", True), ("transaction_id", False)]
+
+
+def _sort_cols(order) -> list[Column]:
+    return [F.desc(c) if d else F.asc(c) for c, d in order]
+
+
+def rows_after(order, cursor) -> Column:
+    """Rows strictly after ``cursor`` (the sort-key values of the last row
+    seen) in the order ``order``.  Keyset paging: a page is a filter plus a
+    bounded top-``limit``, however deep it is, where ``offset`` would have to
+    merge every earlier row in one task first."""
+    if len(cursor) != len(order):
+        raise ValueError(f"cursor needs {len(order)} values")
+    after = F.lit(False)
+    for (c, desc), v in reversed(list(zip(order, cursor))):
+        x = F.col(c)
+        if v is None:
+            gt = F.lit(False) if desc else x.isNotNull()
+            eq = x.isNull()
+        else:
+            lit = F.lit(v)
+            gt = (x < lit) | x.isNull() if desc else x > lit
+            eq = x == lit
+        after = gt | (eq & after)
+    return after
+
+
+def page_cursor(row, order=QUEUE_ORDER) -> tuple:
+    """Cursor of a collected page row (pass the last row of a page)."""
+    return tuple(row[c] for c, _ in order)
+
+
 def queue_page(triage: DataFrame, now=None, action: str | None = None, risk_level: str | None = None,
-               limit: int = C.PAGE_DEFAULT, offset: int = 0) -> DataFrame:
-    """One page of the queue, optionally filtered by action and level."""
+               limit: int = C.PAGE_DEFAULT, offset: int = 0, after: tuple | None = None) -> DataFrame:
+    """One page of the queue, optionally filtered by action and level.
+    ``after``: keyset cursor (``page_cursor`` of the previous page's last row)."""
     df = pending(triage, now)
     if action:
         df = df.filter(F.col("automated_action") == action)
     if risk_level:
         df = df.filter(F.col("risk_level") == risk_level.upper())
+    if after is not None:
+        df = df.filter(rows_after(QUEUE_ORDER, after))
     secs = age_seconds(now)
     df = df.select(*_PAGE_COLS, "created_at", F.round(secs / 60.0, 1).alias("age_minutes")) \
-           .orderBy(F.desc("risk_score"), F.asc("created_at"), F.asc("transaction_id"))
+           .orderBy(*_sort_cols(QUEUE_ORDER))
     return _page(df, limit, offset)
 
 
@@ -290,11 +329,15 @@ def review_seconds() -> Column:
 
 
 def reviewed_page(triage: DataFrame, decision: str | None = None, limit: int = C.PAGE_DEFAULT,
-                  offset: int = 0) -> DataFrame:
-    df = reviewed(triage, decision).select(
+                  offset: int = 0, after: tuple | None = None) -> DataFrame:
+    """Most recently reviewed first; ``after`` as in ``queue_page`` (REVIEWED_ORDER)."""
+    df = reviewed(triage, decision)
+    if after is not None:
+        df = df.filter(rows_after(REVIEWED_ORDER, after))
+    df = df.select(
         *_PAGE_COLS, "analyst_id", "analyst_decision", "analyst_notes", "created_at", "reviewed_at",
         F.coalesce(F.round(review_seconds() / 60.0, 1), F.lit(0.0)).alias("review_time_minutes")) \
-        .orderBy(F.desc("reviewed_at"), F.asc("transaction_id"))
+        .orderBy(*_sort_cols(REVIEWED_ORDER))
     return _page(df, limit, offset)
 
 

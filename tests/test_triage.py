@@ -87,6 +87,51 @@ def test_queue_page_order_filter_and_paging(spark):
     assert len(tr.queue_page(t, NOW, limit=10_000).collect()) == 3
 
 
+def test_keyset_pages_equal_offset_pages(spark):
+    # Ties on score and creation time, so the transaction id decides the order.
+    rows = [_row(f"t{i:02d}", score=(40, 60, 95)[i % 3], created=NOW - (i % 4) * H,
+                 level="CRITICAL" if i % 3 == 2 else "HIGH", action="BLOCK" if i % 3 == 2 else "YELLOW_FLAG")
+            for i in range(23)]
+    t = _triage(spark, rows)
+    full = [r.transaction_id for r in tr.queue_page(t, NOW, limit=200).collect()]
+    got, after = [], None
+    while True:
+        page = tr.queue_page(t, NOW, limit=5, after=after).collect()
+        if not page:
+            break
+        got += [r.transaction_id for r in page]
+        after = tr.page_cursor(page[-1])
+    assert got == full and len(full) == 23
+    assert got[5:10] == [r.transaction_id for r in tr.queue_page(t, NOW, limit=5, offset=5).collect()]
+
+
+def test_keyset_cursor_nulls_follow_spark_order(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, 5, "b"), (None, 5, "c"), (2, None, "d"), (2, 3, "e")],
+                               "k1 int, k2 int, id string")
+    order = [("k1", True), ("k2", False), ("id", False)]   # k1 DESC NULLS LAST, k2 ASC NULLS FIRST
+    full = [tuple(r) for r in df.orderBy(F.desc("k1"), F.asc("k2"), F.asc("id")).collect()]
+    for i, cur in enumerate(full):
+        rest = [tuple(r) for r in df.filter(tr.rows_after(order, cur))
+                .orderBy(F.desc("k1"), F.asc("k2"), F.asc("id")).collect()]
+        assert rest == full[i + 1:]
+
+
+def test_reviewed_keyset_pages(spark):
+    rows = [_row(f"r{i}", decision="RELEASE") for i in range(7)]
+    # Three distinct review times, several rows each.
+    t = _triage(spark, rows).withColumn(
+        "reviewed_at", F.lit(NOW) + F.expr("make_dt_interval(0, 0, cast(substr(transaction_id, 2) as int) % 3, 0)"))
+    full = [r.transaction_id for r in tr.reviewed_page(t, limit=200).collect()]
+    got, after = [], None
+    for _ in range(10):
+        page = tr.reviewed_page(t, limit=3, after=after).collect()
+        if not page:
+            break
+        got += [r.transaction_id for r in page]
+        after = tr.page_cursor(page[-1], tr.REVIEWED_ORDER)
+    assert got == full and len(full) == 7
+
+
 def test_validation_rejects_lowercase_and_out_of_range(spark):
     df = spark.createDataFrame([("a", "U", 1.0, 150, "critical", "BLOCK", None), ("b", "U", 1.0, 50, "HIGH", "YELLOW_FLAG", None)],
                                "transaction_id string, user_id string, amount double, risk_score int, "
