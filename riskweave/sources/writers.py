@@ -102,16 +102,48 @@ def snapshot_current_version(spark: SparkSession, root: str) -> int:
     return versions[-1] if versions else 0
 
 
+def _put_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p, _ = _fs_and_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _get_text(spark: SparkSession, path: str) -> str | None:
+    fs, p, jvm = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _tag_path(root: str, version: int) -> str:
+    return os.path.join(root, "_tags", f"{_VERSION_PREFIX}{version:012d}")
+
+
+def snapshot_written_by(spark: SparkSession, root: str, version: int, tag: str) -> bool:
+    """Whether ``version`` is committed and was written with ``tag``."""
+    return snapshot_committed(spark, root, version) and _get_text(spark, _tag_path(root, version)) == tag
+
+
 def snapshot_write(df: DataFrame, root: str, version: int | None = None,
-                   buckets: int | None = None, key: str | None = None) -> str:
+                   buckets: int | None = None, key: str | None = None, tag: str | None = None) -> str:
     """Write ``df`` as a new version under ``root`` (default: current + 1).
 
     ``buckets``/``key``: repartition by the key before writing, so each file
     holds a hash range of keys and the next upsert's join reads clustered data.
+    ``tag`` names the writer of the version (kept beside it, written before the
+    data), so a replayed job can tell its own committed version from another's.
     """
     spark = df.sparkSession
     if version is None:
         version = snapshot_current_version(spark, root) + 1
+    _put_text(spark, _tag_path(root, version), tag or uuid.uuid4().hex)
     path = _version_path(root, version)
     if buckets and key:
         df = df.repartition(buckets, key).sortWithinPartitions(key)
@@ -119,6 +151,32 @@ def snapshot_write(df: DataFrame, root: str, version: int | None = None,
     return path
 
 
+def snapshot_committed(spark: SparkSession, root: str, version: int) -> bool:
+    fs, p, _ = _fs_and_path(spark, os.path.join(_version_path(root, version), "_SUCCESS"))
+    return fs.exists(p)
+
+
+def snapshot_read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """A given committed version (what a replayed job must read again)."""
+    if not snapshot_committed(spark, root, version):
+        raise FileNotFoundError(f"version {version} under {root} is not committed")
+    return spark.read.parquet(_version_path(root, version))
+
+
+def batch_base_version(spark: SparkSession, root: str, writer: str, batch_id: int,
+                       rebase: bool = False) -> int:
+    """Queue version a micro-batch of ``writer`` starts from, recorded on first
+    use so that a replay of the batch reads the same version (``rebase``:
+    record the current version instead)."""
+    rec = os.path.join(root, "_batches", writer, f"batch={batch_id}")
+    got = None if rebase else _get_text(spark, rec)
+    if got is not None:
+        return int(got)
+    base = snapshot_current_version(spark, root)
+    _put_text(spark, rec, str(base))
+    return base
+
+
 def snapshot_read(spark: SparkSession, root: str, schema=None) -> DataFrame:
     cur = snapshot_current(spark, root)
     if cur is None:

@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 from riskweave import config as C
 from riskweave.operators import gold, triage as tr
 from riskweave.sources import schemas
-from riskweave.sources.writers import snapshot_current_version, snapshot_read, snapshot_write
+from riskweave.sources.writers import (batch_base_version, snapshot_committed, snapshot_read_version,
+                                       snapshot_write, snapshot_written_by)
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
@@ -113,53 +114,75 @@ def dedupe_stream(df: DataFrame, key: str = "transaction_id", ts: str = "timesta
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
+def _replay_base(spark: SparkSession, root: str, writer: str, batch_id: int) -> int | None:
+    """Version a batch of ``writer`` builds on, or None when the batch is
+    already complete.  The batch's next version carries the tag
+    ``writer:batch_id``; if another job committed that version number first,
+    the batch is re-based on the current version (it never committed)."""
+    tag = f"{writer}:{batch_id}"
+    base = batch_base_version(spark, root, writer, batch_id)
+    if snapshot_written_by(spark, root, base + 1, tag):
+        return None
+    if snapshot_committed(spark, root, base + 1):
+        base = batch_base_version(spark, root, writer, batch_id, rebase=True)
+    return base
+
+
 class TriageSink:
     """``foreachBatch`` sink: dedupe the batch per transaction, lay it out as
-    queue rows and upsert it into the current snapshot (a known transaction is
-    updated only by a higher-scoring pair), writing version ``batch_id + 1``.  A batch whose version is already committed is skipped,
-    so a replay after a failure changes nothing.  One writer owns a root."""
+    queue rows and upsert it into the queue (a known transaction is updated
+    only by a higher-scoring pair), writing the next version.  Replay-safe:
+    the version a batch starts from is recorded, so a replay rebuilds the same
+    next version, and a batch whose version is committed is skipped.  Other
+    jobs may write versions between batches; writers take turns (no two write
+    the same root at the same time)."""
+
+    writer = "upsert"
 
     def __init__(self, root: str, now=None, factors: str = "object"):
         self.root, self.now, self.factors = root, now, factors
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = batch_id + 1
-        if snapshot_current_version(spark, self.root) >= version:
+        base = _replay_base(spark, self.root, self.writer, batch_id)
+        if base is None:
             return
         src = tr.to_triage(gold.dedupe_per_transaction(batch), factors=self.factors,
                            created_at=F.col("tx_timestamp"))
-        target = snapshot_read(spark, self.root) if snapshot_current_version(spark, self.root) else None
-        snapshot_write(tr.upsert(target, src, now=self.now, only_if_higher=True), self.root, version=version)
+        target = snapshot_read_version(spark, self.root, base) if base else None
+        snapshot_write(tr.upsert(target, src, now=self.now, only_if_higher=True), self.root,
+                       version=base + 1, tag=f"{self.writer}:{batch_id}")
 
 
 class DecisionSink:
     """``foreachBatch`` sink for a stream of analyst decisions: each micro-batch
-    is applied first-wins to the current queue version (undecided rows only)
-    and written as a new version; the per-decision outcome rows are appended
-    to ``outcome_path``.  Versions advance by one per applied batch and the
-    batch id is recorded in ``<root>/_decision_batches``, so a replayed batch
-    is skipped."""
+    is applied first-wins to the queue (undecided rows only) and written as
+    the next version; the per-decision outcome rows go to
+    ``<outcome_path>/batch_id=<id>``.
+
+    Replay-exact: a replay reads the version the batch started from, so it
+    recomputes the same outcomes (the batch's partition is overwritten, never
+    appended twice) and the same next version; a batch whose version is
+    committed is skipped (see ``TriageSink`` for turn-taking)."""
+
+    writer = "decisions"
 
     def __init__(self, root: str, outcome_path: str | None = None, now=None):
         self.root, self.outcome_path, self.now = root, outcome_path, now
 
-    def _done(self, spark: SparkSession) -> str:
-        return f"{self.root.rstrip('/')}/_decision_batches"
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marker = f"{self._done(spark)}/batch={batch_id}"
-        from riskweave.sources.writers import _fs_and_path
-        fs, p, _ = _fs_and_path(spark, marker + "/_SUCCESS")
-        if fs.exists(p):
+        base = _replay_base(spark, self.root, self.writer, batch_id)
+        if base is None:
             return
-        current = snapshot_read(spark, self.root)
+        if base == 0:
+            raise FileNotFoundError(f"no queue snapshot under {self.root}")
+        current = snapshot_read_version(spark, self.root, base)
         if self.outcome_path:
-            tr.decision_outcome(current, batch).withColumn("batch_id", F.lit(batch_id)) \
-              .write.mode("append").parquet(self.outcome_path)
-        snapshot_write(tr.apply_decisions(current, batch, now=self.now), self.root)
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(marker)
+            tr.decision_outcome(current, batch).write.mode("overwrite") \
+              .parquet(f"{self.outcome_path.rstrip('/')}/batch_id={batch_id}")
+        snapshot_write(tr.apply_decisions(current, batch, now=self.now), self.root,
+                       version=base + 1, tag=f"{self.writer}:{batch_id}")
 
 
 def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:

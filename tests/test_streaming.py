@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskweave.operators import gold, kpis, silver
 from riskweave.plans.registry import inputs_for
 from riskweave.sources import readers, schemas
-from riskweave.sources.writers import snapshot_read
+from riskweave.sources.writers import batch_base_version, snapshot_read, snapshot_write
 from riskweave.sources.writers import snapshot_versions as writers_versions
 from riskweave.streaming import pipeline as sp
 from tests.conftest import SF_SMALL
@@ -179,3 +179,43 @@ def test_decision_stream_sink_first_wins_and_replay(spark, tmp_dir):
     outcomes = spark.read.parquet(os.path.join(tmp_dir, "outcomes"))
     counts = {(r.batch_id, r.status): r["count"] for r in outcomes.groupBy("batch_id", "status").count().collect()}
     assert counts[(0, "applied")] == 36 and counts[(1, "already_reviewed")] == 36
+
+
+def test_decision_sink_replay_after_crash_is_exact(spark, tmp_dir):
+    """A driver dies after the outcome rows were written but before the next
+    queue version committed; the replayed batch must give the same outcome
+    rows once (not twice, not re-labelled) and the same queue."""
+    from riskweave.operators import triage as tr
+    i = inputs_for(spark, SF_SMALL)
+    root, out = os.path.join(tmp_dir, "queue"), os.path.join(tmp_dir, "outcomes")
+    sp.TriageSink(root, now=i.now)(i.risk, 0)
+    sink = sp.DecisionSink(root, outcome_path=out, now=i.now)
+    base = batch_base_version(spark, root, sink.writer, 7)   # the crashed attempt, step 1
+    tr.decision_outcome(snapshot_read(spark, root), i.decisions).write.mode("overwrite") \
+      .parquet(os.path.join(out, "batch_id=7"))               # step 2; dies before the snapshot
+    sink(i.decisions, 7)                                      # replay
+    assert writers_versions(spark, root) == [base, base + 1]
+    got = spark.read.parquet(out)
+    counts = {r.status: r["count"] for r in got.groupBy("status").count().collect()}
+    assert counts["applied"] == 36 and got.count() == i.decisions.count()
+    assert snapshot_read(spark, root).filter("analyst_decision IS NOT NULL").count() == 36
+    sink(i.decisions, 7)                                      # replay after completion: no-op
+    assert writers_versions(spark, root) == [base, base + 1] and spark.read.parquet(out).count() == got.count()
+
+
+def test_upsert_sink_batch_after_another_writer_is_applied(spark, tmp_dir):
+    """Versions written by other jobs between micro-batches (decisions,
+    explanations) must not make a later upsert batch look done."""
+    i = inputs_for(spark, SF_SMALL)
+    root = os.path.join(tmp_dir, "queue")
+    half_a, half_b = (i.risk.filter(f"pmod(hash(transaction_id), 2) = {k}") for k in (0, 1))
+    sink = sp.TriageSink(root, now=i.now)
+    sink(half_a, 0)
+    snapshot_write(snapshot_read(spark, root), root)          # another job's version 2
+    sink(half_b, 1)                                           # must build version 3
+    sink(half_b, 1)                                           # replay: no-op
+    assert writers_versions(spark, root) == [1, 2, 3]
+    whole = os.path.join(tmp_dir, "whole")
+    sp.TriageSink(whole, now=i.now)(i.risk, 0)
+    cols = ["transaction_id", "risk_score", "automated_action"]
+    assert _rows(snapshot_read(spark, root), cols) == _rows(snapshot_read(spark, whole), cols)
