@@ -11,6 +11,7 @@ Layout under ``root`` (shared storage, e.g. under ``spark.checkpoint.dir``):
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,34 +32,47 @@ DATASETS = {
 }
 
 
+def _together(*jobs) -> list:
+    """Run independent write jobs concurrently (Spark schedules their stages
+    side by side on the same executors, filling the cores one job's tail
+    leaves idle); returns their results and re-raises the first failure."""
+    if len(jobs) == 1:
+        return [jobs[0]()]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(j) for j in jobs]
+        return [f.result() for f in futures]
+
+
 def run_batch(spark: SparkSession, bronze_tx: DataFrame, bronze_logins: DataFrame, root: str,
               now=None, strategy: str = "bucketed", partition_gold_by_date: bool = False) -> dict[str, str]:
     """``partition_gold_by_date``: write the pair table partitioned by
     transaction date, for deployments whose reports filter on recent days (the
     certified reports scan every day, so it is off by default and each task
-    writes one file)."""
+    writes one file).  Layers that do not depend on each other are written
+    concurrently; every write overwrites its own path, so a rerun after a
+    failure starts clean."""
     paths = {k: os.path.join(root, k) for k in (
         "silver_transactions", "silver_login_logs", "gold_user_session_risk", "gold_fraud_kpis",
         "gold_wire_after_mfa_change", "triage")}
-    write_table(silver.silver_transactions(bronze_tx), paths["silver_transactions"])
-    write_table(silver.silver_login_logs(bronze_logins), paths["silver_login_logs"])
+    _together(lambda: write_table(silver.silver_transactions(bronze_tx), paths["silver_transactions"]),
+              lambda: write_table(silver.silver_login_logs(bronze_logins), paths["silver_login_logs"]))
     s_tx = spark.read.parquet(paths["silver_transactions"])
     s_lg = spark.read.parquet(paths["silver_login_logs"])
 
     risk = gold.session_risk(s_tx, s_lg, strategy=strategy)
     if partition_gold_by_date:
         risk = risk.withColumn("tx_date", F.to_date("tx_timestamp")).sortWithinPartitions("tx_date")
-        write_table(risk, paths["gold_user_session_risk"], partition_by=["tx_date"])
+        write_risk = lambda: write_table(risk, paths["gold_user_session_risk"], partition_by=["tx_date"])
     else:
-        write_table(risk, paths["gold_user_session_risk"])
-    write_table(gold.wire_after_mfa(s_tx, s_lg, strategy=strategy), paths["gold_wire_after_mfa_change"])
+        write_risk = lambda: write_table(risk, paths["gold_user_session_risk"])
+    _together(write_risk, lambda: write_table(gold.wire_after_mfa(s_tx, s_lg, strategy=strategy),
+                                              paths["gold_wire_after_mfa_change"]))
     g = spark.read.parquet(paths["gold_user_session_risk"])
-    write_table(kpis.fraud_kpis(g), paths["gold_fraud_kpis"])
-
-    g = g.drop("tx_date") if "tx_date" in g.columns else g
-    batch = tr.to_triage(gold.dedupe_per_transaction(g), created_at=F.col("tx_timestamp"))
+    g_pairs = g.drop("tx_date") if "tx_date" in g.columns else g
+    batch = tr.to_triage(gold.dedupe_per_transaction(g_pairs), created_at=F.col("tx_timestamp"))
     current = snapshot_read(spark, paths["triage"]) if snapshot_current(spark, paths["triage"]) else None
-    snapshot_write(tr.upsert(current, batch, now=now), paths["triage"])
+    _together(lambda: write_table(kpis.fraud_kpis(g), paths["gold_fraud_kpis"]),
+              lambda: snapshot_write(tr.upsert(current, batch, now=now), paths["triage"]))
     return paths
 
 
