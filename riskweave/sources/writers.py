@@ -177,6 +177,38 @@ def batch_base_version(spark: SparkSession, root: str, writer: str, batch_id: in
     return base
 
 
+def snapshot_expire(spark: SparkSession, root: str, keep: int = 10) -> list[int]:
+    """Retention: delete the versions older than the newest ``keep`` committed
+    ones (with their tags and any failed attempts among them) and the batch
+    records based on them, which can no longer be replayed.  Choose ``keep``
+    above the number of versions a running reader may still be scanning.
+    Returns the deleted version numbers."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    versions = snapshot_versions(spark, root)
+    if len(versions) <= keep:
+        return []
+    oldest = versions[-keep]
+    fs, p, jvm = _fs_and_path(spark, root)
+    Path = jvm.org.apache.hadoop.fs.Path
+    removed = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        num = name[len(_VERSION_PREFIX):]
+        if st.isDirectory() and name.startswith(_VERSION_PREFIX) and num.isdigit() and int(num) < oldest:
+            fs.delete(st.getPath(), True)
+            fs.delete(Path(_tag_path(root, int(num))), False)
+            removed.append(int(num))
+    ledger = Path(os.path.join(root, "_batches"))
+    if fs.exists(ledger):
+        for writer in fs.listStatus(ledger):
+            for rec in fs.listStatus(writer.getPath()):
+                base = _get_text(spark, rec.getPath().toString())
+                if base is not None and int(base) < oldest:
+                    fs.delete(rec.getPath(), False)
+    return sorted(removed)
+
+
 def snapshot_read(spark: SparkSession, root: str, schema=None) -> DataFrame:
     cur = snapshot_current(spark, root)
     if cur is None:

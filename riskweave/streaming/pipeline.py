@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from riskweave import config as C
 from riskweave.operators import gold, triage as tr
 from riskweave.sources import schemas
-from riskweave.sources.writers import (batch_base_version, snapshot_committed, snapshot_read_version,
-                                       snapshot_write, snapshot_written_by)
+from riskweave.sources.writers import (batch_base_version, snapshot_committed, snapshot_expire,
+                                       snapshot_read_version, snapshot_write, snapshot_written_by)
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
@@ -139,8 +139,8 @@ class TriageSink:
 
     writer = "upsert"
 
-    def __init__(self, root: str, now=None, factors: str = "object"):
-        self.root, self.now, self.factors = root, now, factors
+    def __init__(self, root: str, now=None, factors: str = "object", keep_versions: int | None = None):
+        self.root, self.now, self.factors, self.keep = root, now, factors, keep_versions
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -152,6 +152,8 @@ class TriageSink:
         target = snapshot_read_version(spark, self.root, base) if base else None
         snapshot_write(tr.upsert(target, src, now=self.now, only_if_higher=True), self.root,
                        version=base + 1, tag=f"{self.writer}:{batch_id}")
+        if self.keep:
+            snapshot_expire(spark, self.root, self.keep)
 
 
 class DecisionSink:
@@ -167,8 +169,8 @@ class DecisionSink:
 
     writer = "decisions"
 
-    def __init__(self, root: str, outcome_path: str | None = None, now=None):
-        self.root, self.outcome_path, self.now = root, outcome_path, now
+    def __init__(self, root: str, outcome_path: str | None = None, now=None, keep_versions: int | None = None):
+        self.root, self.outcome_path, self.now, self.keep = root, outcome_path, now, keep_versions
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -183,6 +185,8 @@ class DecisionSink:
               .parquet(f"{self.outcome_path.rstrip('/')}/batch_id={batch_id}")
         snapshot_write(tr.apply_decisions(current, batch, now=self.now), self.root,
                        version=base + 1, tag=f"{self.writer}:{batch_id}")
+        if self.keep:
+            snapshot_expire(spark, self.root, self.keep)
 
 
 def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
@@ -191,10 +195,13 @@ def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
     return checkpoint or shared_path(spark, "streams", name)
 
 
-def start_triage_upsert(risk_stream: DataFrame, root: str, checkpoint: str | None = None, now=None, trigger=None):
-    """Continuously upsert flagged pairs of a gold stream into the queue snapshot."""
+def start_triage_upsert(risk_stream: DataFrame, root: str, checkpoint: str | None = None, now=None, trigger=None,
+                        keep_versions: int | None = 10):
+    """Continuously upsert flagged pairs of a gold stream into the queue
+    snapshot, keeping the newest ``keep_versions`` versions (None: all)."""
     ckpt = _checkpoint(risk_stream.sparkSession, checkpoint, "triage_upsert")
-    w = risk_stream.writeStream.foreachBatch(TriageSink(root, now)).option("checkpointLocation", ckpt)
+    w = risk_stream.writeStream.foreachBatch(TriageSink(root, now, keep_versions=keep_versions)) \
+        .option("checkpointLocation", ckpt)
     if trigger:
         w = w.trigger(**trigger)
     return w.start()

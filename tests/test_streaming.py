@@ -219,3 +219,25 @@ def test_upsert_sink_batch_after_another_writer_is_applied(spark, tmp_dir):
     sp.TriageSink(whole, now=i.now)(i.risk, 0)
     cols = ["transaction_id", "risk_score", "automated_action"]
     assert _rows(snapshot_read(spark, root), cols) == _rows(snapshot_read(spark, whole), cols)
+
+
+def test_snapshot_expire_keeps_newest_and_replayable(spark, tmp_dir):
+    from riskweave.sources.writers import snapshot_expire
+    i = inputs_for(spark, SF_SMALL)
+    root = os.path.join(tmp_dir, "queue")
+    parts = [i.risk.filter(f"pmod(hash(transaction_id), 3) = {k}") for k in range(3)]
+    sink = sp.TriageSink(root, now=i.now, keep_versions=2)
+    for b, part in enumerate(parts):
+        sink(part, b)
+    assert writers_versions(spark, root) == [2, 3]
+    sink(parts[2], 2)                                        # replay of the last batch: still a no-op
+    assert writers_versions(spark, root) == [2, 3]
+    def names(d):  # the local file system adds .crc side files
+        return sorted(n for n in os.listdir(d) if not n.endswith(".crc"))
+    assert names(os.path.join(root, "_batches", sink.writer)) == ["batch=2"]  # batch 1 was based on v1
+    assert names(os.path.join(root, "_tags")) == ["v=000000000002", "v=000000000003"]
+    whole = os.path.join(tmp_dir, "whole")
+    sp.TriageSink(whole, now=i.now)(i.risk, 0)
+    cols = ["transaction_id", "risk_score", "automated_action"]
+    assert _rows(snapshot_read(spark, root), cols) == _rows(snapshot_read(spark, whole), cols)
+    assert snapshot_expire(spark, root, keep=1) == [2] and writers_versions(spark, root) == [3]
