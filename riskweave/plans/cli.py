@@ -46,11 +46,14 @@ def main(argv=None) -> int:
                              infer_schema=args.infer_schema)
         print(json.dumps(paths))
     else:
+        import os
         from riskweave.plans.review import apply_decision_batch
+        from riskweave.sources.writers import snapshot_current_version
         dec = spark.read.option("header", "true").schema(schemas.DECISIONS).csv(args.decisions)
-        path, outcome = apply_decision_batch(spark, dec, args.queue, now=args.now)
-        outcome.write.mode("overwrite").parquet(path.rstrip("/") + "_outcome")
-        print(json.dumps({"queue_version": path}))
+        nxt = snapshot_current_version(spark, args.queue) + 1
+        out = os.path.join(args.queue, "_outcomes", f"v={nxt:012d}")
+        path, _ = apply_decision_batch(spark, dec, args.queue, now=args.now, outcome_path=out)
+        print(json.dumps({"queue_version": path, "outcome": out}))
     return 0
 
 

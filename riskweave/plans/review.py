@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import gold, narrative, triage as tr
-from riskweave.sources.writers import (read_bucketed, snapshot_current, snapshot_read, snapshot_write,
-                                       swap_bucketed)
+from riskweave.sources.writers import (read_bucketed, snapshot_current, snapshot_current_version, snapshot_read,
+                                       snapshot_read_version, snapshot_write, swap_bucketed)
 
 
 def _current(spark: SparkSession, root: str) -> DataFrame | None:
@@ -43,10 +43,19 @@ def sync_queue_table(spark: SparkSession, risk: DataFrame, table: str, now=None,
     return spark.table(table)
 
 
-def apply_decision_batch(spark: SparkSession, decisions: DataFrame, root: str, now=None) -> tuple[str, DataFrame]:
-    current = snapshot_read(spark, root)
+def apply_decision_batch(spark: SparkSession, decisions: DataFrame, root: str, now=None,
+                         outcome_path: str | None = None) -> tuple[str, DataFrame]:
+    """First-wins update as the next version.  With ``outcome_path`` the
+    per-decision outcomes are written there first, from the same base
+    version, so a rerun after a failure before the commit recomputes both
+    exactly."""
+    base = snapshot_current_version(spark, root)
+    current = snapshot_read_version(spark, root, base)
     outcome = tr.decision_outcome(current, decisions)
-    path = snapshot_write(tr.apply_decisions(current, decisions, now=now), root)
+    if outcome_path:
+        outcome.write.mode("overwrite").parquet(outcome_path)
+        outcome = spark.read.parquet(outcome_path)
+    path = snapshot_write(tr.apply_decisions(current, decisions, now=now), root, version=base + 1)
     return path, outcome
 
 

@@ -6,8 +6,10 @@ hourly KPIs and the queue upsert.
   side's watermark passes the window; the left outer form emits unmatched
   transactions once the login watermark has moved beyond their window.
 * KPIs are an event-time tumbling window with a lateness bound, in append mode.
-* The queue upsert is a ``foreachBatch`` sink writing a new snapshot version
-  per micro-batch, named by batch id, so a replayed batch is a no-op.
+* The queue upsert and decision sinks are ``foreachBatch`` sinks writing a
+  new snapshot version per micro-batch; the version a batch starts from is
+  recorded and the version it writes is tagged with the batch, so a replayed
+  batch rebuilds exactly the same result or, once committed, is skipped.
 
 Checkpoints and snapshots go under the shared root named by the session's
 ``spark.checkpoint.dir`` (see ``riskweave.session.shared_path``).

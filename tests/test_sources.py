@@ -146,3 +146,20 @@ def test_cli_batch_and_decisions_from_csv(spark, tmp_dir):
                      "--now", "2024-01-31 00:00:00"]) == 0
     q = writers.snapshot_read(spark, os.path.join(out, "triage"))
     assert q.count() == 87 and q.filter("analyst_decision IS NOT NULL").count() == 36
+    outcome = spark.read.parquet(os.path.join(out, "triage", "_outcomes", "v=000000000002"))
+    assert outcome.filter("status = 'applied'").count() == 36
+
+
+def test_decision_batch_rerun_before_commit_is_exact(spark, tmp_dir):
+    """The job died after writing the outcomes but before the new queue
+    version committed: the rerun recomputes the same outcomes from the same
+    base version."""
+    from riskweave.plans import review
+    i = inputs_for(spark, SF_SMALL)
+    root, out = os.path.join(tmp_dir, "queue"), os.path.join(tmp_dir, "outcome")
+    review.sync_queue(spark, i.risk, root, now=i.now)
+    from riskweave.operators import triage as tr
+    tr.decision_outcome(writers.snapshot_read(spark, root), i.decisions).write.parquet(out)  # crashed run
+    path, outcome = review.apply_decision_batch(spark, i.decisions, root, now=i.now, outcome_path=out)
+    assert writers.snapshot_versions(spark, root) == [1, 2]
+    assert outcome.filter("status = 'applied'").count() == 36 and outcome.count() == i.decisions.count()
