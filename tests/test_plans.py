@@ -84,3 +84,36 @@ def test_interval_join_matches_brute_force(spark, txs, logins, window_s, bucket)
         hits = [f"l{j}" for j, (lu, ls) in enumerate(logins) if lu == u and ls <= s <= ls + window_s]
         expect += [(f"t{k}", h) for h in hits] or [(f"t{k}", "")]
     assert got == sorted(expect)
+
+
+def test_hot_user_hour_bucket_is_split_by_aqe_skew_join(spark):
+    """70% of all transactions belong to one user inside one hour, so one
+    (user, hour) bucket dominates; AQE's skew join must split that bucket's
+    transaction side across tasks (the preserved side of the left join, which
+    Spark may split) and the rows must equal the plain join's."""
+    from pyspark.sql import functions as F
+    base = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")
+
+    def at(secs):
+        return base + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
+    tx = spark.range(20000).select(
+        F.col("id").alias("tid"), F.when(F.col("id") % 10 < 7, F.lit(0)).otherwise(F.col("id") % 50).alias("user_id"),
+        at(F.col("id") % 3000).alias("tx_ts"), F.lpad(F.col("id").cast("string"), 40, "x").alias("pad"))
+    lg = spark.range(1000).select(F.col("id").alias("lid"), (F.col("id") % 50).alias("user_id"),
+                                  at(F.col("id") * 7 % 3000).alias("l_ts"))
+    conf = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+    def run():
+        b = interval_join(tx, lg, "user_id", "tx_ts", "l_ts", "0 seconds", "1 hour").select("tid", "lid")
+        p = interval_join(tx, lg, "user_id", "tx_ts", "l_ts", "0 seconds", "1 hour", strategy="plain") \
+            .select("tid", "lid")
+        n = len(b.collect())                                  # runs b's own plan to its final form
+        return n, _plan(b), b.exceptAll(p).count(), p.exceptAll(b).count()
+    n, plan, extra, missing = _with_conf(spark, conf, run)
+    assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
+    assert "coalesced and skewed" in plan
+    assert extra == 0 and missing == 0 and n > 20000
