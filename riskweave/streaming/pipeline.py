@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from riskweave import config as C
 from riskweave.operators import gold, triage as tr
 from riskweave.sources import schemas
-from riskweave.sources.writers import (batch_base_version, snapshot_committed, snapshot_expire,
-                                       snapshot_read_version, snapshot_write, snapshot_written_by)
+from riskweave.sources.writers import (batch_base_version, read_bucketed, snapshot_committed, snapshot_expire,
+                                       snapshot_read_version, snapshot_write, snapshot_written_by, swap_bucketed)
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
@@ -158,6 +158,30 @@ class TriageSink:
             snapshot_expire(spark, self.root, self.keep)
 
 
+class TriageTableSink:
+    """``foreachBatch`` sink into a catalog queue table bucketed and sorted by
+    ``transaction_id`` (the streaming form of ``plans.review.sync_queue_table``).
+    The upsert join scans the queue with no exchange; only the micro-batch is
+    shuffled into the table's buckets, so the queue does not move across the
+    network on every trigger.  The new table is written aside and swapped in
+    (an interrupted swap is finished on the next read).  Replay-safe by
+    idempotence: a known transaction changes only for a strictly higher score
+    and a present one is never inserted again, so applying a batch twice
+    leaves the table as applying it once."""
+
+    def __init__(self, table: str, now=None, factors: str = "object", buckets: int = 64,
+                 location: str | None = None):
+        self.table, self.now, self.factors = table, now, factors
+        self.buckets, self.location = buckets, location
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        src = tr.to_triage(gold.dedupe_per_transaction(batch), factors=self.factors,
+                           created_at=F.col("tx_timestamp"))
+        merged = tr.upsert(read_bucketed(spark, self.table), src, now=self.now, only_if_higher=True)
+        swap_bucketed(merged, self.table, "transaction_id", self.buckets, self.location)
+
+
 class DecisionSink:
     """``foreachBatch`` sink for a stream of analyst decisions: each micro-batch
     is applied first-wins to the queue (undecided rows only) and written as
@@ -209,6 +233,18 @@ def start_triage_upsert(risk_stream: DataFrame, root: str, checkpoint: str | Non
     return w.start()
 
 
+def start_triage_table_upsert(risk_stream: DataFrame, table: str, location: str | None = None,
+                              buckets: int = 64, checkpoint: str | None = None, now=None, trigger=None):
+    """Continuously upsert flagged pairs of a gold stream into a bucketed
+    queue table (``location``: external data on shared storage)."""
+    ckpt = _checkpoint(risk_stream.sparkSession, checkpoint, f"triage_table_{table}")
+    sink = TriageTableSink(table, now, buckets=buckets, location=location)
+    w = risk_stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
 def start_session_risk_stream(spark: SparkSession, tx_path: str, login_path: str, queue_root: str,
                               checkpoint: str | None = None, fmt: str = "csv", now=None, delay: str = "2 hours",
                               trigger: dict | None = None, max_files_per_trigger: int | None = None):

@@ -241,3 +241,19 @@ def test_snapshot_expire_keeps_newest_and_replayable(spark, tmp_dir):
     cols = ["transaction_id", "risk_score", "automated_action"]
     assert _rows(snapshot_read(spark, root), cols) == _rows(snapshot_read(spark, whole), cols)
     assert snapshot_expire(spark, root, keep=1) == [2] and writers_versions(spark, root) == [3]
+
+
+def test_table_sink_equals_snapshot_sink_and_replay_is_noop(spark, tmp_dir):
+    i = inputs_for(spark, SF_SMALL)
+    parts = [i.risk.filter(f"pmod(hash(transaction_id), 3) = {k}") for k in range(3)]
+    sink = sp.TriageTableSink("rw_stream_queue", now=i.now, buckets=8, location=os.path.join(tmp_dir, "tbl"))
+    for b, part in enumerate(parts):
+        sink(part, b)
+    cols = ["transaction_id", "risk_score", "automated_action", "created_at", "updated_at", "expires_at"]
+    once = _rows(spark.table("rw_stream_queue"), cols)
+    sink(parts[2], 2)                                         # replayed batch
+    sink(parts[1], 1)                                         # even an older one
+    assert _rows(spark.table("rw_stream_queue"), cols) == once
+    whole = os.path.join(tmp_dir, "whole")
+    sp.TriageSink(whole, now=i.now)(i.risk, 0)
+    assert once == _rows(snapshot_read(spark, whole), cols) and len(once) == 87
