@@ -141,8 +141,10 @@ class TriageSink:
 
     writer = "upsert"
 
-    def __init__(self, root: str, now=None, factors: str = "object", keep_versions: int | None = None):
+    def __init__(self, root: str, now=None, factors: str = "object", keep_versions: int | None = None,
+                 writer: str | None = None):
         self.root, self.now, self.factors, self.keep = root, now, factors, keep_versions
+        self.writer = writer or self.writer
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -186,17 +188,21 @@ class DecisionSink:
     """``foreachBatch`` sink for a stream of analyst decisions: each micro-batch
     is applied first-wins to the queue (undecided rows only) and written as
     the next version; the per-decision outcome rows go to
-    ``<outcome_path>/batch_id=<id>``.
+    ``<outcome_path>/writer=<writer>/batch_id=<id>``.
 
     Replay-exact: a replay reads the version the batch started from, so it
     recomputes the same outcomes (the batch's partition is overwritten, never
     appended twice) and the same next version; a batch whose version is
-    committed is skipped (see ``TriageSink`` for turn-taking)."""
+    committed is skipped (see ``TriageSink`` for turn-taking).  Pass
+    ``writer=stream_writer_name("decisions", checkpoint)`` so a stream started
+    on a new checkpoint (batch ids from 0 again) keeps its own records."""
 
     writer = "decisions"
 
-    def __init__(self, root: str, outcome_path: str | None = None, now=None, keep_versions: int | None = None):
+    def __init__(self, root: str, outcome_path: str | None = None, now=None, keep_versions: int | None = None,
+                 writer: str | None = None):
         self.root, self.outcome_path, self.now, self.keep = root, outcome_path, now, keep_versions
+        self.writer = writer or self.writer
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -208,13 +214,20 @@ class DecisionSink:
         current = snapshot_read_version(spark, self.root, base)
         if self.outcome_path:
             tr.decision_outcome(current, batch).write.mode("overwrite") \
-              .parquet(f"{self.outcome_path.rstrip('/')}/batch_id={batch_id}")
+              .parquet(f"{self.outcome_path.rstrip('/')}/writer={self.writer}/batch_id={batch_id}")
         snapshot_write(tr.apply_decisions(current, batch, now=self.now), self.root,
                        version=base + 1, tag=f"{self.writer}:{batch_id}")
         if self.keep:
             snapshot_expire(spark, self.root, self.keep)
 
 
+def stream_writer_name(kind: str, checkpoint: str) -> str:
+    """Ledger name of a stream's sink: batch ids restart at 0 under a new
+    checkpoint, so the batch records are kept per checkpoint location."""
+    import hashlib
+    return f"{kind}-{hashlib.sha1(checkpoint.encode('utf-8')).hexdigest()[:12]}"
+
+
 def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
     """An explicit location, else one under the session's shared checkpoint root."""
     from riskweave.session import shared_path
@@ -226,8 +239,8 @@ def start_triage_upsert(risk_stream: DataFrame, root: str, checkpoint: str | Non
     """Continuously upsert flagged pairs of a gold stream into the queue
     snapshot, keeping the newest ``keep_versions`` versions (None: all)."""
     ckpt = _checkpoint(risk_stream.sparkSession, checkpoint, "triage_upsert")
-    w = risk_stream.writeStream.foreachBatch(TriageSink(root, now, keep_versions=keep_versions)) \
-        .option("checkpointLocation", ckpt)
+    sink = TriageSink(root, now, keep_versions=keep_versions, writer=stream_writer_name("upsert", ckpt))
+    w = risk_stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
     if trigger:
         w = w.trigger(**trigger)
     return w.start()

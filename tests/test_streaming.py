@@ -192,7 +192,7 @@ def test_decision_sink_replay_after_crash_is_exact(spark, tmp_dir):
     sink = sp.DecisionSink(root, outcome_path=out, now=i.now)
     base = batch_base_version(spark, root, sink.writer, 7)   # the crashed attempt, step 1
     tr.decision_outcome(snapshot_read(spark, root), i.decisions).write.mode("overwrite") \
-      .parquet(os.path.join(out, "batch_id=7"))               # step 2; dies before the snapshot
+      .parquet(os.path.join(out, f"writer={sink.writer}", "batch_id=7"))  # step 2; dies before the snapshot
     sink(i.decisions, 7)                                      # replay
     assert writers_versions(spark, root) == [base, base + 1]
     got = spark.read.parquet(out)
@@ -257,3 +257,15 @@ def test_table_sink_equals_snapshot_sink_and_replay_is_noop(spark, tmp_dir):
     whole = os.path.join(tmp_dir, "whole")
     sp.TriageSink(whole, now=i.now)(i.risk, 0)
     assert once == _rows(snapshot_read(spark, whole), cols) and len(once) == 87
+
+
+def test_new_checkpoint_gets_its_own_batch_records(spark, tmp_dir):
+    """Batch ids restart at 0 under a new checkpoint: the new stream's batch 0
+    must be applied, not mistaken for the old stream's batch 0."""
+    i = inputs_for(spark, SF_SMALL)
+    root = os.path.join(tmp_dir, "queue")
+    half_a, half_b = (i.risk.filter(f"pmod(hash(transaction_id), 2) = {k}") for k in (0, 1))
+    sp.TriageSink(root, now=i.now, writer=sp.stream_writer_name("upsert", "/ckpt/one"))(half_a, 0)
+    sp.TriageSink(root, now=i.now, writer=sp.stream_writer_name("upsert", "/ckpt/two"))(half_b, 0)
+    assert writers_versions(spark, root) == [1, 2]
+    assert snapshot_read(spark, root).count() == 87
