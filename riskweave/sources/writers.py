@@ -230,18 +230,33 @@ def read_bucketed(spark: SparkSession, table: str) -> DataFrame | None:
     return spark.table(table) if spark.catalog.tableExists(table) else None
 
 
-def swap_bucketed(df: DataFrame, table: str, key: str, buckets: int, location: str | None = None) -> None:
+def swap_bucketed(df: DataFrame, table: str, key: str, buckets: int, location: str | None = None,
+                  keep: int = 2) -> None:
     """Write ``df`` bucketed and sorted by ``key`` as ``<table>__next``, then
     swap it in.  Joins on ``key`` against the table then read it without a
     shuffle (its scan is already hash-partitioned into ``buckets``); only the
     other side moves.  ``location``: external data under shared storage (a new
-    directory per write); otherwise a managed table in the warehouse."""
+    directory per write; after the swap only the newest ``keep`` directories
+    stay, the current one included); otherwise a managed table in the
+    warehouse (dropping the old table deletes its files)."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
     spark = df.sparkSession
     nxt = f"{table}__next"
     spark.sql(f"DROP TABLE IF EXISTS {nxt}")
     w = df.write.bucketBy(buckets, key).sortBy(key).format("parquet")
-    if location:
-        w = w.option("path", os.path.join(location, f"v={uuid.uuid4().hex}"))
+    path = os.path.join(location, f"v={uuid.uuid4().hex}") if location else None
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(nxt)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {nxt} RENAME TO {table}")
+    if path:
+        fs, root, _ = _fs_and_path(spark, location)
+        current = os.path.basename(path)
+        older = sorted((st for st in fs.listStatus(root)
+                        if st.isDirectory() and st.getPath().getName().startswith(_VERSION_PREFIX)
+                        and st.getPath().getName() != current),
+                       key=lambda st: st.getModificationTime(), reverse=True)
+        for st in older[keep - 1:]:
+            fs.delete(st.getPath(), True)

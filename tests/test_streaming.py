@@ -246,9 +246,11 @@ def test_snapshot_expire_keeps_newest_and_replayable(spark, tmp_dir):
 def test_table_sink_equals_snapshot_sink_and_replay_is_noop(spark, tmp_dir):
     i = inputs_for(spark, SF_SMALL)
     parts = [i.risk.filter(f"pmod(hash(transaction_id), 3) = {k}") for k in range(3)]
-    sink = sp.TriageTableSink("rw_stream_queue", now=i.now, buckets=8, location=os.path.join(tmp_dir, "tbl"))
+    loc = os.path.join(tmp_dir, "tbl")
+    sink = sp.TriageTableSink("rw_stream_queue", now=i.now, buckets=8, location=loc)
     for b, part in enumerate(parts):
         sink(part, b)
+    assert len([n for n in os.listdir(loc) if n.startswith("v=")]) == 2   # the current copy and one before
     cols = ["transaction_id", "risk_score", "automated_action", "created_at", "updated_at", "expires_at"]
     once = _rows(spark.table("rw_stream_queue"), cols)
     sink(parts[2], 2)                                         # replayed batch
