@@ -17,19 +17,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import gold, narrative, triage as tr
-from riskweave.sources.writers import (read_bucketed, snapshot_current, snapshot_current_version, snapshot_read,
-                                       snapshot_read_version, snapshot_write, swap_bucketed)
+from riskweave.sources.writers import (read_bucketed, snapshot_current, snapshot_current_version, snapshot_expire,
+                                       snapshot_read, snapshot_read_version, snapshot_write, swap_bucketed)
 
 
 def _current(spark: SparkSession, root: str) -> DataFrame | None:
     return snapshot_read(spark, root) if snapshot_current(spark, root) else None
 
 
+def _retain(spark: SparkSession, root: str, keep: int | None) -> None:
+    """Optional retention after a job committed its version (None: keep all)."""
+    if keep:
+        snapshot_expire(spark, root, keep)
+
+
 def sync_queue(spark: SparkSession, risk: DataFrame, root: str, now=None, factors: str = "object",
-               buckets: int | None = None) -> str:
+               buckets: int | None = None, keep: int | None = None) -> str:
     batch = tr.to_triage(gold.dedupe_per_transaction(risk), factors=factors, created_at=F.col("tx_timestamp"))
     merged = tr.upsert(_current(spark, root), batch, now=now)
-    return snapshot_write(merged, root, buckets=buckets, key="transaction_id" if buckets else None)
+    path = snapshot_write(merged, root, buckets=buckets, key="transaction_id" if buckets else None)
+    _retain(spark, root, keep)
+    return path
 
 
 def sync_queue_table(spark: SparkSession, risk: DataFrame, table: str, now=None, buckets: int = 64,
@@ -44,7 +52,7 @@ def sync_queue_table(spark: SparkSession, risk: DataFrame, table: str, now=None,
 
 
 def apply_decision_batch(spark: SparkSession, decisions: DataFrame, root: str, now=None,
-                         outcome_path: str | None = None) -> tuple[str, DataFrame]:
+                         outcome_path: str | None = None, keep: int | None = None) -> tuple[str, DataFrame]:
     """First-wins update as the next version.  With ``outcome_path`` the
     per-decision outcomes are written there first, from the same base
     version, so a rerun after a failure before the commit recomputes both
@@ -56,14 +64,18 @@ def apply_decision_batch(spark: SparkSession, decisions: DataFrame, root: str, n
         outcome.write.mode("overwrite").parquet(outcome_path)
         outcome = spark.read.parquet(outcome_path)
     path = snapshot_write(tr.apply_decisions(current, decisions, now=now), root, version=base + 1)
+    if outcome_path:  # without it the lazy outcome still reads the base version
+        _retain(spark, root, keep)
     return path, outcome
 
 
-def explain_queue(spark: SparkSession, records: DataFrame, root: str, now=None) -> str:
+def explain_queue(spark: SparkSession, records: DataFrame, root: str, now=None, keep: int | None = None) -> str:
     """``records``: gold pairs with the scorer's extra fields
     (``scorer.scorer_records`` + ``gold.with_risk``)."""
     current = snapshot_read(spark, root)
     todo = tr.missing_explanation(current).select("transaction_id")
     inputs = narrative.explanation_input(gold.dedupe_per_transaction(records)).join(todo, "transaction_id", "left_semi")
     texts = narrative.assessment_long(inputs, now).select("transaction_id", "explanation", "triggered_factors")
-    return snapshot_write(tr.apply_explanations(current, texts), root)
+    path = snapshot_write(tr.apply_explanations(current, texts), root)
+    _retain(spark, root, keep)
+    return path

@@ -163,3 +163,13 @@ def test_decision_batch_rerun_before_commit_is_exact(spark, tmp_dir):
     path, outcome = review.apply_decision_batch(spark, i.decisions, root, now=i.now, outcome_path=out)
     assert writers.snapshot_versions(spark, root) == [1, 2]
     assert outcome.filter("status = 'applied'").count() == 36 and outcome.count() == i.decisions.count()
+
+
+def test_review_jobs_retention(spark, tmp_dir):
+    from riskweave.plans import review
+    i = inputs_for(spark, SF_SMALL)
+    root = os.path.join(tmp_dir, "queue")
+    for _ in range(3):
+        review.sync_queue(spark, i.risk, root, now=i.now, keep=2)
+    assert writers.snapshot_versions(spark, root) == [2, 3]
+    assert writers.snapshot_read(spark, root).count() == 87
