@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import simhash
+from riskweave.llm import langid, quality, simhash, toxicity
 from riskweave.llm.common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,23 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return run
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
