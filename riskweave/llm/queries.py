@@ -4,12 +4,14 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import decontaminate, langid, mixture, quality, rules, simhash, substring, toxicity
+from riskweave.llm import decontaminate, htmltext, langid, mixture, quality, rules, simhash, substring, toxicity, warc
 from riskweave.llm.common import importable, table
+from riskweave.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,12 +50,27 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "llm", f"warc-{uuid.uuid4().hex}")
+    warc.write(warc.page_records(table(spark, sf_dir, "pages")), path)
+    return warc.page_index(spark, path)
+
+
+SQL["op7_warc"] = warc.PAGES_SQL
+
+
 @query
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
