@@ -55,3 +55,11 @@ def held_out(doc_id: str | Column, modulus: int, remainder: int) -> Column:
 def hash_order(doc_id: str, seed: int) -> Column:
     """A fixed pseudo-random order of ids, for bounded training samples."""
     return F.xxhash64(F.lit(seed), F.col(doc_id))
+
+
+def thinned(doc_id: str, seed: int, rows: int, count: int) -> Column:
+    """True for a hash-chosen share of ids in which about twice ``rows`` of
+    ``count`` ids are left, so that a bounded sample is ordered over a bounded
+    number of rows however large the table is."""
+    share = min(1.0, 2.0 * rows / max(1, count))
+    return F.pmod(F.xxhash64(F.lit(~seed), F.col(doc_id)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
