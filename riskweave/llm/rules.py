@@ -124,10 +124,14 @@ def decision_column(rules: list[Rule], default: int) -> Column:
 
 
 def _cuts(rows: DataFrame, features: tuple[str, ...], bins: int) -> dict[str, list[float]]:
-    """Distinct inner quantiles of every feature."""
+    """Distinct inner quantiles of every feature and the middles between them."""
     shares = F.array(*[F.lit((i + 1) / bins) for i in range(bins - 1)])
     got = rows.agg(*[F.percentile_approx(F.col(f).cast("double"), shares, 2000).alias(f) for f in features]).first()
-    return {f: sorted(set(got[f] or [])) for f in features}
+    out = {}
+    for f in features:
+        own = sorted(set(got[f] or []))
+        out[f] = sorted({*own, *((a + b) / 2 for a, b in zip(own, own[1:]))})
+    return out
 
 
 def _counts(rows: DataFrame, cuts: dict[str, list[float]], target: int) -> dict[tuple[str, int], tuple[int, int]]:
