@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import textops
-from riskweave.llm.common import hash_order, held_out
+from riskweave.llm.common import hash_order, held_out, thinned
 
 WINDOW = 64
 STRIDE = 48
@@ -335,20 +335,17 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
              .where(~held_out("id", modulus, remainder)).where("label in (0, 1)")
              .groupBy("id").agg(F.max("label").alias("label")))
     shares = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    lengths = docs.select(F.col(id_col).alias("id"), F.length(text_col).alias("size")).where(
+        F.col("size").between(1, CALIBRATION_CHARS))
     picked = None
-    for label in (0, 1):  # three times as many ids as rows: long texts are passed over
-        part = known.where(F.col("label") == label).orderBy(hash_order("id", seed), "id").limit(3 * rows)
-        picked = part if picked is None else picked.unionByName(part)
-    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
-             .where(F.length("text").between(1, CALIBRATION_CHARS)))
-    short = F.length("text") <= chars
-    sample = None
-    for label in (0, 1):
-        own = texts.where(F.col("label") == label)
-        for kind, part in (("fit", own.where(short).orderBy(hash_order("id", seed), "id", "text").limit(rows)),
-                           ("offset", own.orderBy(hash_order("id", seed + 1), "id", "text").limit(CALIBRATION_ROWS))):
-            part = part.select(F.lit(kind).alias("kind"), "label", "text")
-            sample = part if sample is None else sample.unionByName(part)
+    for label in (0, 1):  # ids are chosen without their texts
+        own = lengths.join(known.where(F.col("label") == label), "id").where(thinned("id", seed, 4 * rows, shares.get(label, 0)))
+        for kind, part in (("fit", own.where(F.col("size") <= chars).orderBy(hash_order("id", seed), "id").limit(rows)),
+                           ("offset", own.orderBy(hash_order("id", seed + 1), "id").limit(CALIBRATION_ROWS))):
+            part = part.select("id", F.lit(kind).alias("kind"), "label")
+            picked = part if picked is None else picked.unionByName(part)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked.distinct()), "id")
+    sample = texts.where(F.length("text").between(1, CALIBRATION_CHARS)).select("kind", "label", "text")
     found = sorted(tuple(r) for r in sample.collect())
     side = lambda kind: ([t for k, _, t in found if k == kind], np.array([y == 1 for k, y, _ in found if k == kind], bool))
     p = fit(*side("fit"), seed=seed)
