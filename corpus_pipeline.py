@@ -41,10 +41,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    kept = (simhash.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("doc_id"))
-            .distinct())
-    first = docs.join(written(kept, "pipeline-kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*_own(docs)).unionByName(docs.where("doc_id is null"))
+    found = written(simhash.near_duplicates(docs).select("doc_id", "component_id"), "pipeline-components")
+    # ids that leave, and ids that come more than once: far fewer than the texts
+    leaves = written(found.where("doc_id <> component_id").select("doc_id").distinct(), "pipeline-leaves")
+    again = written(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+                    "pipeline-again")
+    once = docs.join(leaves.unionByName(again), "doc_id", "left_anti")
+    first = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.select(*_own(docs)).unionByName(first.select(*_own(docs)))
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
