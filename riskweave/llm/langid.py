@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import hash_order, held_out
+from riskweave.llm.common import hash_order, held_out, thinned
 
 SAMPLE_ROWS = 400          # training rows per language at most
 DICTIONARY_BYTES = 1 << 17  # dictionary size per language at most
@@ -43,7 +43,11 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     """
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     known = known.where(~held_out("id", modulus, remainder)).where("lang is not null and text is not null")
-    ranked = (known.select("id", "lang").distinct()
+    counts = known.groupBy("lang").count().collect()  # one row per language
+    few = F.lit(False)
+    for r in counts:
+        few = few | ((F.col("lang") == r["lang"]) & thinned("id", seed, rows, r["count"]))
+    ranked = (known.select("id", "lang").where(few).distinct()
               .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(hash_order("id", seed), "id")))
               .where(F.col("rank") <= rows))
     share = 4 * size // rows
