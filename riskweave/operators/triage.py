@@ -152,16 +152,26 @@ def upsert(target: DataFrame | None, source: DataFrame, key: str = "transaction_
 # Analyst decisions (first writer wins)
 # ---------------------------------------------------------------------------
 
+_DECISION_ORDER = ("decided_at", "analyst_id", "decision", "notes")
+
+
+def _is_valid_decision() -> Column:
+    return F.coalesce(F.col("decision").isin(*C.DECISIONS), F.lit(False))
+
+
+def _decision_rows(decisions: DataFrame) -> DataFrame:
+    """Id and ordering fields of decisions; a missing time or note column is NULL."""
+    def field(name: str, kind: str) -> Column:
+        return (F.col(name) if name in decisions.columns else F.lit(None).cast(kind)).alias(name)
+    return decisions.select("transaction_id", field("decided_at", "timestamp"), "analyst_id", "decision",
+                            field("notes", "string"))
+
+
 def first_decisions(decisions: DataFrame) -> DataFrame:
-    """Valid decisions, the first per transaction (by decision time, analyst, value)."""
-    valid = decisions.filter(F.coalesce(F.col("decision").isin(*C.DECISIONS), F.lit(False)))
-    ts = F.col("decided_at") if "decided_at" in decisions.columns else F.lit(None).cast("timestamp")
-    notes = F.col("notes") if "notes" in decisions.columns else F.lit(None).cast("string")
-    rows = valid.select("transaction_id", ts.alias("decided_at"), "analyst_id", "decision",
-                        notes.alias("notes"))
-    first = F.min_by(F.struct("decided_at", "analyst_id", "decision", "notes"),
-                     F.struct("decided_at", "analyst_id", "decision")).alias("__d")
-    return rows.groupBy("transaction_id").agg(first).select("transaction_id", "__d.*")
+    """Valid decisions, the first per transaction (by decision time, analyst, value, notes)."""
+    first = F.min(F.struct(*_DECISION_ORDER)).alias("__d")
+    return _decision_rows(decisions).filter(_is_valid_decision()).groupBy("transaction_id").agg(first) \
+        .select("transaction_id", "__d.*")
 
 
 def apply_decisions(triage: DataFrame, decisions: DataFrame, now=None) -> DataFrame:
@@ -185,25 +195,23 @@ def apply_decisions(triage: DataFrame, decisions: DataFrame, now=None) -> DataFr
 
 def decision_outcome(triage: DataFrame, decisions: DataFrame) -> DataFrame:
     """Per submitted decision: ``invalid`` / ``not_found`` / ``already_reviewed`` /
-    ``superseded`` (a later decision for an id decided in the same batch) /
-    ``applied``, with the row's previous automated action when applied."""
-    valid = F.coalesce(F.col("decision").isin(*C.DECISIONS), F.lit(False))
-    first = first_decisions(decisions).select(
-        F.col("transaction_id").alias("f__id"), F.col("analyst_id").alias("f__analyst"),
-        F.col("decision").alias("f__decision"), F.col("decided_at").alias("f__at"))
+    ``superseded`` (a later decision, or the same one again, for an id decided
+    in the same batch) / ``applied``, with the row's previous automated action
+    when applied.  Identical decisions are counted before they are joined and
+    expanded again after it, and only the first of them can be applied."""
+    same = _decision_rows(decisions).groupBy("transaction_id", *_DECISION_ORDER).agg(F.count("*").alias("d__n"))
+    first = first_decisions(decisions).select(F.col("transaction_id").alias("f__id"),
+                                              F.struct(*_DECISION_ORDER).alias("f__d"))
     t = triage.select(F.col("transaction_id").alias("t__id"), F.col("automated_action").alias("t__action"),
                       F.col("analyst_decision").alias("t__decision"))
-    d = decisions.join(t, F.col("transaction_id") == F.col("t__id"), "left") \
-                 .join(first, F.col("transaction_id") == F.col("f__id"), "left")
-    is_first = (F.col("f__analyst").eqNullSafe(F.col("analyst_id"))
-                & F.col("f__decision").eqNullSafe(F.col("decision"))
-                & F.col("f__at").eqNullSafe(F.col("decided_at") if "decided_at" in decisions.columns
-                                            else F.lit(None).cast("timestamp")))
-    status = (F.when(~valid, "invalid").when(F.col("t__id").isNull(), "not_found")
+    d = same.join(t, F.col("transaction_id") == F.col("t__id"), "left") \
+            .join(first, F.col("transaction_id") == F.col("f__id"), "left") \
+            .withColumn("d__turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("d__n"))))
+    is_first = F.struct(*_DECISION_ORDER).eqNullSafe(F.col("f__d")) & (F.col("d__turn") == 1)
+    status = (F.when(~_is_valid_decision(), "invalid").when(F.col("t__id").isNull(), "not_found")
                .when(F.col("t__decision").isNotNull(), "already_reviewed")
                .when(~is_first, "superseded").otherwise("applied"))
-    cols = [c for c in ("transaction_id", "analyst_id", "decision") if c in decisions.columns]
-    return d.select(*cols, status.alias("status"),
+    return d.select("transaction_id", "analyst_id", "decision", status.alias("status"),
                     F.when(status == "applied", F.col("t__action")).alias("previous_action"))
 
 
@@ -242,9 +250,15 @@ _PAGE_COLS = ["transaction_id", "user_id", "amount", "currency", "transaction_ty
 
 
 def _page(df: DataFrame, limit: int, offset: int) -> DataFrame:
-    limit = max(0, min(int(limit), C.PAGE_MAX))
+    """``limit`` rows after ``offset``; a limit outside 0..PAGE_MAX is an error,
+    never a silently shorter page."""
+    limit, offset = int(limit), int(offset)
+    if not 0 <= limit <= C.PAGE_MAX:
+        raise ValueError(f"limit must lie between 0 and {C.PAGE_MAX}, not {limit}")
+    if offset < 0:
+        raise ValueError(f"offset must not be negative, not {offset}")
     if offset:
-        df = df.offset(int(offset))
+        df = df.offset(offset)
     return df.limit(limit)
 
 

@@ -2,15 +2,17 @@
 
     python -m riskweave.plans.cli batch --transactions T.csv --logins L.csv --out ROOT [--now TS]
     python -m riskweave.plans.cli decisions --queue ROOT/triage --decisions D.csv [--now TS]
+    python -m riskweave.plans.cli explain --queue ROOT/triage --transactions T.csv --logins L.csv [--now TS]
 
-The session comes from ``spark-submit`` on a cluster (``spark.checkpoint.dir``
-and sizing set by the launcher); locally a ``local[*]`` session is built.
+Under ``spark-submit`` the launcher's master, sizing and ``spark.checkpoint.dir``
+hold; started by plain Python, a ``local[*]`` session is built.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
+import os
 
 from pyspark.sql import SparkSession
 
@@ -21,7 +23,9 @@ def _session() -> SparkSession:
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    from riskweave.session import build_session
+    from riskweave.session import build_session, launched_session
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # Python was started by spark-submit
+        return launched_session()
     return build_session(master="local[*]")
 
 
@@ -38,6 +42,11 @@ def main(argv=None) -> int:
     d.add_argument("--queue", required=True)
     d.add_argument("--decisions", required=True)
     d.add_argument("--now")
+    e = sub.add_parser("explain", help="write the missing explanations of the queue")
+    e.add_argument("--queue", required=True)
+    e.add_argument("--transactions", required=True)
+    e.add_argument("--logins", required=True)
+    e.add_argument("--now")
     args = ap.parse_args(argv)
     spark = _session()
     if args.cmd == "batch":
@@ -45,8 +54,15 @@ def main(argv=None) -> int:
         paths = run_from_csv(spark, args.transactions, args.logins, args.out, now=args.now,
                              infer_schema=args.infer_schema)
         print(json.dumps(paths))
+    elif args.cmd == "explain":
+        from riskweave.operators import gold, scorer, silver
+        from riskweave.plans.review import explain_queue
+        from riskweave.sources import readers
+        tx = silver.silver_transactions(readers.read_transactions(spark, args.transactions, now=args.now))
+        lg = silver.silver_login_logs(readers.read_login_logs(spark, args.logins, now=args.now))
+        path = explain_queue(spark, gold.with_risk(scorer.scorer_records(tx, lg)), args.queue, now=args.now)
+        print(json.dumps({"queue_version": path}))
     else:
-        import os
         from riskweave.plans.review import apply_decision_batch
         from riskweave.sources.writers import snapshot_current_version
         dec = spark.read.option("header", "true").schema(schemas.DECISIONS).csv(args.decisions)

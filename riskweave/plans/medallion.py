@@ -22,12 +22,12 @@ from riskweave.sources.writers import snapshot_current, snapshot_read, snapshot_
 
 # Named tables of the batch run: layer and description (table comments).
 DATASETS = {
-    "bronze_transactions": ("bronze", "Raw transaction data ingested from CSV"),
-    "bronze_login_logs": ("bronze", "Raw login log data ingested from CSV"),
+    "bronze_transactions": ("bronze", "Transactions as they landed, one row per CSV record"),
+    "bronze_login_logs": ("bronze", "Logins as they landed, one row per CSV record"),
     "silver_transactions": ("silver", "Cleaned transactions with masked PII and derived features"),
     "silver_login_logs": ("silver", "Cleaned login logs with masked IP and anomaly features"),
     "gold_user_session_risk": ("gold", "Transactions paired with logins in the hour before, scored for fraud risk"),
-    "gold_fraud_kpis": ("gold", "Hourly fraud detection KPIs"),
+    "gold_fraud_kpis": ("gold", "Counts, amounts and false-positive share per hour, level and action"),
     "gold_wire_after_mfa_change": ("gold", "Wire transfers over 10,000 within 24 hours after an MFA change"),
 }
 

@@ -7,6 +7,7 @@ function of those layers, so its work grows with the tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -159,6 +160,12 @@ _q("bi_impossible_travel", lambda i: bi.bi_impossible_travel(i.risk))
 from riskweave.operators import quality, triage as tr  # noqa: E402
 
 
+#: A clock before the first row, so that the pages have more rows than they
+#: return, and a cursor inside the queue.
+_EARLY = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+_CURSOR = (55, dt.datetime(2024, 1, 10, tzinfo=dt.timezone.utc), "")
+
+
 def _risk_dedup(i: Inputs) -> DataFrame:
     """One deduplicated frame shared by both syncs, so the identical shuffles
     are planned once and reused (ReusedExchange) within a query."""
@@ -208,11 +215,17 @@ _q("decision_validation", lambda i: quality.validate_decisions(i.decisions)
 _q("decision_apply", _triage_decided)
 _q("triage_upsert", _triage)
 _q("decision_outcome", lambda i: tr.decision_outcome(_triage0(i), i.decisions))
+_q("decision_outcome_repeats",
+   lambda i: tr.decision_outcome(_triage0(i), i.decisions.unionByName(i.decisions)))
 _q("fraud_queue", lambda i: tr.fraud_queue(_triage(i), i.now))
 _q("queue_page", lambda i: tr.queue_page(_triage(i), i.now))
 _q("queue_stats", lambda i: tr.queue_stats(_triage(i), i.now))
 _q("queue_size", lambda i: tr.queue_size(_triage(i), i.now))
 _q("reviewed_page", lambda i: tr.reviewed_page(_triage(i)))
+_q("queue_page_filtered",
+   lambda i: tr.queue_page(_triage(i), _EARLY, action="YELLOW_FLAG", risk_level="high", limit=200))
+_q("queue_page_after", lambda i: tr.queue_page(_triage(i), _EARLY, after=_CURSOR))
+_q("reviewed_page_filtered", lambda i: tr.reviewed_page(_triage(i), decision="RELEASE", limit=200))
 _q("review_summary", lambda i: tr.review_summary(_triage(i)))
 _q("analyst_metrics", lambda i: tr.analyst_metrics(_triage(i)))
 _q("triage_summary", lambda i: tr.triage_summary(_triage(i)))

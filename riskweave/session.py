@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings that matter for correctness (UTC) and for scale (AQE, skew
@@ -49,6 +50,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def launched_session(app_name: str = "riskweave") -> SparkSession:
+    """The session that ``spark-submit`` describes: master, sizing and paths are
+    the launcher's; only recommended settings that it left unset are added."""
+    SparkContext._ensure_initialized()
+    given = SparkConf()
+    builder = SparkSession.builder
+    if not given.contains("spark.app.name"):
+        builder = builder.appName(app_name)
+    for k, v in RECOMMENDED_CONF.items():
+        if not given.contains(k):
+            builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 _LOCAL_FALLBACK: dict[int, str] = {}
 
 

@@ -1,6 +1,7 @@
 """Review queue: upsert, first-wins decisions, pending/expired, validation, factor parsing."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import quality, triage as tr
@@ -84,7 +85,11 @@ def test_queue_page_order_filter_and_paging(spark):
     assert ids == ["b", "c", "a"]
     assert [r.transaction_id for r in tr.queue_page(t, NOW, risk_level="critical").collect()] == ["b"]
     assert [r.transaction_id for r in tr.queue_page(t, NOW, limit=1, offset=1).collect()] == ["c"]
-    assert len(tr.queue_page(t, NOW, limit=10_000).collect()) == 3
+    assert len(tr.queue_page(t, NOW, limit=200).collect()) == 3 and tr.queue_page(t, NOW, limit=0).count() == 0
+    for page in (tr.queue_page, lambda q, now, **k: tr.reviewed_page(q, **k)):
+        for wrong in ({"limit": 201}, {"limit": -1}, {"offset": -1}):
+            with pytest.raises(ValueError):
+                page(t, NOW, **wrong)
 
 
 def test_keyset_pages_equal_offset_pages(spark):
