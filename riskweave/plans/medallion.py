@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import gold, kpis, silver, triage as tr
-from riskweave.sources.writers import snapshot_current, snapshot_read, snapshot_write, write_table
+from riskweave.sources.writers import snapshot_update, write_table
 
 
 # Named tables of the batch run: layer and description (table comments).
@@ -70,9 +70,8 @@ def run_batch(spark: SparkSession, bronze_tx: DataFrame, bronze_logins: DataFram
     g = spark.read.parquet(paths["gold_user_session_risk"])
     g_pairs = g.drop("tx_date") if "tx_date" in g.columns else g
     batch = tr.to_triage(gold.dedupe_per_transaction(g_pairs), created_at=F.col("tx_timestamp"))
-    current = snapshot_read(spark, paths["triage"]) if snapshot_current(spark, paths["triage"]) else None
     _together(lambda: write_table(kpis.fraud_kpis(g), paths["gold_fraud_kpis"]),
-              lambda: snapshot_write(tr.upsert(current, batch, now=now), paths["triage"]))
+              lambda: snapshot_update(spark, paths["triage"], lambda current, _: tr.upsert(current, batch, now=now)))
     return paths
 
 

@@ -7,8 +7,9 @@
 ``explain_queue``   rows still without an explanation -> long-form texts ->
                     explanation update (new version).
 
-Each job reads the current committed version and writes the next one, so a
-job that dies part-way leaves the queue as it was and can simply be rerun.
+Each job reads the current committed version and publishes the next one, so a
+job that dies part-way leaves the queue as it was and can simply be rerun; a
+job that another writer overtakes builds again on that writer's version.
 """
 
 from __future__ import annotations
@@ -17,12 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import gold, narrative, triage as tr
-from riskweave.sources.writers import (read_bucketed, snapshot_current, snapshot_current_version, snapshot_expire,
-                                       snapshot_read, snapshot_read_version, snapshot_write, swap_bucketed)
+from riskweave.sources.writers import read_bucketed, snapshot_expire, snapshot_update, swap_bucketed
 
 
-def _current(spark: SparkSession, root: str) -> DataFrame | None:
-    return snapshot_read(spark, root) if snapshot_current(spark, root) else None
+def _queue(current: DataFrame | None, root: str) -> DataFrame:
+    if current is None:
+        raise FileNotFoundError(f"no queue snapshot under {root}")
+    return current
 
 
 def _retain(spark: SparkSession, root: str, keep: int | None) -> None:
@@ -34,8 +36,8 @@ def _retain(spark: SparkSession, root: str, keep: int | None) -> None:
 def sync_queue(spark: SparkSession, risk: DataFrame, root: str, now=None, factors: str = "object",
                buckets: int | None = None, keep: int | None = None) -> str:
     batch = tr.to_triage(gold.dedupe_per_transaction(risk), factors=factors, created_at=F.col("tx_timestamp"))
-    merged = tr.upsert(_current(spark, root), batch, now=now)
-    path = snapshot_write(merged, root, buckets=buckets, key="transaction_id" if buckets else None)
+    path = snapshot_update(spark, root, lambda current, _: tr.upsert(current, batch, now=now),
+                           buckets=buckets, key="transaction_id" if buckets else None)
     _retain(spark, root, keep)
     return path
 
@@ -57,13 +59,17 @@ def apply_decision_batch(spark: SparkSession, decisions: DataFrame, root: str, n
     per-decision outcomes are written there first, from the same base
     version, so a rerun after a failure before the commit recomputes both
     exactly."""
-    base = snapshot_current_version(spark, root)
-    current = snapshot_read_version(spark, root, base)
-    outcome = tr.decision_outcome(current, decisions)
-    if outcome_path:
-        outcome.write.mode("overwrite").parquet(outcome_path)
-        outcome = spark.read.parquet(outcome_path)
-    path = snapshot_write(tr.apply_decisions(current, decisions, now=now), root, version=base + 1)
+    outcome = None
+
+    def build(current: DataFrame | None, _: int) -> DataFrame:
+        nonlocal outcome
+        outcome = tr.decision_outcome(_queue(current, root), decisions)
+        if outcome_path:
+            outcome.write.mode("overwrite").parquet(outcome_path)
+            outcome = spark.read.parquet(outcome_path)
+        return tr.apply_decisions(current, decisions, now=now)
+
+    path = snapshot_update(spark, root, build)
     if outcome_path:  # without it the lazy outcome still reads the base version
         _retain(spark, root, keep)
     return path, outcome
@@ -72,10 +78,14 @@ def apply_decision_batch(spark: SparkSession, decisions: DataFrame, root: str, n
 def explain_queue(spark: SparkSession, records: DataFrame, root: str, now=None, keep: int | None = None) -> str:
     """``records``: gold pairs with the scorer's extra fields
     (``scorer.scorer_records`` + ``gold.with_risk``)."""
-    current = snapshot_read(spark, root)
-    todo = tr.missing_explanation(current).select("transaction_id")
-    inputs = narrative.explanation_input(gold.dedupe_per_transaction(records)).join(todo, "transaction_id", "left_semi")
-    texts = narrative.assessment_long(inputs, now).select("transaction_id", "explanation", "triggered_factors")
-    path = snapshot_write(tr.apply_explanations(current, texts), root)
+    known = narrative.explanation_input(gold.dedupe_per_transaction(records))
+
+    def build(current: DataFrame | None, _: int) -> DataFrame:
+        todo = tr.missing_explanation(_queue(current, root)).select("transaction_id")
+        inputs = known.join(todo, "transaction_id", "left_semi")
+        texts = narrative.assessment_long(inputs, now).select("transaction_id", "explanation", "triggered_factors")
+        return tr.apply_explanations(current, texts)
+
+    path = snapshot_update(spark, root, build)
     _retain(spark, root, keep)
     return path

@@ -9,9 +9,12 @@ warehouse location), never a machine-local folder.
 from __future__ import annotations
 
 import os
+import time
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,14 +61,24 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Versioned snapshots (a keyed table without MERGE support)
 # ---------------------------------------------------------------------------
-# Layout: <root>/v=<000000000001>/part-*.parquet + _SUCCESS.  A version is
-# visible once its job committed (_SUCCESS written); readers take the highest
-# committed version.  Nothing is overwritten in place, so a crash at any point
-# leaves the previous version readable, and a plan may read version n while
-# writing n + 1.  Listing uses the Hadoop FileSystem of the path (HDFS, object
-# stores, local files alike); only directory names are read on the driver.
+# Layout: <root>/v=<000000000001>-<attempt>/part-*.parquet, and one marker
+# <root>/_tags/v=<000000000001> that names the attempt's folder and its writer.
+# A version is visible once its marker is written; markers are created
+# exclusively, so of two writers building on one version the second gets
+# ``VersionTaken`` and builds again on the first one's result
+# (``snapshot_update``).  Nothing is overwritten in place, so a crash at any
+# point leaves the previous version readable, and a plan may read version n
+# while writing n + 1.  Listing uses the Hadoop FileSystem of the path; only
+# names and markers are read on the driver.  The exclusive create is atomic on
+# HDFS and on stores with conditional writes.
 
 _VERSION_PREFIX = "v="
+PUBLISH_TRIES = 20
+_RETRY_SECONDS = 0.2
+
+
+class VersionTaken(RuntimeError):
+    """Another writer published the version first."""
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -76,25 +89,32 @@ def _fs_and_path(spark: SparkSession, path: str):
 
 def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
     """Committed version numbers under ``root``, ascending."""
-    fs, p, jvm = _fs_and_path(spark, root)
+    fs, p, _ = _fs_and_path(spark, os.path.join(root, "_tags"))
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(_VERSION_PREFIX) and name[len(_VERSION_PREFIX):].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(_VERSION_PREFIX):]))
-    return sorted(out)
+    found = [(st.getPath().getName()[len(_VERSION_PREFIX):], st.getLen()) for st in fs.listStatus(p)]
+    return sorted(int(name) for name, size in found if size and name.isdigit())
 
 
-def _version_path(root: str, version: int) -> str:
-    return os.path.join(root, f"{_VERSION_PREFIX}{version:012d}")
+def _marker(spark: SparkSession, root: str, version: int) -> tuple[str, str] | None:
+    """(folder, tag) of a committed version."""
+    text = _get_text(spark, _tag_path(root, version))
+    if not text:
+        return None
+    folder, _, tag = text.partition("\n")
+    return folder, tag
+
+
+def _version_path(spark: SparkSession, root: str, version: int) -> str:
+    found = _marker(spark, root, version)
+    if found is None:
+        raise FileNotFoundError(f"version {version} under {root} is not committed")
+    return os.path.join(root, found[0])
 
 
 def snapshot_current(spark: SparkSession, root: str) -> str | None:
     versions = snapshot_versions(spark, root)
-    return _version_path(root, versions[-1]) if versions else None
+    return _version_path(spark, root, versions[-1]) if versions else None
 
 
 def snapshot_current_version(spark: SparkSession, root: str) -> int:
@@ -102,6 +122,21 @@ def snapshot_current_version(spark: SparkSession, root: str) -> int:
     return versions[-1] if versions else 0
 
 
+def _publish(spark: SparkSession, path: str, text: str) -> None:
+    """Create ``path`` exclusively with ``text``."""
+    fs, p, _ = _fs_and_path(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            raise VersionTaken(f"{path} exists (delete it by hand only if it is empty and no writer runs)") from e
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def _put_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p, _ = _fs_and_path(spark, path)
     out = fs.create(p, True)
@@ -128,39 +163,68 @@ def _tag_path(root: str, version: int) -> str:
 
 def snapshot_written_by(spark: SparkSession, root: str, version: int, tag: str) -> bool:
     """Whether ``version`` is committed and was written with ``tag``."""
-    return snapshot_committed(spark, root, version) and _get_text(spark, _tag_path(root, version)) == tag
+    found = _marker(spark, root, version)
+    return found is not None and found[1] == tag
 
 
 def snapshot_write(df: DataFrame, root: str, version: int | None = None,
                    buckets: int | None = None, key: str | None = None, tag: str | None = None) -> str:
     """Write ``df`` as a new version under ``root`` (default: current + 1).
 
-    ``buckets``/``key``: repartition by the key before writing, so each file
-    holds a hash range of keys and the next upsert's join reads clustered data.
-    ``tag`` names the writer of the version (kept beside it, written before the
-    data), so a replayed job can tell its own committed version from another's.
+    Raises ``VersionTaken``, and removes its own data, when another writer
+    published ``version`` meanwhile.  ``buckets``/``key``: repartition by the
+    key before writing, so each file holds a hash range of keys.  ``tag`` names
+    the writer in the version's marker, so a replayed job can tell its own
+    committed version from another's.
     """
     spark = df.sparkSession
     if version is None:
         version = snapshot_current_version(spark, root) + 1
-    _put_text(spark, _tag_path(root, version), tag or uuid.uuid4().hex)
-    path = _version_path(root, version)
+    folder = f"{_VERSION_PREFIX}{version:012d}-{uuid.uuid4().hex}"
+    path = os.path.join(root, folder)
     if buckets and key:
         df = df.repartition(buckets, key).sortWithinPartitions(key)
-    df.write.mode("overwrite").parquet(path)
+    df.write.parquet(path)
+    try:
+        _publish(spark, _tag_path(root, version), f"{folder}\n{tag or ''}")
+    except VersionTaken:
+        fs, p, _ = _fs_and_path(spark, path)
+        fs.delete(p, True)
+        raise
     return path
 
 
+def snapshot_update(spark: SparkSession, root: str, build: Callable[[DataFrame | None, int], DataFrame],
+                    **options) -> str:
+    """Publish ``build(current version's rows or None, its number)`` as the next
+    version; when another writer publishes that number first, build again on
+    its result, so no writer's change is lost."""
+    for _ in range(PUBLISH_TRIES):
+        base = snapshot_current_version(spark, root)
+        current = snapshot_read_version(spark, root, base) if base else None
+        try:
+            return snapshot_write(build(current, base), root, version=base + 1, **options)
+        except VersionTaken as e:
+            taken = e
+            time.sleep(_RETRY_SECONDS)
+    raise taken
+
+
 def snapshot_committed(spark: SparkSession, root: str, version: int) -> bool:
-    fs, p, _ = _fs_and_path(spark, os.path.join(_version_path(root, version), "_SUCCESS"))
-    return fs.exists(p)
+    return _marker(spark, root, version) is not None
 
 
 def snapshot_read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
     """A given committed version (what a replayed job must read again)."""
-    if not snapshot_committed(spark, root, version):
-        raise FileNotFoundError(f"version {version} under {root} is not committed")
-    return spark.read.parquet(_version_path(root, version))
+    return spark.read.parquet(_version_path(spark, root, version))
+
+
+_DONE = "done"
+
+
+def batch_done(spark: SparkSession, root: str, writer: str, batch_id: int) -> bool:
+    """Whether the batch's version was committed and has since expired."""
+    return _get_text(spark, os.path.join(root, "_batches", writer, f"batch={batch_id}")) == _DONE
 
 
 def batch_base_version(spark: SparkSession, root: str, writer: str, batch_id: int,
@@ -179,10 +243,10 @@ def batch_base_version(spark: SparkSession, root: str, writer: str, batch_id: in
 
 def snapshot_expire(spark: SparkSession, root: str, keep: int = 10) -> list[int]:
     """Retention: delete the versions older than the newest ``keep`` committed
-    ones (with their tags and any failed attempts among them) and the batch
-    records based on them, which can no longer be replayed.  Choose ``keep``
-    above the number of versions a running reader may still be scanning.
-    Returns the deleted version numbers."""
+    ones (with their markers and any failed attempts among them).  A batch
+    whose version was committed is recorded as done before its base goes, so a
+    late replay stays a no-op.  Choose ``keep`` above the number of versions a
+    running reader may still be scanning.  Returns the deleted version numbers."""
     if keep < 1:
         raise ValueError("keep must be at least 1")
     versions = snapshot_versions(spark, root)
@@ -191,21 +255,27 @@ def snapshot_expire(spark: SparkSession, root: str, keep: int = 10) -> list[int]
     oldest = versions[-keep]
     fs, p, jvm = _fs_and_path(spark, root)
     Path = jvm.org.apache.hadoop.fs.Path
-    removed = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        num = name[len(_VERSION_PREFIX):]
-        if st.isDirectory() and name.startswith(_VERSION_PREFIX) and num.isdigit() and int(num) < oldest:
-            fs.delete(st.getPath(), True)
-            fs.delete(Path(_tag_path(root, int(num))), False)
-            removed.append(int(num))
     ledger = Path(os.path.join(root, "_batches"))
     if fs.exists(ledger):
         for writer in fs.listStatus(ledger):
             for rec in fs.listStatus(writer.getPath()):
-                base = _get_text(spark, rec.getPath().toString())
-                if base is not None and int(base) < oldest:
-                    fs.delete(rec.getPath(), False)
+                where = rec.getPath()
+                base = _get_text(spark, where.toString())
+                if base == _DONE or int(base) >= oldest:
+                    continue
+                tag = f"{writer.getPath().getName()}:{where.getName().removeprefix('batch=')}"
+                if snapshot_written_by(spark, root, int(base) + 1, tag):
+                    _put_text(spark, where.toString(), _DONE)
+                else:  # never committed: a replay starts from the current version
+                    fs.delete(where, False)
+    removed = set()
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        num = name[len(_VERSION_PREFIX):].split("-")[0]
+        if st.isDirectory() and name.startswith(_VERSION_PREFIX) and num.isdigit() and int(num) < oldest:
+            fs.delete(Path(_tag_path(root, int(num))), False)
+            fs.delete(st.getPath(), True)
+            removed.add(int(num))
     return sorted(removed)
 
 

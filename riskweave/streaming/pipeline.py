@@ -24,8 +24,9 @@ from pyspark.sql import types as T
 from riskweave import config as C
 from riskweave.operators import gold, triage as tr
 from riskweave.sources import schemas
-from riskweave.sources.writers import (batch_base_version, read_bucketed, snapshot_committed, snapshot_expire,
-                                       snapshot_read_version, snapshot_write, snapshot_written_by, swap_bucketed)
+from riskweave.sources.writers import (PUBLISH_TRIES, VersionTaken, batch_base_version, batch_done, read_bucketed,
+                                       snapshot_committed, snapshot_expire, snapshot_read_version, snapshot_write,
+                                       snapshot_written_by, swap_bucketed)
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
@@ -122,6 +123,8 @@ def _replay_base(spark: SparkSession, root: str, writer: str, batch_id: int) ->
     ``writer:batch_id``; if another job committed that version number first,
     the batch is re-based on the current version (it never committed)."""
     tag = f"{writer}:{batch_id}"
+    if batch_done(spark, root, writer, batch_id):
+        return None
     base = batch_base_version(spark, root, writer, batch_id)
     if snapshot_written_by(spark, root, base + 1, tag):
         return None
@@ -130,14 +133,31 @@ def _replay_base(spark: SparkSession, root: str, writer: str, batch_id: int) ->
     return base
 
 
+def _write_batch(spark: SparkSession, root: str, writer: str, batch_id: int, build) -> bool:
+    """Publish ``build(queue the batch starts from)`` as the batch's version,
+    re-based on the newer queue when another job published first; False when
+    the batch was complete before."""
+    for _ in range(PUBLISH_TRIES):
+        base = _replay_base(spark, root, writer, batch_id)
+        if base is None:
+            return False
+        current = snapshot_read_version(spark, root, base) if base else None
+        try:
+            snapshot_write(build(current), root, version=base + 1, tag=f"{writer}:{batch_id}")
+            return True
+        except VersionTaken as e:
+            taken = e
+    raise taken
+
+
 class TriageSink:
     """``foreachBatch`` sink: dedupe the batch per transaction, lay it out as
     queue rows and upsert it into the queue (a known transaction is updated
     only by a higher-scoring pair), writing the next version.  Replay-safe:
     the version a batch starts from is recorded, so a replay rebuilds the same
     next version, and a batch whose version is committed is skipped.  Other
-    jobs may write versions between batches; writers take turns (no two write
-    the same root at the same time)."""
+    jobs may publish versions between and during batches: the batch is then
+    built again on theirs."""
 
     writer = "upsert"
 
@@ -148,15 +168,11 @@ class TriageSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = _replay_base(spark, self.root, self.writer, batch_id)
-        if base is None:
-            return
         src = tr.to_triage(gold.dedupe_per_transaction(batch), factors=self.factors,
                            created_at=F.col("tx_timestamp"))
-        target = snapshot_read_version(spark, self.root, base) if base else None
-        snapshot_write(tr.upsert(target, src, now=self.now, only_if_higher=True), self.root,
-                       version=base + 1, tag=f"{self.writer}:{batch_id}")
-        if self.keep:
+        fresh = _write_batch(spark, self.root, self.writer, batch_id,
+                             lambda queue: tr.upsert(queue, src, now=self.now, only_if_higher=True))
+        if fresh and self.keep:
             snapshot_expire(spark, self.root, self.keep)
 
 
@@ -193,7 +209,7 @@ class DecisionSink:
     Replay-exact: a replay reads the version the batch started from, so it
     recomputes the same outcomes (the batch's partition is overwritten, never
     appended twice) and the same next version; a batch whose version is
-    committed is skipped (see ``TriageSink`` for turn-taking).  Pass
+    committed is skipped (see ``TriageSink`` for other writers).  Pass
     ``writer=stream_writer_name("decisions", checkpoint)`` so a stream started
     on a new checkpoint (batch ids from 0 again) keeps its own records."""
 
@@ -206,18 +222,16 @@ class DecisionSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = _replay_base(spark, self.root, self.writer, batch_id)
-        if base is None:
-            return
-        if base == 0:
-            raise FileNotFoundError(f"no queue snapshot under {self.root}")
-        current = snapshot_read_version(spark, self.root, base)
-        if self.outcome_path:
-            tr.decision_outcome(current, batch).write.mode("overwrite") \
-              .parquet(f"{self.outcome_path.rstrip('/')}/writer={self.writer}/batch_id={batch_id}")
-        snapshot_write(tr.apply_decisions(current, batch, now=self.now), self.root,
-                       version=base + 1, tag=f"{self.writer}:{batch_id}")
-        if self.keep:
+
+        def build(queue: DataFrame | None) -> DataFrame:
+            if queue is None:
+                raise FileNotFoundError(f"no queue snapshot under {self.root}")
+            if self.outcome_path:
+                tr.decision_outcome(queue, batch).write.mode("overwrite") \
+                  .parquet(f"{self.outcome_path.rstrip('/')}/writer={self.writer}/batch_id={batch_id}")
+            return tr.apply_decisions(queue, batch, now=self.now)
+
+        if _write_batch(spark, self.root, self.writer, batch_id, build) and self.keep:
             snapshot_expire(spark, self.root, self.keep)
 
 

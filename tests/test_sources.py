@@ -173,3 +173,35 @@ def test_review_jobs_retention(spark, tmp_dir):
         review.sync_queue(spark, i.risk, root, now=i.now, keep=2)
     assert writers.snapshot_versions(spark, root) == [2, 3]
     assert writers.snapshot_read(spark, root).count() == 87
+
+
+def test_two_writers_from_one_version_both_survive(spark, tmp_dir):
+    """A job that publishes while another is building is not lost, in either order."""
+    from riskweave.operators import gold, triage as tr
+    from riskweave.plans import review
+    i = inputs_for(spark, SF_SMALL)
+    half_a, half_b = (i.risk.filter(f"pmod(hash(transaction_id), 2) = {k}") for k in (0, 1))
+    whole = os.path.join(tmp_dir, "whole")
+    review.sync_queue(spark, i.risk, whole, now=i.now)
+    review.apply_decision_batch(spark, i.decisions, whole, now=i.now)
+    ids = {r[0] for r in writers.snapshot_read(spark, whole).select("transaction_id").collect()}
+    batch = tr.to_triage(gold.dedupe_per_transaction(half_b), created_at=F.col("tx_timestamp"))
+    jobs = {"sync": lambda current, _: tr.upsert(current, batch, now=i.now),
+            "decide": lambda current, _: tr.apply_decisions(current, i.decisions, now=i.now)}
+    for slow, quick in (("sync", "decide"), ("decide", "sync")):
+        root = os.path.join(tmp_dir, slow)
+        review.sync_queue(spark, half_a, root, now=i.now)
+        first = writers.snapshot_read(spark, root).join(i.decisions, "transaction_id", "left_semi").count()
+        bases = []
+
+        def build(current, base):
+            if not bases:
+                writers.snapshot_update(spark, root, jobs[quick])
+            bases.append(base)
+            return jobs[slow](current, base)
+
+        writers.snapshot_update(spark, root, build)
+        assert bases == [1, 2] and writers.snapshot_versions(spark, root) == [1, 2, 3]
+        q = writers.snapshot_read(spark, root)
+        assert {r[0] for r in q.select("transaction_id").collect()} == ids and first > 0
+        assert q.filter("analyst_decision IS NOT NULL").count() > 0

@@ -234,7 +234,9 @@ def test_snapshot_expire_keeps_newest_and_replayable(spark, tmp_dir):
     assert writers_versions(spark, root) == [2, 3]
     def names(d):  # the local file system adds .crc side files
         return sorted(n for n in os.listdir(d) if not n.endswith(".crc"))
-    assert names(os.path.join(root, "_batches", sink.writer)) == ["batch=2"]  # batch 1 was based on v1
+    assert names(os.path.join(root, "_batches", sink.writer)) == ["batch=0", "batch=1", "batch=2"]
+    sink(parts[0], 0)                                        # a replay after its base expired: a no-op too
+    assert writers_versions(spark, root) == [2, 3]
     assert names(os.path.join(root, "_tags")) == ["v=000000000002", "v=000000000003"]
     whole = os.path.join(tmp_dir, "whole")
     sp.TriageSink(whole, now=i.now)(i.risk, 0)
