@@ -205,3 +205,21 @@ def test_two_writers_from_one_version_both_survive(spark, tmp_dir):
         q = writers.snapshot_read(spark, root)
         assert {r[0] for r in q.select("transaction_id").collect()} == ids and first > 0
         assert q.filter("analyst_decision IS NOT NULL").count() > 0
+
+
+def test_cli_session_keeps_the_launchers_settings(tmp_dir):
+    import subprocess
+    import pyspark
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script, ckpt = os.path.join(tmp_dir, "probe.py"), os.path.join(tmp_dir, "ckpt")
+    with open(script, "w") as f:
+        f.write(f"import sys; sys.path.insert(0, {root!r})\n"
+                "from riskweave.plans import cli\n"
+                "s = cli._session()\n"
+                "print('GOT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'),\n"
+                "      s.sparkContext.getConf().get('spark.checkpoint.dir'), s.conf.get('spark.sql.session.timeZone'))\n")
+    submit = os.path.join(os.path.dirname(pyspark.__file__), "bin", "spark-submit")
+    out = subprocess.run([submit, "--master", "local[2]", "--conf", "spark.ui.enabled=false", "--conf",
+                          "spark.sql.shuffle.partitions=7", "--conf", f"spark.checkpoint.dir={ckpt}", script],
+                         capture_output=True, text=True, timeout=120).stdout
+    assert f"GOT local[2] 7 {ckpt} UTC" in out
