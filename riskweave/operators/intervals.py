@@ -29,6 +29,10 @@ _UNIT_US = {
 }
 
 
+#: Buckets a right row's window may touch.
+MAX_BUCKETS = 64
+
+
 def interval_micros(text: str) -> int:
     """Length of an interval literal such as ``"1 hour"`` or ``"-30 minutes"``."""
     m = re.fullmatch(r"\s*(-?\d+)\s+([a-zA-Z]+?)s?\s*", text)
@@ -52,7 +56,9 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     """Join ``left`` to ``right`` on ``key`` and ``right_ts + lower <= left_ts <= right_ts + upper``.
 
     ``left`` and ``right`` must not share column names other than ``key``; the
-    result carries ``key`` once (from ``left``), as a USING join does.
+    result carries ``key`` once (from ``left``), as a USING join does.  A
+    ``bucket`` so narrow that a window would touch more than ``MAX_BUCKETS`` of
+    them is an error: each right row is copied once per bucket.
     """
     if how not in ("left", "inner"):
         raise ValueError("interval_join supports how='left' or 'inner'")
@@ -70,6 +76,8 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
         raise ValueError(f"unknown strategy {strategy!r}")
 
     width = interval_micros(bucket) if bucket else max(hi_us - lo_us, 1)
+    if width <= 0 or (hi_us - lo_us) // width + 2 > MAX_BUCKETS:
+        raise ValueError(f"bucket {bucket!r} is too narrow for a window from {lower!r} to {upper!r}")
     lb, rb = "__lb", "__rb"
     l2 = left.withColumn(lb, F.expr(_floor_div_sql(_micros_sql(left_ts), width)))
     first = _floor_div_sql(f"{_micros_sql(right_ts)} + {lo_us}L", width)

@@ -108,6 +108,9 @@ def empty_triage(spark) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 TRIAGE_UPDATE_COLS = ("risk_score", "risk_level", "automated_action", "triggered_factors")
+#: Columns that describe the login pair a row was scored from.
+TRIAGE_PAIR_COLS = TRIAGE_UPDATE_COLS + ("tx_city", "tx_country", "login_city", "login_country", "geo_mismatch",
+                                         "mfa_changed", "bot_detected")
 
 
 def upsert(target: DataFrame | None, source: DataFrame, key: str = "transaction_id",
@@ -122,7 +125,11 @@ def upsert(target: DataFrame | None, source: DataFrame, key: str = "transaction_
     target (first load) the rows are inserted without a join.
     ``only_if_higher``: a match updates only when the new score is strictly
     higher (used by the streaming sink, where a transaction's login pairs can
-    arrive in different micro-batches).
+    arrive in different micro-batches).  The row then takes every column of the
+    new pair (``TRIAGE_PAIR_COLS``), so it equals the row of one batch holding
+    all pairs; an explanation of the old pair is cleared, and so asked for
+    again, unless an analyst has already decided on it.  Pairs of equal score
+    keep the one that came first.
     """
     n = _now(now)
     src = with_triage_defaults(source, n, ttl)
@@ -134,12 +141,16 @@ def upsert(target: DataFrame | None, source: DataFrame, key: str = "transaction_
     both = "__t IS NOT NULL AND __s IS NOT NULL"
     if only_if_higher:
         both += " AND `s__risk_score` > `t__risk_score`"
+        update_cols = tuple(update_cols) + TRIAGE_PAIR_COLS
     exprs = []
     for c in TRIAGE_COLUMNS:
         if c == key:
             e = f"coalesce(`t__{c}`, `s__{c}`)"
         elif c in update_cols:
             e = f"CASE WHEN {both} THEN `s__{c}` WHEN __t IS NOT NULL THEN `t__{c}` ELSE `s__{c}` END"
+        elif c == "explanation" and only_if_higher:
+            e = (f"CASE WHEN {both} AND t__analyst_decision IS NULL THEN `s__{c}` "
+                 f"WHEN __t IS NOT NULL THEN `t__{c}` ELSE `s__{c}` END")
         elif c == "updated_at":
             e = f"CASE WHEN {both} THEN __now WHEN __t IS NOT NULL THEN `t__{c}` ELSE `s__{c}` END"
         else:

@@ -2,6 +2,7 @@
 import datetime as dt
 import random
 
+import pytest
 
 from riskweave.operators.intervals import interval_join, interval_micros
 
@@ -75,6 +76,14 @@ def test_custom_bucket_width_same_rows(spark):
     assert _pairs(a) == _pairs(b) == _pairs(c)
 
 
+@pytest.mark.parametrize("bucket", ["1 second", "0 seconds", "-1 hours"])
+def test_too_narrow_bucket_is_an_error(spark, bucket):
+    tx = spark.createDataFrame([], "user_id string, tts timestamp")
+    lg = spark.createDataFrame([], "user_id string, lts timestamp")
+    with pytest.raises(ValueError, match="too narrow"):
+        interval_join(tx, lg, "user_id", "tts", "lts", upper="24 hours", bucket=bucket)
+
+
 def test_bucketed_plan_has_bucket_equi_key(spark):
     tx, lg = _frames(spark, [("t", "u", T0)], [("L", "u", T0)])
     out = interval_join(tx, lg, "user_id", "tts", "lts", upper="1 hour", how="left")

@@ -2,6 +2,7 @@
 queue upsert (idempotent replay), duplicate suppression, incremental load."""
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import gold, kpis, silver
@@ -273,3 +274,35 @@ def test_new_checkpoint_gets_its_own_batch_records(spark, tmp_dir):
     sp.TriageSink(root, now=i.now, writer=sp.stream_writer_name("upsert", "/ckpt/two"))(half_b, 0)
     assert writers_versions(spark, root) == [1, 2]
     assert snapshot_read(spark, root).count() == 87
+
+
+@pytest.mark.parametrize("higher_first", [True, False])
+def test_queue_rows_do_not_depend_on_how_pairs_are_batched(spark, tmp_dir, higher_first):
+    from pyspark.sql import Window
+    i = inputs_for(spark, SF_SMALL)
+    top = F.max("risk_score").over(Window.partitionBy("transaction_id"))
+    pairs = i.risk.withColumn("__top", top)
+    high = pairs.where(F.col("risk_score") == F.col("__top")).drop("__top")
+    low = pairs.where(F.col("risk_score") < F.col("__top")).drop("__top")
+    split, whole = os.path.join(tmp_dir, "split"), os.path.join(tmp_dir, "whole")
+    sink = sp.TriageSink(split, now=i.now)
+    for n, batch in enumerate([high, low] if higher_first else [low, high]):
+        sink(batch, n)
+    sp.TriageSink(whole, now=i.now)(i.risk, 0)
+    got, want = snapshot_read(spark, split), snapshot_read(spark, whole)
+    assert got.columns == want.columns and want.count() > 0
+    assert _rows(got, got.columns) == _rows(want, want.columns)
+
+
+def test_higher_pair_clears_the_old_explanation_unless_decided(spark):
+    from riskweave.operators import triage as tr
+    row = "transaction_id string, risk_score int, login_city string, mfa_changed boolean"
+    known = tr.with_triage_defaults(spark.createDataFrame(
+        [("a", 50, "NY", False, "old", None), ("b", 50, "NY", False, "old", "BLOCK"), ("c", 90, "NY", False, "old", None)],
+        row + ", explanation string, analyst_decision string"))
+    new = spark.createDataFrame([(t, 80, "Lagos", True) for t in "abc"], row)
+    got = {r["transaction_id"]: r for r in tr.upsert(known, new, only_if_higher=True).collect()}
+    pick = lambda r: (r["risk_score"], r["login_city"], r["mfa_changed"], r["explanation"])
+    assert pick(got["a"]) == (80, "Lagos", True, None)
+    assert pick(got["b"]) == (80, "Lagos", True, "old") and got["b"]["analyst_decision"] == "BLOCK"
+    assert pick(got["c"]) == (90, "NY", False, "old")
