@@ -376,6 +376,28 @@ def test_chains_score_like_quadratic_search():
         assert len(flat) == len(set(flat))
 
 
+def test_chains_after_a_wide_gap():
+    near = lambda lo, n: np.arange(lo, lo + n, 10)
+    for first, second in ((100, 60), (400, 60), (60, 400)):
+        for skip, shift in ((150, 130), (130, 400), (600, 200)):  # words between the passages in either document
+            a = np.concatenate([near(0, first), near(first + skip, second)])
+            b = np.concatenate([near(0, first), near(first + shift, second)])
+            got = substring.chains(a, b)
+            assert sorted(len(c) for c in got) == sorted([first // 10, second // 10])
+    a = np.concatenate([near(0, 200), near(500, 200)])  # a long insertion into one copy
+    assert [len(c) for c in substring.chains(a, near(0, 400))] == [20, 20]
+    rng = np.random.default_rng(7)
+    for n in (5, 30, 60):
+        a, b = np.sort(rng.integers(0, 1500, n)), rng.integers(0, 600, n)
+        value = [5.0] * n
+        for i in range(n):
+            for j in range(i):
+                if 0 < a[i] - a[j] <= 105 and 0 < b[i] - b[j] <= 105:
+                    value[i] = max(value[i], value[j] + 5 - 0.05 * (a[i] - a[j] + b[i] - b[j]))
+        total = lambda c: 5 * len(c) - 0.05 * (a[c[-1]] - a[c[0]] + b[c[-1]] - b[c[0]])
+        assert max([5.0, *map(total, substring.chains(a, b))]) == pytest.approx(max(value))
+
+
 def test_passages_found_exactly_once_each_later_copy(spark):
     rng = random.Random(9)
     passage, fuzzy = [rng.choice(STOCK) + str(i) for i in range(80)], [rng.choice(STOCK) + "x" + str(i) for i in range(120)]
