@@ -426,6 +426,43 @@ def test_passages_found_exactly_once_each_later_copy(spark):
     assert substring.repeated_passages(frame(spark, [])).count() == 0
 
 
+def edited_pairs(rng, size, share, count, first):
+    """Documents in pairs that share a passage, the later copy with words replaced."""
+    word = lambda: f"{rng.choice(STOCK)}{rng.randrange(10**8)}"
+    rows = []
+    for n in range(count):
+        part = [word() for _ in range(size)]
+        for copy in range(2):
+            w = [word() for _ in range(120)]
+            w[40:40] = part
+            rows.append((first + 2 * n + copy, " ".join(w), "en", "a", 0))
+            for at in rng.sample(range(1, size - 1), round(size * share)):
+                part[at] = word()
+    return rows
+
+
+def test_edited_passages_are_found(spark):
+    rng = random.Random(19)
+    kinds = [(55, 0.1, 0.9), (55, 0.2, 0.7), (65, 0.2, 0.85), (80, 0.1, 0.95), (80, 0.2, 0.95)]
+    rows = [r for n, (size, share, _) in enumerate(kinds) for r in edited_pairs(rng, size, share, 60, 1000 * n)]
+    found = substring.repeated_passages(frame(spark, rows)).collect()
+    assert all(r["identity"] >= 0.8 and r["ref_doc_id"] == r["doc_id"] - 1 and r["doc_id"] % 2 for r in found)
+    for n, (size, share, least) in enumerate(kinds):
+        own = [r for r in found if r["doc_id"] // 1000 == n]
+        assert len({r["doc_id"] for r in own}) >= least * 60, (size, share, len(own))
+        assert all(38 <= r["start_word"] and r["start_word"] + r["n_words"] <= 42 + size for r in own)
+
+
+def test_segments_agree_enough_as_a_whole():
+    rng = np.random.default_rng(4)
+    for n in (30, 80, 300):
+        for share in (0.5, 0.7, 0.79, 0.85, 1.0):
+            same = rng.random(n) < share
+            got = substring.segments(same)
+            assert all(e - s >= 20 and c == same[s:e].sum() and c >= 0.8 * (e - s) - 1e-5 for s, e, c in got)
+            assert all(x[1] <= y[0] for x, y in zip(got, got[1:]))
+
+
 # --- 10 benchmark ---------------------------------------------------------------------------
 
 def levenshtein_inside(item, text):
