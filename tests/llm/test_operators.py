@@ -453,6 +453,24 @@ def test_edited_passages_are_found(spark):
         assert all(38 <= r["start_word"] and r["start_word"] + r["n_words"] <= 42 + size for r in own)
 
 
+@pytest.mark.parametrize("lines,size", [(5, 12), (4, 15), (2, 25)])
+def test_passages_of_frequent_lines_are_found(spark, lines, size):
+    rng = random.Random(23)
+    word = lambda: f"{rng.choice(STOCK)}{rng.randrange(10**8)}"
+    rows, later = [], set()
+    for n in range(40):
+        part = [[word() for _ in range(size)] for _ in range(lines)]
+        bodies = [[line] for line in part] + [part, part]  # each line comes first in a document of its own
+        for m, body in enumerate(bodies):
+            w = [word() for _ in range(80)]
+            w[30:30] = [x for line in body for x in line]
+            rows.append((100 * n + m, " ".join(w), "en", "a", 0))
+        later.add(100 * n + lines + 1)
+    got = {r["doc_id"]: r for r in substring.repeated_passages(frame(spark, rows)).collect()}
+    assert later <= set(got)
+    assert all(abs(got[i]["start_word"] - 30) <= 2 and abs(got[i]["n_words"] - lines * size) <= 4 for i in later)
+
+
 def test_segments_agree_enough_as_a_whole():
     rng = np.random.default_rng(4)
     for n in (30, 80, 300):
