@@ -5,7 +5,7 @@ writes what a stage returns as Parquet under the shared checkpoint root and
 reads it again as the next stage's ``docs``.
 
 1. *quality*: rows that the pairwise ranking scores below its threshold go.
-2. *near_duplicates*: of each SimHash component the smallest id stays.
+2. *near_duplicates*: of each SimHash component one row of the smallest id stays.
 3. *repeated_passages*: passages that repeat an earlier document are cut; a row
    with nothing left goes.
 4. *benchmark*: rows that contain a benchmark item go.
@@ -14,7 +14,8 @@ reads it again as the next stage's ``docs``.
 
 A null text passes the quality stage on its score like an empty one; rows
 without an id are kept by stage 2 and never cut by stage 3; rows that repeat a
-kept id are one document and come once after stage 2.  Empty tables give empty
+kept id come once after stage 2, or once for each component the id is the smallest
+of where its texts differ.  Empty tables give empty
 results.  Other columns are carried along unchanged (``n_chars`` follows a cut
 text).
 """
@@ -41,13 +42,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    found = written(simhash.near_duplicates(docs).select("doc_id", "component_id"), "pipeline-components")
+    found = written(simhash.near_duplicates(docs, labels_too=True), "pipeline-components").where("doc_id is not null")
+    stays = F.col("doc_id") == F.col("component_id")
+    ids = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(stays.cast("int")).alias("stays"))
     # ids that leave, and ids that come more than once: far fewer than the texts
-    leaves = written(found.where("doc_id <> component_id").select("doc_id").distinct(), "pipeline-leaves")
-    again = written(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"),
-                    "pipeline-again")
+    leaves = written(ids.where("stays = 0").select("doc_id"), "pipeline-leaves")
+    again = written(ids.where("stays = 1 and n > 1").select("doc_id"), "pipeline-again")
     once = docs.join(leaves.unionByName(again), "doc_id", "left_anti")
-    first = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # of an id's rows one for each component that the id is the smallest of
+    label, mark = temp_name("label"), temp_name("fingerprint")
+    heads = (found.where(stays).join(again, "doc_id", "left_semi").groupBy("doc_id", F.col("label").alias(label))
+             .agg(F.min("fingerprint").alias(mark)))
+    first = (docs.join(again, "doc_id", "left_semi").withColumn(mark, simhash.digits(simhash.fingerprint_column("text")))
+             .join(written(heads, "pipeline-heads"), ["doc_id", mark]).dropDuplicates(["doc_id", label]))
     return once.select(*_own(docs)).unionByName(first.select(*_own(docs)))
 
 

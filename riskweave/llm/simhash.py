@@ -87,6 +87,11 @@ def fingerprint_column(text: str = "text", shingle: int = SHINGLE_WORDS):
     return fingerprint(F.col(text))
 
 
+def digits(fp):
+    """A fingerprint as 16 hex digits."""
+    return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
     """Bit masks (as signed 64-bit) such that any ``radius`` positions are all
     cleared in at least one of them."""
@@ -133,8 +138,9 @@ def fingerprint_links(nodes: DataFrame, radius: int = RADIUS, dense: int = DENSE
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     shingle: int = SHINGLE_WORDS, radius: int = RADIUS,
-                    dense: int = DENSE_BUCKET) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id.
+                    dense: int = DENSE_BUCKET, labels_too: bool = False) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id,
+    and with ``labels_too`` label, which no two components share.
 
     ``component_id`` is the smallest id reachable over links of at most
     ``radius`` differing bits.  Null and empty texts have fingerprint 0 and link
@@ -151,6 +157,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "fp", "first_id", F.coalesce("label", "fp").alias("label"))
     named = written(named, "simhash-named")
     smallest = written(named.groupBy("label").agg(F.min("first_id").alias("component_id")), "simhash-smallest")
-    classes = written(named.join(smallest, "label").select("fp", "component_id"), "simhash-classes")
-    return fps.join(classes, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    extra = ["label"] if labels_too else []
+    classes = written(named.join(smallest, "label").select("fp", "component_id", *extra), "simhash-classes")
+    return fps.join(classes, "fp").select("doc_id", digits("fp").alias("fingerprint"), "component_id", *extra)

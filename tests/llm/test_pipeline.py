@@ -53,6 +53,17 @@ def test_stages(spark, folder):
         r["doc_id"] or -1 for r in kept["mixture"])
 
 
+def test_ids_with_two_texts_keep_one_row_of_each_component(spark, tmp_path):
+    rng = random.Random(31)
+    a, b, c, d, e = (prose(rng, 120, STOCK) for _ in range(5))
+    rows = [(5, a), (5, b), (3, b), (8, a), (9, a),  # 5 is the smallest of a's rows but not of b's
+            (20, c), (20, d), (21, c), (22, d),      # 20 is the smallest of both
+            (30, e), (30, e), (31, e)]               # a repeated row
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOCS)
+    kept = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicate_stage(spark, docs, str(tmp_path)).collect())
+    assert kept == sorted([(5, a), (3, b), (20, c), (20, d), (30, e)])
+
+
 def test_empty_tables(spark, tmp_path):
     path = str(tmp_path)
     spark.createDataFrame([], DOCS).write.parquet(f"{path}/documents.parquet")
