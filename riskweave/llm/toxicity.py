@@ -26,7 +26,7 @@ from riskweave.llm import textops
 from riskweave.llm.common import hash_order, held_out, thinned
 
 WINDOW = 64
-STRIDE = 48
+STRIDE = 32              # a span of up to WINDOW - STRIDE + 1 words lies whole in some window
 WORD_BUCKETS = 1 << 12
 CHAR_BUCKETS = 1 << 14
 WORD_DIM = 6

@@ -235,6 +235,14 @@ def test_toxicity_windows_cover_whole_texts():
         assert set().union(*[range(a, a + b) for a, b in zip(first, length)]) == set(range(n))
 
 
+def test_toxicity_windows_hold_short_spans_whole():
+    for n in (64, 65, 96, 113, 500):
+        data = np.frombuffer(b"w " * n, np.uint8)
+        first, length, _ = toxicity.windows(textops.words(data, np.array([0, len(data)])))
+        for size in (17, 33):
+            assert all(any(a <= s and s + size <= a + b for a, b in zip(first, length)) for s in range(n - size + 1))
+
+
 @pytest.mark.parametrize("kind", ["toxic", "quality"])
 def test_classifiers_learn_and_handle_edges(spark, kind):
     rng = random.Random(4)
