@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from riskweave.llm import textops
 
 MAX_EDIT_SHARE = 0.2     # edits allowed, as a share of the item's words
-MIN_ITEM_WORDS = 5       # shorter items are no evidence and are left out
+MIN_ITEM_WORDS = 5       # shorter items are matched word for word
 SAMPLES = 3
 RECALL = 0.95
 #: Share of CGK outputs taken to agree at the largest allowed distance.
@@ -162,6 +162,7 @@ class Items:
     plan: Plan
     cls: np.ndarray
     table: dict = field(default_factory=dict)  # (walk, class, table) -> Table
+    short: dict = field(default_factory=dict)  # words -> (sorted run hashes, item of each)
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -171,16 +172,23 @@ def tokens(text: str | None) -> np.ndarray:
 
 def build(ids: list, texts: list[str], *, samples: int = SAMPLES, walks: int = WALKS, recall: float = RECALL,
           ratio: float = CLASS_RATIO, min_words: int = MIN_ITEM_WORDS) -> Items | None:
-    found = [(i, w) for i, w in zip(ids, map(tokens, texts)) if len(w) >= min_words]
-    if not found:
+    every = [(i, w) for i, w in zip(ids, map(tokens, texts)) if len(w)]
+    found = [(i, w) for i, w in every if len(w) >= min_words]
+    brief = [(i, w) for i, w in every if len(w) < min_words]
+    if not every:
         return None
     lengths = [len(w) for _, w in found]
     p = plan(lengths, samples=samples, walks=walks, tables=tables_per_walk(recall, samples=samples, walks=walks), ratio=ratio)
     cls = np.searchsorted(p.sizes, lengths, side="right") - 1
-    out = Items([i for i, _ in found], [w for _, w in found], p, cls)
-    for walk in range(walks):
+    out = Items([i for i, _ in found + brief], [w for _, w in found + brief], p, cls)
+    for size in sorted({len(w) for _, w in brief}):
+        own = np.array([n for n in range(len(found), len(out.words)) if len(out.words[n]) == size])
+        key = np.concatenate([run_keys(out.words[n], size) for n in own])
+        order = np.argsort(key, kind="stable")
+        out.short[size] = key[order], own[order]
+    for walk in range(walks if found else 0):
         entries: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        for n, w in enumerate(out.words):
+        for n, (_, w) in enumerate(found):
             for t, got in enumerate(item_keys(w[::-1] if walk % 2 else w, p, walk, cls[n])):
                 if got:
                     entries.setdefault((cls[n], t), []).append((int(got[1]), n, int(got[0])))
@@ -194,6 +202,31 @@ def build(ids: list, texts: list[str], *, samples: int = SAMPLES, walks: int = W
     return out
 
 
+def run_keys(sym: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every run of ``size`` words."""
+    n = max(0, len(sym) - size + 1)
+    key = np.zeros(n, np.uint64)
+    for j in range(size):
+        key = textops.mix(key + sym[j:j + n])
+    return key
+
+
+def short_matches(items: Items, sym: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """(row, item) -> (0, start, end) of the first exact match of short items."""
+    out: dict[tuple[int, int], tuple[int, int, int]] = {}
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    for size, (keys, owner) in items.short.items():
+        key = run_keys(sym, size)
+        lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+        at = np.flatnonzero((hi > lo) & (row[:len(key)] == row[size - 1:size - 1 + len(key)]))
+        pairs, seen = np.unique(np.column_stack([row[at], lo[at]]), axis=0, return_index=True)
+        for (r, a), k in zip(pairs.tolist(), at[seen].tolist()):  # once for each row and run, however often it comes
+            for item in owner[a:hi[k]].tolist():
+                start = k - int(first[r])
+                out[r, item] = 0, start, start + size
+    return out
+
+
 def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """(edits, start, end) of the best match of ``item`` inside ``text``; the
     text's words before and after the match are free."""
@@ -216,9 +249,9 @@ def matches(items: Items, sym: np.ndarray, first: np.ndarray, share: float) -> d
     """(row, item) -> (edits, start, end) of the best verified match, words
     counted within the row.  ``first``: each row's first word in ``sym``."""
     n = len(sym)
-    pad = np.zeros(items.plan.longest + 2, np.uint64)
+    pad = np.zeros(items.plan.longest + 2 if items.plan.steps else 0, np.uint64)
     candidates: set[tuple[int, int]] = set()  # (item, approximate start)
-    for walk in range(len(items.plan.steps[0])):
+    for walk in range(len(items.plan.steps[0]) if items.plan.steps else 0):
         back = walk % 2 == 1
         for c, t, key, at in scan(np.concatenate([sym[::-1] if back else sym, pad]), n, items.plan, walk, items.table):
             own = items.table[walk, c, t]
@@ -228,7 +261,7 @@ def matches(items: Items, sym: np.ndarray, first: np.ndarray, share: float) -> d
             for a, x, y in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
                 for item in own.owner[x:y].tolist():
                     candidates.add((item, n - a - len(items.words[item]) if back else a))
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    best = short_matches(items, sym, first)
     done: set[tuple[int, int, int]] = set()
     for item, a in sorted(candidates):
         w = items.words[item]
@@ -295,8 +328,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     """One row per (document, matched item): doc_id, item_id, start_word,
     n_words, edits (the match with the fewest edits, the earliest on a tie).
 
-    Null and empty texts match nothing; items without text or with fewer than
-    ``MIN_ITEM_WORDS`` words are left out; repeated document rows are returned as
+    Null and empty texts match nothing; items with fewer than ``MIN_ITEM_WORDS``
+    words match word for word only; items without words match nothing; repeated document rows are returned as
     often as they come and repeated items once per row of the benchmark; other
     columns are ignored; empty tables give an empty result.
     """

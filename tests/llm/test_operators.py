@@ -535,3 +535,16 @@ def test_contamination_recall_and_precision(spark):
     assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {d for d in range(160)} - {d for d, _ in got}
     assert decontaminate.contamination(frame(spark, EDGE), bench).count() == 0
     assert decontaminate.contamination(docs, bench.limit(0)).count() == 0
+
+
+def test_short_items_match_word_for_word(spark):
+    rows = [(1, "x one Two three four y one two three four", "en", "a", 0), (2, "one two three", "en", "a", 0),
+            (3, "four", "en", "a", 0), (4, "solo", "en", "a", 0), (5, "one two", "en", "a", 0), (6, "three four", "en", "a", 0),
+            (7, None, "en", "a", 0)]
+    short = [(1, "One two three four"), (2, "solo"), (3, "one two three four"), (4, " "), (5, None), (6, "two three")]
+    long_item = [(9, "these words are in no text at all")]
+    for items in (short, short + long_item):
+        bench = spark.createDataFrame(items, "item_id long, text string")
+        got = {tuple(r) for r in decontaminate.contamination(frame(spark, rows), bench).collect()}
+        assert got == {(1, 1, 1, 4, 0), (1, 3, 1, 4, 0), (1, 6, 2, 2, 0), (2, 6, 1, 2, 0), (4, 2, 0, 1, 0)}
+        assert sorted(r["doc_id"] for r in decontaminate.clean(frame(spark, rows), bench).collect()) == [3, 5, 6, 7]
