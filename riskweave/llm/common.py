@@ -38,6 +38,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """Written tables of an iteration: each write deletes the table before it,
+    which nothing but the new one was made from."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.path = spark, name, None
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path, before = shared_path(self.spark, "llm", f"{self.name}-{uuid.uuid4().hex}"), self.path
+        df.write.parquet(path)
+        self.path = path
+        if before:
+            removed(self.spark, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own intermediate files."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def temp_name(stem: str) -> str:
     """A column name that cannot clash with an input's own columns."""
     return f"__{stem}_{uuid.uuid4().hex[:12]}"
