@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import centroids, decontaminate, htmltext, langid, mixture, quality, rules, simhash, substring, toxicity, warc
+from riskweave.llm import centroids, decontaminate, gnat, htmltext, langid, mixture, quality, rules, simhash, substring, toxicity, warc
 from riskweave.llm.common import importable, table
 from riskweave.session import shared_path
 
@@ -86,6 +86,14 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op12_hard_negatives"] = gnat.HARD_NEGATIVES_SQL
+
+
 @query
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
