@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import centroids, decontaminate, gnat, htmltext, langid, mixture, quality, rules, simhash, substring, toxicity, warc
+from riskweave.llm import centroids, decontaminate, digest, gnat, htmltext, langid, mixture, quality, rules, simhash, substring, toxicity, warc
 from riskweave.llm.common import importable, table
 from riskweave.session import shared_path
 
@@ -100,3 +100,8 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op13_centroids"] = centroids.cluster_sql()
+
+
+@query
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.edited_fingerprints(table(spark, sf_dir, "documents"))
