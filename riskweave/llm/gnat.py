@@ -371,8 +371,11 @@ def labelled(rows: DataFrame, id_col: str, vector_col: str, label_col: str, dims
     the next label, components are ``floor(factor * x)``."""
     who, label = F.col(id_col).cast("long"), F.col(label_col).cast("long")
     kept = rows.where(who.isNotNull() & label.isNotNull() & vectors.whole(vector_col, dims))
+    scaled = lambda x: F.floor(factor * x.cast("double"))
+    exact = lambda x: F.when(F.abs(factor * x.cast("double")) > vectors.MAX_COMPONENT, F.raise_error(
+        F.lit("a scaled component is too large to be exact"))).otherwise(scaled(x).cast("int"))
     return kept.select(who.alias("id"), F.when(who % SHIFT_EVERY == 0, (label + 1) % LABELS).otherwise(label).cast("int").alias("label"),
-                       F.transform(vector_col, lambda x: F.floor(factor * x.cast("double")).cast("int")).alias("x"))
+                       F.transform(vector_col, exact).alias("x"))
 
 
 def hard_negatives(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -390,9 +393,7 @@ def hard_negatives(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str =
     an empty result.  Components beyond ``vectors.MAX_COMPONENT`` after scaling
     are an error, as their products would not be exact.
     """
-    largest = F.array_max(F.transform("x", lambda v: F.abs(v)))
-    exact = F.when(largest > vectors.MAX_COMPONENT, F.raise_error(F.lit("a scaled component is too large to be exact")))
-    ix = index(labelled(rows, id_col, vector_col, label_col, dims, factor).where(exact.isNull()), dims=dims, **tree)
+    ix = index(labelled(rows, id_col, vector_col, label_col, dims, factor), dims=dims, **tree)
     anchors = ix.rows.where(F.col("id") % anchor_every == 0).select("id", "label", "x").distinct()
     anchors = written(anchors.withColumn("key", F.monotonically_increasing_id()), "gnat-anchors")
     ends = lambda v: F.array(F.lit(v).cast("long"))
