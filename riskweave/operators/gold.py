@@ -77,16 +77,26 @@ def wire_after_mfa(tx: DataFrame, logins: DataFrame, window: str = C.MFA_WIRE_WI
     """Wires above ``min_amount`` within ``window`` after an MFA change of the same
     user (inner; one row per MFA change).  Both sides are filtered before the
     shuffle, so only wires and MFA changes move."""
-    wires = tx.filter((F.col("transaction_type") == C.WIRE_TYPE) & (F.col("amount") > min_amount)).select(
+    out = interval_join(wire_side(tx, min_amount), mfa_side(logins), "user_id", "wire_timestamp",
+                        "mfa_change_timestamp", lower="0 seconds", upper=window, how="inner", strategy=strategy)
+    return wire_pairs(out)
+
+
+def wire_side(tx: DataFrame, min_amount: float) -> DataFrame:
+    return tx.filter((F.col("transaction_type") == C.WIRE_TYPE) & (F.col("amount") > min_amount)).select(
         "transaction_id", "user_id", F.col("timestamp").alias("wire_timestamp"), "amount",
         "merchant_name", F.col("city").alias("wire_city"), F.col("country").alias("wire_country"))
-    mfa = logins.filter(F.col("mfa_change_flag") == F.lit(True)).select(
+
+
+def mfa_side(logins: DataFrame) -> DataFrame:
+    return logins.filter(F.col("mfa_change_flag") == F.lit(True)).select(
         "user_id", F.col("login_id").alias("mfa_login_id"),
         F.col("timestamp").alias("mfa_change_timestamp"), F.col("mfa_method").alias("new_mfa_method"),
         F.col("city").alias("mfa_change_city"), F.col("country").alias("mfa_change_country"))
-    out = interval_join(wires, mfa, "user_id", "wire_timestamp", "mfa_change_timestamp",
-                        lower="0 seconds", upper=window, how="inner", strategy=strategy)
-    return out.select(
+
+
+def wire_pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(
         "transaction_id", "user_id", "wire_timestamp", "amount", "merchant_name", "wire_city",
         "wire_country", "mfa_change_timestamp", "new_mfa_method", "mfa_change_city",
         "mfa_change_country", "mfa_login_id",

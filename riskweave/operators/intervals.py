@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _UNIT_US = {
@@ -50,6 +50,34 @@ def _floor_div_sql(expr: str, width: int) -> str:
     return f"(({expr}) - pmod(({expr}), {width}L)) div {width}L"
 
 
+def micros(ts: str) -> Column:
+    return F.expr(_micros_sql(ts))
+
+
+def floor_div(column: str, width: int) -> Column:
+    """Exact floor division of a BIGINT column by a positive constant."""
+    return F.expr(_floor_div_sql(f"`{column}`", width))
+
+
+def time_bucket(ts: str, width: int) -> Column:
+    """Bucket (of ``width`` microseconds) of a row's own time."""
+    return F.expr(_floor_div_sql(_micros_sql(ts), width))
+
+
+def window_buckets(ts: str, lo_us: int, hi_us: int, width: int) -> Column:
+    """Buckets that ``[ts + lo_us, ts + hi_us]`` touches: two at most where the
+    bucket is as wide as the window."""
+    return F.sequence(F.expr(_floor_div_sql(f"{_micros_sql(ts)} + {lo_us}L", width)),
+                      F.expr(_floor_div_sql(f"{_micros_sql(ts)} + {hi_us}L", width)))
+
+
+def bucket_width(lo_us: int, hi_us: int, bucket: str | None) -> int:
+    width = interval_micros(bucket) if bucket else max(hi_us - lo_us, 1)
+    if width <= 0 or (hi_us - lo_us) // width + 2 > MAX_BUCKETS:
+        raise ValueError(f"bucket {bucket!r} is too narrow for a window of {hi_us - lo_us} microseconds")
+    return width
+
+
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                   lower: str = "0 seconds", upper: str = "1 hour", how: str = "left",
                   strategy: str = "bucketed", bucket: str | None = None) -> DataFrame:
@@ -75,13 +103,9 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     if strategy != "bucketed":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    width = interval_micros(bucket) if bucket else max(hi_us - lo_us, 1)
-    if width <= 0 or (hi_us - lo_us) // width + 2 > MAX_BUCKETS:
-        raise ValueError(f"bucket {bucket!r} is too narrow for a window from {lower!r} to {upper!r}")
+    width = bucket_width(lo_us, hi_us, bucket)
     lb, rb = "__lb", "__rb"
-    l2 = left.withColumn(lb, F.expr(_floor_div_sql(_micros_sql(left_ts), width)))
-    first = _floor_div_sql(f"{_micros_sql(right_ts)} + {lo_us}L", width)
-    last = _floor_div_sql(f"{_micros_sql(right_ts)} + {hi_us}L", width)
-    r2 = r.withColumn(rb, F.explode(F.sequence(F.expr(first), F.expr(last))))
+    l2 = left.withColumn(lb, time_bucket(left_ts, width))
+    r2 = r.withColumn(rb, F.explode(window_buckets(right_ts, lo_us, hi_us, width)))
     cond = (F.col(key) == F.col(rk)) & (F.col(lb) == F.col(rb)) & in_range
     return l2.join(r2, cond, how).drop(rk, lb, rb)

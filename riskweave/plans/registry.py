@@ -136,7 +136,7 @@ def _table_counts(i: Inputs) -> DataFrame:
 _q("table_counts", _table_counts)
 
 # --- Gold ---------------------------------------------------------------------
-_q("session_join", lambda i: gold.session_join(i.silver_tx, i.silver_logins, strategy="plain"))
+_q("session_join", lambda i: gold.session_join(i.silver_tx, i.silver_logins))
 _q("session_join_bucketed", lambda i: gold.session_join(i.silver_tx, i.silver_logins, strategy="bucketed"))
 _q("session_risk", lambda i: i.risk)
 _q("wire_after_mfa", lambda i: i.wires)

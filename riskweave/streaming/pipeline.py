@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from riskweave import config as C
 from riskweave.operators import gold, triage as tr
+from riskweave.operators.intervals import bucket_width, interval_micros, time_bucket, window_buckets
 from riskweave.sources import schemas
 from riskweave.sources.writers import (PUBLISH_TRIES, VersionTaken, batch_base_version, batch_done, read_bucketed,
                                        snapshot_committed, snapshot_expire, snapshot_read_version, snapshot_write,
@@ -50,41 +51,53 @@ def stream_bronze_login_logs(spark: SparkSession, path: str, fmt: str = "csv") -
         "ingestion_timestamp", F.current_timestamp())
 
 
-def stream_session_join(tx: DataFrame, logins: DataFrame, window: str = C.SESSION_WINDOW,
-                        tx_delay: str = "2 hours", login_delay: str = "2 hours",
-                        how: str = "left") -> DataFrame:
-    """Stream-stream interval join of silver transactions and logins.
+def _watermarked(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
+    """``delay=None``: the input already carries a watermark on ``ts``."""
+    return df.withWatermark(ts, delay) if delay else df
+
+
+def _bucketed_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, right_key: str, window: str,
+                   how: str, bucket: str | None) -> DataFrame:
+    """Stream-stream join on (user, time bucket) with the range on the event
+    times.  The right side is copied to the buckets its window touches (two at
+    most by default) and a left row keeps its one bucket, so every pair and every
+    unmatched left row comes once, and the state of one heavy user is spread
+    over its buckets.  Watermarks stay on the event times, so the engine still
+    bounds the state."""
+    hi_us = interval_micros(window)
+    width = bucket_width(0, hi_us, bucket)
+    lt = left.withColumn("__lb", time_bucket(left_ts, width))
+    rt = right.withColumn("__rb", F.explode(window_buckets(right_ts, 0, hi_us, width)))
+    cond = ((F.col("user_id") == F.col(right_key)) & (F.col("__lb") == F.col("__rb"))
+            & (F.col(left_ts) >= F.col(right_ts))
+            & (F.col(left_ts) <= F.col(right_ts) + F.expr(f"INTERVAL {window}")))
+    return lt.join(rt, cond, how).drop("__lb", "__rb", right_key)
+
 
-    Both sides carry watermarks; the range ``login <= tx <= login + window``
-    is written on the event-time columns so the engine can bound the state.
-    Output columns match ``gold.session_join``.
+def stream_session_join(tx: DataFrame, logins: DataFrame, window: str = C.SESSION_WINDOW,
+                        tx_delay: str | None = "2 hours", login_delay: str | None = "2 hours",
+                        how: str = "left", bucket: str | None = None) -> DataFrame:
+    """Stream-stream interval join of silver transactions and logins, keyed by
+    (user, time bucket) (``bucket``: its width, by default the window).
+
+    Both sides carry watermarks (a delay of None: the input has one already);
+    the range ``login <= tx <= login + window`` is written on the event-time
+    columns so the engine can bound the state.  Output columns match
+    ``gold.session_join``.
     """
-    t = gold._tx_side(tx).withWatermark("tx_timestamp", tx_delay)
-    lg = gold._login_side(logins).withColumnRenamed("user_id", "__luser") \
-        .withWatermark("login_timestamp", login_delay)
-    cond = ((F.col("user_id") == F.col("__luser"))
-            & (F.col("tx_timestamp") >= F.col("login_timestamp"))
-            & (F.col("tx_timestamp") <= F.col("login_timestamp") + F.expr(f"INTERVAL {window}")))
-    return t.join(lg, cond, how).select(*gold.PAIR_COLUMNS)
+    t = _watermarked(gold._tx_side(tx), "tx_timestamp", tx_delay)
+    lg = _watermarked(gold._login_side(logins).withColumnRenamed("user_id", "__luser"), "login_timestamp", login_delay)
+    joined = _bucketed_join(t, lg, "tx_timestamp", "login_timestamp", "__luser", window, how, bucket)
+    return joined.select(*gold.PAIR_COLUMNS)
 
 
 def stream_wire_after_mfa(tx: DataFrame, logins: DataFrame, window: str = C.MFA_WIRE_WINDOW,
-                          delay: str = "1 day") -> DataFrame:
-    """Inner stream-stream form of the wire-after-MFA join."""
-    wires = tx.filter((F.col("transaction_type") == C.WIRE_TYPE) & (F.col("amount") > C.MFA_WIRE_MIN_AMOUNT)) \
-        .select("transaction_id", "user_id", F.col("timestamp").alias("wire_timestamp"), "amount",
-                "merchant_name", F.col("city").alias("wire_city"), F.col("country").alias("wire_country")) \
-        .withWatermark("wire_timestamp", delay)
-    mfa = logins.filter(F.col("mfa_change_flag") == F.lit(True)).select(
-        F.col("user_id").alias("__muser"), F.col("login_id").alias("mfa_login_id"),
-        F.col("timestamp").alias("mfa_change_timestamp"), F.col("mfa_method").alias("new_mfa_method"),
-        F.col("city").alias("mfa_change_city"), F.col("country").alias("mfa_change_country")) \
-        .withWatermark("mfa_change_timestamp", delay)
-    cond = ((F.col("user_id") == F.col("__muser"))
-            & (F.col("wire_timestamp") >= F.col("mfa_change_timestamp"))
-            & (F.col("wire_timestamp") <= F.col("mfa_change_timestamp") + F.expr(f"INTERVAL {window}")))
-    return wires.join(mfa, cond, "inner").drop("__muser").withColumn(
-        "seconds_between", F.unix_timestamp("wire_timestamp") - F.unix_timestamp("mfa_change_timestamp"))
+                          delay: str | None = "1 day", bucket: str | None = None) -> DataFrame:
+    """Inner stream-stream form of the wire-after-MFA join, keyed by (user, time bucket)."""
+    wires = _watermarked(gold.wire_side(tx, C.MFA_WIRE_MIN_AMOUNT), "wire_timestamp", delay)
+    mfa = _watermarked(gold.mfa_side(logins).withColumnRenamed("user_id", "__muser"), "mfa_change_timestamp", delay)
+    joined = _bucketed_join(wires, mfa, "wire_timestamp", "mfa_change_timestamp", "__muser", window, "inner", bucket)
+    return gold.wire_pairs(joined)
 
 
 def stream_kpis(risk: DataFrame, delay: str | None = "2 hours") -> DataFrame:
@@ -113,8 +126,25 @@ def stream_kpis(risk: DataFrame, delay: str | None = "2 hours") -> DataFrame:
 
 def dedupe_stream(df: DataFrame, key: str = "transaction_id", ts: str = "timestamp",
                   delay: str = "1 hour") -> DataFrame:
-    """Drop replayed rows with the same key arriving within the lateness bound."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    """Drop replayed rows with the same key arriving within the lateness bound;
+    a repeat that comes later is behind the watermark and dropped as late.  Rows
+    without a key are repeats when all their columns are equal.  The result
+    carries the watermark on ``ts``."""
+    same = F.coalesce(F.concat(F.lit("key:"), F.col(key).cast("string")),
+                      F.concat(F.lit("row:"), F.xxhash64(*df.columns).cast("string")))
+    return (df.withWatermark(ts, delay).withColumn("__same", same)
+            .dropDuplicatesWithinWatermark(["__same"]).drop("__same"))
+
+
+def _landed_pairs(spark: SparkSession, tx_path: str, login_path: str, fmt: str, delay: str,
+                  max_files_per_trigger: int | None) -> DataFrame:
+    """Landing files -> silver -> repeats dropped -> session join -> score: a
+    file that lands again adds nothing to any job behind it."""
+    from riskweave.operators import silver
+    tx = silver.silver_transactions(read_stream(spark, tx_path, schemas.TRANSACTIONS, fmt, max_files_per_trigger))
+    lg = silver.silver_login_logs(read_stream(spark, login_path, schemas.LOGIN_LOGS, fmt, max_files_per_trigger))
+    tx, lg = dedupe_stream(tx, "transaction_id", delay=delay), dedupe_stream(lg, "login_id", delay=delay)
+    return gold.with_risk(stream_session_join(tx, lg, tx_delay=None, login_delay=None, how="left"))
 
 
 def _replay_base(spark: SparkSession, root: str, writer: str, batch_id: int) -> int | None:
@@ -279,10 +309,7 @@ def start_session_risk_stream(spark: SparkSession, tx_path: str, login_path: str
     queue upsert, as one streaming query.  Matched pairs flow as soon as both
     sides arrive; transactions without a login are emitted (and may be
     queued) once the login watermark passes their window."""
-    from riskweave.operators import silver
-    tx = silver.silver_transactions(read_stream(spark, tx_path, schemas.TRANSACTIONS, fmt, max_files_per_trigger))
-    lg = silver.silver_login_logs(read_stream(spark, login_path, schemas.LOGIN_LOGS, fmt, max_files_per_trigger))
-    risk = gold.with_risk(stream_session_join(tx, lg, tx_delay=delay, login_delay=delay, how="left"))
+    risk = _landed_pairs(spark, tx_path, login_path, fmt, delay, max_files_per_trigger)
     return start_triage_upsert(risk, queue_root, checkpoint, now=now, trigger=trigger)
 
 
@@ -292,10 +319,7 @@ def start_kpi_stream(spark: SparkSession, tx_path: str, login_path: str, sink_pa
     """Landing files -> silver -> stream-stream join -> score -> hourly KPI
     window, appended to Parquet as each hour closes (two stateful operators in
     one query; event time is carried through the join)."""
-    from riskweave.operators import silver
-    tx = silver.silver_transactions(read_stream(spark, tx_path, schemas.TRANSACTIONS, fmt, max_files_per_trigger))
-    lg = silver.silver_login_logs(read_stream(spark, login_path, schemas.LOGIN_LOGS, fmt, max_files_per_trigger))
-    risk = gold.with_risk(stream_session_join(tx, lg, tx_delay=delay, login_delay=delay, how="left"))
+    risk = _landed_pairs(spark, tx_path, login_path, fmt, delay, max_files_per_trigger)
     w = (stream_kpis(risk, delay=None).writeStream.format("parquet").option("path", sink_path)
          .option("checkpointLocation", _checkpoint(spark, checkpoint, "kpi_stream")).outputMode("append"))
     return w.trigger(**trigger).start() if trigger else w.start()
