@@ -75,3 +75,24 @@ TRAVEL_N = 50
 TRAVEL_MILES = 500
 TRAVEL_MINUTES = 60
 EARTH_RADIUS_MILES = 3958.8
+
+# Declared detection patterns.
+HOME_COUNTRY = "US"
+ATM_TYPE = "atm_withdrawal"
+MOBILE_DEVICES = ("mobile_ios", "mobile_android")
+SEVERITIES = ("low", "medium", "high", "critical")
+LARGE_AMOUNT = 10000
+GEO_HOP_MILES = 500
+GEO_HOP_WINDOW = "10 minutes"
+VELOCITY_FACTOR = 5.0
+VELOCITY_WINDOW = "1 hour"
+VELOCITY_MIN_COUNT = 3
+MIDNIGHT_HOURS = (1, 4)
+ROUND_MULTIPLE = 1000
+CROSS_CHANNEL_WINDOW = "5 minutes"
+DORMANT_DAYS = 90
+STUFFING_ACCOUNTS = 10
+STUFFING_MINUTES = 60
+CARD_TEST_BELOW = 1.0
+CARD_TEST_COUNT = 3
+CARD_TEST_WINDOW = "10 minutes"

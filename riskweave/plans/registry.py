@@ -286,3 +286,33 @@ _q("scored_transactions", lambda i: narrative.score_transactions(
 _q("explanation_apply", lambda i: _explanations(i).select("transaction_id", "explanation", "triggered_factors"))
 _q("explanation_coverage", lambda i: tr.explanation_coverage(_explanations(i)))
 _q("explanation_preview", lambda i: tr.explanation_preview(_explanations(i)))
+
+
+# --- Declared patterns ------------------------------------------------------------
+from riskweave.operators import catalogue, patterns  # noqa: E402
+
+# Thresholds that the fixture rows do not reach (users act every hour, no
+# amount is under a dollar, no address repeats) are set lower here.
+
+
+def _networks(i: Inputs) -> DataFrame:
+    return i.bronze_logins.withColumn("network", F.substring_index("ip_address", ".", 1))
+
+
+def _pattern_hits(i: Inputs) -> DataFrame:
+    return catalogue.with_severity(catalogue.pattern_hits(i.risk), fixtures.signatures(i.spark))
+
+
+_q("rapid_geo_hop", lambda i: patterns.rapid_geo_hop(patterns.locations(i.silver_tx, i.silver_logins)))
+_q("velocity_spike", lambda i: patterns.velocity_spike(i.silver_tx))
+_q("new_device_large", lambda i: patterns.new_device_large(i.silver_tx))
+_q("midnight_atm", lambda i: patterns.midnight_atm(i.silver_tx))
+_q("round_amount_wire", lambda i: patterns.round_amount_wire(i.silver_tx, amount=1000, multiple=10))
+_q("multiple_failed_mfa", lambda i: patterns.multiple_failed_mfa(
+    i.silver_logins.withColumn("login_successful", F.lit(True))))
+_q("cross_channel_rapid", lambda i: patterns.cross_channel_rapid(i.silver_tx, i.silver_logins, within="1 hour"))
+_q("dormant_reactivation", lambda i: patterns.dormant_reactivation(i.silver_tx, days=0.5))
+_q("credential_stuffing", lambda i: patterns.credential_stuffing(_networks(i), "network", accounts=5, minutes=1440))
+_q("card_testing", lambda i: patterns.card_testing(i.silver_tx, below=2000, count=2, window="1 hour"))
+_q("pattern_hits", _pattern_hits)
+_q("pattern_report", lambda i: catalogue.pattern_report(_pattern_hits(i)))

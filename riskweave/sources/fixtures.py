@@ -150,6 +150,25 @@ def decisions_from_events(events: DataFrame) -> DataFrame:
         "CAST(ts AS TIMESTAMP) + INTERVAL 30 MINUTES AS decided_at")
 
 
+# Declared patterns and their severities, in catalogue order.
+PATTERNS = [
+    ("rapid_geo_hop", "high"), ("velocity_spike", "high"), ("mfa_then_wire", "critical"),
+    ("new_device_large_tx", "medium"), ("midnight_atm", "high"), ("round_amount_wire", "high"),
+    ("bot_typing", "critical"), ("multiple_failed_mfa", "high"), ("ip_tor_exit", "critical"),
+    ("account_drain", "critical"), ("sim_swap_pattern", "high"), ("cross_channel_rapid", "high"),
+    ("dormant_reactivation", "medium"), ("credential_stuffing", "critical"), ("card_testing", "medium"),
+]
+
+
+def signatures(spark: SparkSession, rows: int = 200) -> DataFrame:
+    """A catalogue of ``rows`` signatures that go through the patterns in turn."""
+    n = len(PATTERNS)
+    pick = lambda k: F.expr(_pick([p[k] for p in PATTERNS], f"id % {n}"))
+    return spark.range(rows).select(
+        F.format_string("SIG-%04d", F.col("id") + 1).alias("signature_id"), pick(0).alias("pattern_name"),
+        pick(1).alias("severity"), ((F.col("id") % 7 + 1) / 100).alias("false_positive_rate"))
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
