@@ -17,6 +17,8 @@ Checkpoints and snapshots go under the shared root named by the session's
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +27,9 @@ from riskweave import config as C
 from riskweave.operators import gold, triage as tr
 from riskweave.operators.intervals import bucket_width, interval_micros, time_bucket, window_buckets
 from riskweave.sources import schemas
-from riskweave.sources.writers import (PUBLISH_TRIES, VersionTaken, batch_base_version, batch_done, read_bucketed,
-                                       snapshot_committed, snapshot_expire, snapshot_read_version, snapshot_write,
-                                       snapshot_written_by, swap_bucketed)
+from riskweave.sources.writers import (PUBLISH_TRIES, RETRY_SECONDS, VersionTaken, batch_base_version, batch_done,
+                                       read_bucketed, snapshot_current_version, snapshot_expire, snapshot_next_version,
+                                       snapshot_published, snapshot_read_version, snapshot_write, swap_bucketed)
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
@@ -149,16 +151,15 @@ def _landed_pairs(spark: SparkSession, tx_path: str, login_path: str, fmt: str,
 
 def _replay_base(spark: SparkSession, root: str, writer: str, batch_id: int) -> int | None:
     """Version a batch of ``writer`` builds on, or None when the batch is
-    already complete.  The batch's next version carries the tag
-    ``writer:batch_id``; if another job committed that version number first,
-    the batch is re-based on the current version (it never committed)."""
-    tag = f"{writer}:{batch_id}"
+    already complete (a committed version carries its tag ``writer:batch_id``,
+    or it is recorded as done).  If another job published meanwhile, the batch
+    is re-based on the current version."""
     if batch_done(spark, root, writer, batch_id):
         return None
     base = batch_base_version(spark, root, writer, batch_id)
-    if snapshot_written_by(spark, root, base + 1, tag):
+    if snapshot_published(spark, root, f"{writer}:{batch_id}", after=base):
         return None
-    if snapshot_committed(spark, root, base + 1):
+    if snapshot_current_version(spark, root) != base:
         base = batch_base_version(spark, root, writer, batch_id, rebase=True)
     return base
 
@@ -168,15 +169,17 @@ def _write_batch(spark: SparkSession, root: str, writer: str, batch_id: int, bui
     re-based on the newer queue when another job published first; False when
     the batch was complete before."""
     for _ in range(PUBLISH_TRIES):
+        version = snapshot_next_version(spark, root)
         base = _replay_base(spark, root, writer, batch_id)
         if base is None:
             return False
         current = snapshot_read_version(spark, root, base) if base else None
         try:
-            snapshot_write(build(current), root, version=base + 1, tag=f"{writer}:{batch_id}")
+            snapshot_write(build(current), root, version=version, tag=f"{writer}:{batch_id}", base=base)
             return True
         except VersionTaken as e:
             taken = e
+            time.sleep(RETRY_SECONDS)
     raise taken
 
 
