@@ -52,9 +52,8 @@ def quality_report(df: DataFrame, rules: dict[str, str], dataset: str = "dataset
 # Review-queue constraints
 # ---------------------------------------------------------------------------
 
-def triage_violations(df: DataFrame) -> Column:
-    """Array of violated constraint names (empty when the row is valid)."""
-    checks = [
+def _triage_checks() -> list[tuple[str, Column]]:
+    return [
         ("transaction_id_null", F.col("transaction_id").isNull()),
         ("user_id_null", F.col("user_id").isNull()),
         ("amount_null", F.col("amount").isNull()),
@@ -65,22 +64,22 @@ def triage_violations(df: DataFrame) -> Column:
         ("decision_invalid", F.col("analyst_decision").isNotNull()
          & ~F.col("analyst_decision").isin(*C.DECISIONS)),
     ]
-    return F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in checks]),
-                    lambda x: x.isNotNull())
 
 
-def validate_triage(df: DataFrame) -> DataFrame:
-    """Rows with ``violations`` (array) and ``is_valid``; split with a filter."""
-    v = triage_violations(df)
-    return df.withColumns({"violations": v, "is_valid": F.size(v) == 0})
+TRIAGE_CONSTRAINTS = ("transaction_id_null", "user_id_null", "amount_null", "risk_score_null", "risk_score_range",
+                      "risk_level_invalid", "action_invalid", "decision_invalid")
 
 
-def valid_triage(df: DataFrame) -> DataFrame:
-    return validate_triage(df).filter("is_valid").drop("violations", "is_valid")
+def triage_violations() -> Column:
+    """Array of violated constraint names (empty when the row is valid)."""
+    return F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in _triage_checks()]),
+                    lambda x: x.isNotNull())
 
 
-def rejected_triage(df: DataFrame) -> DataFrame:
-    return validate_triage(df).filter(~F.col("is_valid")).drop("is_valid")
+def validate_triage(df: DataFrame) -> DataFrame:
+    """Rows with ``violations`` (array) and ``is_valid``; split with a filter."""
+    v = triage_violations()
+    return df.withColumns({"violations": v, "is_valid": F.size(v) == 0})
 
 
 def validate_decisions(df: DataFrame, col: str = "decision") -> DataFrame:

@@ -16,8 +16,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.operators import gold, kpis, silver, triage as tr
-from riskweave.sources.writers import snapshot_update, write_table
+from riskweave.operators import gold, kpis, silver
+from riskweave.plans.review import sync_queue
+from riskweave.sources import schemas
+from riskweave.sources.writers import publish_table, write_table
 
 
 # Named tables of the batch run: layer and description (table comments).
@@ -69,16 +71,33 @@ def run_batch(spark: SparkSession, bronze_tx: DataFrame, bronze_logins: DataFram
                                               paths["gold_wire_after_mfa_change"]))
     g = spark.read.parquet(paths["gold_user_session_risk"])
     g_pairs = g.drop("tx_date") if "tx_date" in g.columns else g
-    batch = tr.to_triage(gold.dedupe_per_transaction(g_pairs), created_at=F.col("tx_timestamp"))
     _together(lambda: write_table(kpis.fraud_kpis(g), paths["gold_fraud_kpis"]),
-              lambda: snapshot_update(spark, paths["triage"], lambda current, _: tr.upsert(current, batch, now=now)))
+              lambda: sync_queue(spark, g_pairs, paths["triage"], now=now))
     return paths
 
 
+def publish_datasets(spark: SparkSession, paths: dict[str, str], database: str = "default") -> list[str]:
+    """The written layers as catalog tables, with the description and the layer
+    (property ``quality``) of ``DATASETS``; returns their names."""
+    names = []
+    for name, (layer, description) in DATASETS.items():
+        if name in paths:
+            publish_table(spark, paths[name], f"{database}.{name}", description, {"quality": layer})
+            names.append(f"{database}.{name}")
+    return names
+
+
 def run_from_csv(spark: SparkSession, transactions_csv: str, logins_csv: str, root: str, now=None,
                  infer_schema: bool = False, **kwargs) -> dict[str, str]:
-    """Bronze CSV landing files -> every layer under ``root`` (see ``run_batch``)."""
+    """Bronze CSV landing files -> every layer under ``root`` (see ``run_batch``).
+    Lines that do not fit the schema are kept with their text under
+    ``bronze_<name>/malformed=true`` and leave the run there (with
+    ``infer_schema`` the types follow the files, and nothing is set aside)."""
     from riskweave.sources import readers
-    tx = readers.read_transactions(spark, transactions_csv, now=now, infer=infer_schema)
-    lg = readers.read_login_logs(spark, logins_csv, now=now, infer=infer_schema)
-    return run_batch(spark, tx, lg, root, now=now, **kwargs)
+    if infer_schema:
+        return run_batch(spark, readers.read_transactions(spark, transactions_csv, now=now, infer=True),
+                         readers.read_login_logs(spark, logins_csv, now=now, infer=True), root, now=now, **kwargs)
+    loads = {"bronze_transactions": (transactions_csv, schemas.TRANSACTIONS), "bronze_login_logs": (logins_csv, schemas.LOGIN_LOGS)}
+    at = {name: os.path.join(root, name) for name in loads}
+    tx, lg = _together(*[lambda n=n, c=c, sch=sch: readers.load_bronze(spark, c, sch, at[n], now=now) for n, (c, sch) in loads.items()])
+    return at | run_batch(spark, tx.good, lg.good, root, now=now, **kwargs)

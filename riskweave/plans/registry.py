@@ -160,6 +160,8 @@ _q("bi_impossible_travel", lambda i: bi.bi_impossible_travel(i.risk))
 from riskweave.operators import quality, triage as tr  # noqa: E402
 
 
+#: CSV keeps whole microseconds only when told to.
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 #: A clock before the first row, so that the pages have more rows than they
 #: return, and a cursor inside the queue.
 _EARLY = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -316,3 +318,87 @@ _q("credential_stuffing", lambda i: patterns.credential_stuffing(_networks(i), "
 _q("card_testing", lambda i: patterns.card_testing(i.silver_tx, below=2000, count=2, window="1 hour"))
 _q("pattern_hits", _pattern_hits)
 _q("pattern_report", lambda i: catalogue.pattern_report(_pattern_hits(i)))
+
+
+# --- Readers and write paths ------------------------------------------------------
+import uuid  # noqa: E402
+
+from riskweave.plans import medallion  # noqa: E402
+from riskweave.session import shared_path  # noqa: E402
+from riskweave.sources import partitions, readers, rejects, schemas, writers  # noqa: E402
+
+
+def _folder(i: Inputs, name: str) -> str:
+    """A new folder under the shared root for what a query lands or writes."""
+    return shared_path(i.spark, "queries", f"{name}-{uuid.uuid4().hex}")
+
+
+def _landed(i: Inputs, df: DataFrame, name: str) -> str:
+    path = _folder(i, name)
+    df.drop("ingestion_timestamp").write.option("header", "true").option("timestampFormat", _MICROS).csv(path)
+    return path
+
+
+def _csv(i: Inputs, df: DataFrame, schema, name: str) -> DataFrame:
+    """Rows as CSV and back through the checked reader, broken lines set aside."""
+    return readers.load_bronze(i.spark, _landed(i, df, name), schema, _folder(i, f"{name}-bronze"), now=i.now).good
+
+
+def _landing_counts(i: Inputs) -> DataFrame:
+    count = lambda df, n: readers.landing_count(i.spark, _landed(i, df, n)).select(F.lit(n).alias("table_name"), "row_count")
+    return count(i.bronze_tx, "transactions").unionByName(count(i.bronze_logins, "login_logs"))
+
+
+def _loaded(i: Inputs) -> DataFrame:
+    """New files of a landing folder only: the folder is loaded again after each arrival."""
+    land, target, ckpt = (_folder(i, n) for n in ("land", "loaded", "load-checkpoint"))
+    for part in (0, 1):
+        i.bronze_tx.drop("ingestion_timestamp").where(F.pmod(F.hash("transaction_id"), F.lit(2)) == part) \
+            .write.mode("append").option("header", "true").option("timestampFormat", _MICROS).csv(land)
+        readers.load_incremental(i.spark, land, schemas.TRANSACTIONS, target, ckpt, now=i.now)
+    return i.spark.read.parquet(target)
+
+
+def _ctas(i: Inputs) -> DataFrame:
+    name = f"rw_ctas_{uuid.uuid4().hex[:8]}"
+    return writers.ctas(i.spark, i.silver_logins, name, comment=medallion.DATASETS["silver_login_logs"][1])
+
+
+def _stored_counts(i: Inputs) -> DataFrame:
+    paths = medallion.run_batch(i.spark, i.bronze_tx, i.bronze_logins, _folder(i, "layers"), now=i.now)
+    return writers.stored_counts(i.spark, {k: p for k, p in paths.items() if k != "triage"})
+
+
+def _bucket_queue(i: Inputs) -> str:
+    """First sync, decisions and second sync on the table of key buckets."""
+    root = _folder(i, "queue")
+    partitions.upsert(i.spark, _batch(i, "min"), root, now=i.now, buckets=4)
+    partitions.decide(i.spark, i.decisions, root, now=i.now)
+    partitions.upsert(i.spark, _batch(i, "object"), root, now=i.now)
+    return root
+
+
+def _lookup(i: Inputs) -> DataFrame:
+    root = _bucket_queue(i)
+    last = partitions.queue(i.spark, root).agg(F.max("transaction_id")).first()[0]
+    return partitions.lookup(i.spark, root, last) if last else partitions.queue(i.spark, root)
+
+
+def _rejects(i: Inputs) -> DataFrame:
+    """Rows of a sync whose unlabelled levels and negative scores break constraints."""
+    batch = _batch(i, "object").withColumns({
+        "risk_level": F.when(F.col("amount") % 2 == 0, F.col("risk_level")), "risk_score": F.col("risk_score") - 45})
+    checked = rejects.check(batch, _folder(i, "checked"), "one")
+    return checked.rejected.select("transaction_id", "risk_score", F.array_join("violations", ",").alias("violations"))
+
+
+_q("csv_transactions", lambda i: _csv(i, i.bronze_tx, schemas.TRANSACTIONS, "transactions"))
+_q("csv_login_logs", lambda i: _csv(i, i.bronze_logins, schemas.LOGIN_LOGS, "login-logs"))
+_q("landing_counts", _landing_counts)
+_q("incremental_load", _loaded)
+_q("ctas_login_logs", _ctas)
+_q("stored_table_counts", _stored_counts)
+_q("queue_buckets", lambda i: partitions.queue(i.spark, _bucket_queue(i)))
+_q("transaction_lookup", _lookup)
+_q("queue_rejects", _rejects)
+_q("flagged_batch", lambda i: tr.to_triage(_risk_dedup(i), created_at=F.col("tx_timestamp"), limit=100))

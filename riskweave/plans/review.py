@@ -1,7 +1,7 @@
 """Review-queue jobs over a materialised gold table.
 
-``sync_queue``      flagged gold pairs -> deduplicated queue rows -> upsert
-                    into the queue snapshot (new committed version).
+``sync_queue``      flagged gold pairs -> deduplicated queue rows -> constraint
+                    check -> upsert into the queue snapshot (new version).
 ``apply_decision_batch``  a table of analyst decisions -> first-wins update
                     (new version) and the per-decision outcome table.
 ``explain_queue``   rows still without an explanation -> long-form texts ->
@@ -14,10 +14,15 @@ job that another writer overtakes builds again on that writer's version.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import gold, narrative, triage as tr
+from riskweave.session import shared_path
+from riskweave.sources import partitions
+from riskweave.sources.rejects import check, reject_root
 from riskweave.sources.writers import read_bucketed, snapshot_expire, snapshot_update, swap_bucketed
 
 
@@ -33,26 +38,45 @@ def _retain(spark: SparkSession, root: str, keep: int | None) -> None:
         snapshot_expire(spark, root, keep)
 
 
+def queue_batch(risk: DataFrame, factors: str = "object", limit: int | None = None) -> DataFrame:
+    """Flagged gold pairs as one queue row per transaction."""
+    return tr.to_triage(gold.dedupe_per_transaction(risk), factors=factors, created_at=F.col("tx_timestamp"), limit=limit)
+
+
 def sync_queue(spark: SparkSession, risk: DataFrame, root: str, now=None, factors: str = "object",
-               buckets: int | None = None, keep: int | None = None) -> str:
-    batch = tr.to_triage(gold.dedupe_per_transaction(risk), factors=factors, created_at=F.col("tx_timestamp"))
-    path = snapshot_update(spark, root, lambda current, _: tr.upsert(current, batch, now=now),
+               buckets: int | None = None, keep: int | None = None, rejects: str | None = None) -> str:
+    """Rows that break a queue constraint go to ``rejects`` (default: beside
+    the queue) with their reasons; the others are upserted."""
+    checked = check(queue_batch(risk, factors), rejects or reject_root(root), uuid.uuid4().hex)
+    path = snapshot_update(spark, root, lambda current, _: tr.upsert(current, checked.accepted, now=now),
                            buckets=buckets, key="transaction_id" if buckets else None)
+    checked.publish_done()
     _retain(spark, root, keep)
     return path
 
 
 def sync_queue_table(spark: SparkSession, risk: DataFrame, table: str, now=None, buckets: int = 64,
-                     location: str | None = None, factors: str = "object") -> DataFrame:
+                     location: str | None = None, factors: str = "object", rejects: str | None = None) -> DataFrame:
     """``sync_queue`` against a catalog table bucketed by ``transaction_id``:
     the upsert join reads the (large, growing) queue without an exchange and
     shuffles only the incoming batch into the table's buckets."""
-    batch = tr.to_triage(gold.dedupe_per_transaction(risk), factors=factors, created_at=F.col("tx_timestamp"))
-    merged = tr.upsert(read_bucketed(spark, table), batch, now=now)
+    checked = check(queue_batch(risk, factors), rejects or shared_path(spark, "rejects", table), uuid.uuid4().hex)
+    merged = tr.upsert(read_bucketed(spark, table), checked.accepted, now=now)
     swap_bucketed(merged, table, "transaction_id", buckets, location)
+    checked.publish_done()
     return spark.table(table)
 
 
+def sync_queue_buckets(spark: SparkSession, risk: DataFrame, root: str, now=None, buckets: int = partitions.BUCKETS,
+                       factors: str = "object", rejects: str | None = None) -> int:
+    """``sync_queue`` into a table of key buckets (``sources.partitions``), of
+    which only the buckets of the batch's transactions are rewritten."""
+    checked = check(queue_batch(risk, factors), rejects or reject_root(root), uuid.uuid4().hex)
+    touched = partitions.upsert(spark, checked.accepted, root, now=now, buckets=buckets)
+    checked.publish_done()
+    return touched
+
+
 def apply_decision_batch(spark: SparkSession, decisions: DataFrame, root: str, now=None,
                          outcome_path: str | None = None, keep: int | None = None) -> tuple[str, DataFrame]:
     """First-wins update as the next version.  With ``outcome_path`` the

@@ -153,7 +153,7 @@ def snapshot_next_version(spark: SparkSession, root: str) -> int:
 
 def _marker(spark: SparkSession, root: str, version: int) -> tuple[str, str] | None:
     """(folder, tag) of a committed version."""
-    text = _get_text(spark, _tag_path(root, version))
+    text = get_text(spark, _tag_path(root, version))
     if not text:
         return None
     folder, _, tag = text.partition("\n")
@@ -192,7 +192,7 @@ def _publish(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def _put_text(spark: SparkSession, path: str, text: str) -> None:
+def put_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p, _ = _fs_and_path(spark, path)
     out = fs.create(p, True)
     try:
@@ -201,7 +201,7 @@ def _put_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def _get_text(spark: SparkSession, path: str) -> str | None:
+def get_text(spark: SparkSession, path: str) -> str | None:
     fs, p, jvm = _fs_and_path(spark, path)
     if not fs.exists(p):
         return None
@@ -212,6 +212,11 @@ def _get_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs_and_path(spark, path)
+    fs.delete(p, True)
+
+
 def _tag_path(root: str, version: int) -> str:
     return os.path.join(root, "_tags", f"{_VERSION_PREFIX}{version:012d}")
 
@@ -288,7 +293,7 @@ _DONE = "done"
 
 def batch_done(spark: SparkSession, root: str, writer: str, batch_id: int) -> bool:
     """Whether the batch's version was committed and has since expired."""
-    return _get_text(spark, os.path.join(root, "_batches", writer, f"batch={batch_id}")) == _DONE
+    return get_text(spark, os.path.join(root, "_batches", writer, f"batch={batch_id}")) == _DONE
 
 
 def batch_base_version(spark: SparkSession, root: str, writer: str, batch_id: int,
@@ -297,11 +302,11 @@ def batch_base_version(spark: SparkSession, root: str, writer: str, batch_id: in
     use so that a replay of the batch reads the same version (``rebase``:
     record the current version instead)."""
     rec = os.path.join(root, "_batches", writer, f"batch={batch_id}")
-    got = None if rebase else _get_text(spark, rec)
+    got = None if rebase else get_text(spark, rec)
     if got is not None:
         return int(got)
     base = snapshot_current_version(spark, root)
-    _put_text(spark, rec, str(base))
+    put_text(spark, rec, str(base))
     return base
 
 
@@ -325,12 +330,12 @@ def snapshot_expire(spark: SparkSession, root: str, keep: int = 10) -> list[int]
         for writer in fs.listStatus(ledger):
             for rec in fs.listStatus(writer.getPath()):
                 where = rec.getPath()
-                base = _get_text(spark, where.toString())
+                base = get_text(spark, where.toString())
                 if base == _DONE or int(base) >= oldest:
                     continue
                 tag = f"{writer.getPath().getName()}:{where.getName().removeprefix('batch=')}"
                 if tag in tags:
-                    _put_text(spark, where.toString(), _DONE)
+                    put_text(spark, where.toString(), _DONE)
                 else:  # never committed: a replay starts from the current version
                     fs.delete(where, False)
     removed = set()

@@ -26,7 +26,9 @@ from pyspark.sql import types as T
 from riskweave import config as C
 from riskweave.operators import gold, triage as tr
 from riskweave.operators.intervals import bucket_width, interval_micros, time_bucket, window_buckets
-from riskweave.sources import schemas
+from riskweave.session import shared_path
+from riskweave.sources import partitions, schemas
+from riskweave.sources.rejects import Checked, check, reject_root
 from riskweave.sources.writers import (PUBLISH_TRIES, RETRY_SECONDS, VersionTaken, batch_base_version, batch_done,
                                        read_bucketed, snapshot_current_version, snapshot_expire, snapshot_next_version,
                                        snapshot_published, snapshot_read_version, snapshot_write, swap_bucketed)
@@ -195,20 +197,29 @@ class TriageSink:
     writer = "upsert"
 
     def __init__(self, root: str, now=None, factors: str = "object", keep_versions: int | None = None,
-                 writer: str | None = None):
+                 writer: str | None = None, rejects: str | None = None):
         self.root, self.now, self.factors, self.keep = root, now, factors, keep_versions
         self.writer = writer or self.writer
+        self.rejects = rejects or reject_root(root)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        src = tr.to_triage(gold.dedupe_per_transaction(batch), factors=self.factors,
-                           created_at=F.col("tx_timestamp"))
+        if _replay_base(spark, self.root, self.writer, batch_id) is None:
+            return
+        checked = _checked(batch, self.factors, self.rejects, self.writer, batch_id)
         fresh = _write_batch(spark, self.root, self.writer, batch_id,
-                             lambda queue: tr.upsert(queue, src, now=self.now, only_if_higher=True))
+                             lambda queue: tr.upsert(queue, checked.accepted, now=self.now, only_if_higher=True))
+        checked.publish_done()
         if fresh and self.keep:
             snapshot_expire(spark, self.root, self.keep)
 
 
+def _checked(batch: DataFrame, factors: str, rejects: str, writer: str, batch_id: int) -> Checked:
+    """A micro-batch as queue rows, those that break a constraint set aside."""
+    rows = tr.to_triage(gold.dedupe_per_transaction(batch), factors=factors, created_at=F.col("tx_timestamp"))
+    return check(rows, rejects, f"{writer}-{batch_id}")
+
+
 class TriageTableSink:
     """``foreachBatch`` sink into a catalog queue table bucketed and sorted by
     ``transaction_id`` (the streaming form of ``plans.review.sync_queue_table``).
@@ -220,17 +231,40 @@ class TriageTableSink:
     and a present one is never inserted again, so applying a batch twice
     leaves the table as applying it once."""
 
+    writer = "upsert"
+
     def __init__(self, table: str, now=None, factors: str = "object", buckets: int = 64,
-                 location: str | None = None):
+                 location: str | None = None, writer: str | None = None, rejects: str | None = None):
         self.table, self.now, self.factors = table, now, factors
-        self.buckets, self.location = buckets, location
+        self.buckets, self.location, self.rejects = buckets, location, rejects
+        self.writer = writer or self.writer
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        src = tr.to_triage(gold.dedupe_per_transaction(batch), factors=self.factors,
-                           created_at=F.col("tx_timestamp"))
-        merged = tr.upsert(read_bucketed(spark, self.table), src, now=self.now, only_if_higher=True)
+        checked = _checked(batch, self.factors, self.rejects or shared_path(spark, "rejects", self.table), self.writer, batch_id)
+        merged = tr.upsert(read_bucketed(spark, self.table), checked.accepted, now=self.now, only_if_higher=True)
         swap_bucketed(merged, self.table, "transaction_id", self.buckets, self.location)
+        checked.publish_done()
+
+
+class TriageBucketSink:
+    """``foreachBatch`` sink into a queue of key buckets (``sources.partitions``):
+    a micro-batch rewrites the buckets of its transactions and no others, so the
+    bytes written follow the batch.  Replay-safe by idempotence, as the table
+    sink is."""
+
+    writer = "upsert"
+
+    def __init__(self, root: str, now=None, factors: str = "object", buckets: int = partitions.BUCKETS,
+                 writer: str | None = None, rejects: str | None = None):
+        self.root, self.now, self.factors, self.buckets = root, now, factors, buckets
+        self.writer = writer or self.writer
+        self.rejects = rejects or reject_root(root)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        checked = _checked(batch, self.factors, self.rejects, self.writer, batch_id)
+        partitions.upsert(batch.sparkSession, checked.accepted, self.root, now=self.now, only_if_higher=True, buckets=self.buckets)
+        checked.publish_done()
 
 
 class DecisionSink:
@@ -277,7 +311,6 @@ def stream_writer_name(kind: str, checkpoint: str) -> str:
 
 def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
     """An explicit location, else one under the session's shared checkpoint root."""
-    from riskweave.session import shared_path
     return checkpoint or shared_path(spark, "streams", name)
 
 
@@ -298,7 +331,19 @@ def start_triage_table_upsert(risk_stream: DataFrame, table: str, location: str
     """Continuously upsert flagged pairs of a gold stream into a bucketed
     queue table (``location``: external data on shared storage)."""
     ckpt = _checkpoint(risk_stream.sparkSession, checkpoint, f"triage_table_{table}")
-    sink = TriageTableSink(table, now, buckets=buckets, location=location)
+    sink = TriageTableSink(table, now, buckets=buckets, location=location, writer=stream_writer_name("upsert", ckpt))
+    w = risk_stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def start_triage_bucket_upsert(risk_stream: DataFrame, root: str, buckets: int = partitions.BUCKETS,
+                               checkpoint: str | None = None, now=None, trigger=None):
+    """Continuously upsert flagged pairs of a gold stream into a queue of key
+    buckets, rewriting only the touched ones."""
+    ckpt = _checkpoint(risk_stream.sparkSession, checkpoint, "triage_buckets")
+    sink = TriageBucketSink(root, now, buckets=buckets, writer=stream_writer_name("upsert", ckpt))
     w = risk_stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
     if trigger:
         w = w.trigger(**trigger)
