@@ -3,16 +3,16 @@ partial aggregation shrinks each map task's output to a handful of rows)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def fraud_kpis(risk: DataFrame) -> DataFrame:
+def kpi_table(risk: DataFrame, hour: Column) -> DataFrame:
+    """KPIs per (``hour``, level, action), batch or streaming: ``hour`` is a
+    truncated timestamp or the start of an event-time window."""
     flagged = F.col("is_flagged") == F.lit(True)
     fp = (F.col("automated_action") == "BLOCK") & (F.col("is_flagged") == F.lit(False))
-    out = risk.groupBy(
-        F.date_trunc("hour", "tx_timestamp").alias("hour"), "risk_level", "automated_action",
-    ).agg(
+    out = risk.groupBy(hour.alias("hour"), "risk_level", "automated_action").agg(
         F.count("*").alias("transaction_count"),
         F.sum("amount").alias("total_amount"),
         F.avg("risk_score").alias("avg_risk_score"),
@@ -23,3 +23,7 @@ def fraud_kpis(risk: DataFrame) -> DataFrame:
         "false_positive_ratio",
         F.when(F.col("transaction_count") > 0,
                F.col("false_positive_count") / F.col("transaction_count")).otherwise(F.lit(0.0)))
+
+
+def fraud_kpis(risk: DataFrame) -> DataFrame:
+    return kpi_table(risk, F.date_trunc("hour", "tx_timestamp"))

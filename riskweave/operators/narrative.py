@@ -361,8 +361,11 @@ def explain_with(df: DataFrame, generator: Callable[[pd.DataFrame], pd.Series] |
 
     ``generator`` receives a pandas frame with ``key``, ``prompt_text`` and the
     score columns and returns one text per row.  A failing batch (or rows it
-    leaves empty) keeps the deterministic fallback text.  The network client,
-    if any, lives in the generator; nothing is collected to the driver.
+    leaves empty) keeps the deterministic fallback text, and ``fallback_reason``
+    says why (``no generator``, ``empty text`` or the error; null where the
+    generator's text was taken), so a generator that always fails shows in a
+    count.  The network client, if any, lives in the generator; nothing is
+    collected to the driver.
     """
     p = prompt_text(df)
     base = p.withColumn("explanation", _fallback_col(p))
@@ -372,14 +375,15 @@ def explain_with(df: DataFrame, generator: Callable[[pd.DataFrame], pd.Series] |
     def run(batches):
         for pdf in batches:
             out = pdf[cols].copy()
+            out["fallback_reason"] = "no generator"
             if generator is not None:
                 try:
                     gen = pd.Series(generator(pdf), index=pdf.index)
                     ok = gen.notna() & (gen.astype(str).str.len() > 0)
                     out.loc[ok, "explanation"] = gen[ok].astype(str)
-                except Exception:  # noqa: BLE001 - any failure keeps the fallback
-                    pass
+                    out["fallback_reason"] = ok.map({True: None, False: "empty text"})
+                except Exception as e:  # noqa: BLE001 - any failure keeps the fallback
+                    out["fallback_reason"] = f"{type(e).__name__}: {e}"[:200]
             yield out
 
-    schema = slim.schema
-    return slim.mapInPandas(run, schema=schema)
+    return slim.mapInPandas(run, schema=T.StructType([*slim.schema.fields, T.StructField("fallback_reason", T.StringType())]))

@@ -416,7 +416,10 @@ def explanation_preview(triage: DataFrame, n: int = 60) -> DataFrame:
 
 def apply_explanations(triage: DataFrame, expl: DataFrame) -> DataFrame:
     """Set ``explanation`` and ``triggered_factors`` by id (rows without a new
-    text keep theirs)."""
+    text keep theirs).  Of several texts for one id the first in text order is
+    taken, so a queue row is never multiplied."""
+    texts = F.struct("explanation", "triggered_factors")
+    expl = expl.groupBy("transaction_id").agg(F.min(texts).alias("e")).select("transaction_id", "e.*")
     e = expl.select(F.col("transaction_id").alias("e__id"), F.col("explanation").alias("e__text"),
                     F.col("triggered_factors").alias("e__factors"))
     j = triage.join(e, F.col("transaction_id") == F.col("e__id"), "left")

@@ -248,7 +248,7 @@ def _records(i: Inputs) -> DataFrame:
 
 
 def _nine(i: Inputs) -> DataFrame:
-    s = scorer.score_frame(scorer.scorer_records(i.silver_tx, i.silver_logins))
+    s = scorer.score_pairs(i.silver_tx, i.silver_logins)
     return s.select("transaction_id", "login_id", "raw_score", "risk_score", "risk_level",
                     "automated_action", F.size("factor_names").alias("n_factors"))
 

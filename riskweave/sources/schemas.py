@@ -97,21 +97,3 @@ TRIAGE = T.StructType([
 ])
 
 TRIAGE_COLUMNS = [f.name for f in TRIAGE.fields]
-
-# Session table (one row per login).
-SESSION = T.StructType([
-    T.StructField("session_id", T.StringType(), False),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("login_timestamp", T.TimestampType()),
-    T.StructField("ip_address_hash", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("latitude", T.DecimalType(8, 4)),
-    T.StructField("longitude", T.DecimalType(8, 4)),
-    T.StructField("device_type", T.StringType()),
-    T.StructField("typing_speed_ms", T.DecimalType(6, 1)),
-    T.StructField("mfa_change_flag", T.BooleanType()),
-    T.StructField("is_bot_typing", T.BooleanType()),
-    T.StructField("risk_score", T.IntegerType()),
-    T.StructField("created_at", T.TimestampType()),
-])

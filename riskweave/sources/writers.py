@@ -45,12 +45,6 @@ def ctas(spark: SparkSession, df: DataFrame, name: str, comment: str | None = No
     return spark.table(name)
 
 
-def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
-    if "/" in name_or_path or name_or_path.startswith("file:"):
-        return spark.read.parquet(name_or_path)
-    return spark.table(name_or_path)
-
-
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One (table_name, row_count) row per table, as a union of global counts."""
     parts = [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave import config as C
-from riskweave.operators import gold, triage as tr
+from riskweave.operators import gold, kpis, triage as tr
 from riskweave.operators.intervals import bucket_width, interval_micros, time_bucket, window_buckets
 from riskweave.session import shared_path
 from riskweave.sources import partitions, schemas
@@ -109,23 +109,8 @@ def stream_kpis(risk: DataFrame, delay: str | None = "2 hours") -> DataFrame:
     the watermark passes its end (append mode).  ``delay=None`` when the input
     already carries a watermark on ``tx_timestamp`` (e.g. straight behind
     ``stream_session_join``: the join's event time flows through)."""
-    flagged = F.col("is_flagged") == F.lit(True)
-    fp = (F.col("automated_action") == "BLOCK") & (F.col("is_flagged") == F.lit(False))
-    src = risk.withWatermark("tx_timestamp", delay) if delay else risk
-    agg = src.groupBy(
-        F.window("tx_timestamp", "1 hour").alias("w"), "risk_level", "automated_action"
-    ).agg(
-        F.count("*").alias("transaction_count"),
-        F.sum("amount").alias("total_amount"),
-        F.avg("risk_score").alias("avg_risk_score"),
-        F.sum(F.when(flagged, 1).otherwise(0)).cast("long").alias("true_fraud_count"),
-        F.sum(F.when(fp, 1).otherwise(0)).cast("long").alias("false_positive_count"),
-    )
-    return agg.select(F.col("w.start").alias("hour"), "risk_level", "automated_action", "transaction_count",
-                      "total_amount", "avg_risk_score", "true_fraud_count", "false_positive_count",
-                      F.when(F.col("transaction_count") > 0,
-                             F.col("false_positive_count") / F.col("transaction_count"))
-                      .otherwise(F.lit(0.0)).alias("false_positive_ratio"))
+    src = _watermarked(risk, "tx_timestamp", delay)
+    return kpis.kpi_table(src, F.window("tx_timestamp", "1 hour")).withColumn("hour", F.col("hour.start"))
 
 
 def dedupe_stream(df: DataFrame, key: str = "transaction_id", ts: str = "timestamp",

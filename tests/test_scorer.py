@@ -112,3 +112,8 @@ def test_explain_with_generator_and_fallback(spark):
         raise RuntimeError("endpoint down")
     fb = narrative.explain_with(df, boom).collect()
     assert all("NOTE: LLM-generated explanation unavailable" in r.explanation for r in fb)
+    assert {r.fallback_reason for r in fb} == {"RuntimeError: endpoint down"}
+    some = {r.transaction_id: r.fallback_reason for r in
+            narrative.explain_with(df, lambda pdf: pdf["transaction_id"].where(pdf["transaction_id"] == "TXN-2")).collect()}
+    assert some == {"TXN-TEST001": "empty text", "TXN-2": None}
+    assert {r.fallback_reason for r in narrative.explain_with(df).collect()} == {"no generator"}

@@ -166,3 +166,12 @@ def test_parse_factors_forms(spark):
     rows = [('["a", "b"]',), ('{"geo_mismatch": true, "bot_detected": false}',), ("{}",), ("[]",), (None,), ("not json",)]
     got = [r[0] for r in spark.createDataFrame(rows, "f string").select(tr.parse_factors("f")).collect()]
     assert got == [["a", "b"], ["geo_mismatch"], [], [], [], []]
+
+
+def test_repeated_texts_do_not_multiply_queue_rows(spark):
+    from riskweave.operators import triage as tr
+    queue = tr.with_triage_defaults(spark.createDataFrame([("a", 1), ("b", 2)], "transaction_id string, risk_score int"))
+    texts = spark.createDataFrame([("a", "y", "[]"), ("a", "x", "{}"), ("c", "z", "[]")],
+                                  "transaction_id string, explanation string, triggered_factors string")
+    got = sorted((r.transaction_id, r.explanation, r.triggered_factors) for r in tr.apply_explanations(queue, texts).collect())
+    assert got == [("a", "x", "{}"), ("b", None, "[]")]
