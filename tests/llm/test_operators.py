@@ -489,6 +489,16 @@ def test_segments_agree_enough_as_a_whole():
             assert all(x[1] <= y[0] for x, y in zip(got, got[1:]))
 
 
+def test_cover_keeps_the_words_and_the_longest():
+    rng = random.Random(31)
+    for _ in range(400):
+        found = [(s, s + rng.randint(1, 30), rng.randint(0, 50), 1) for s in (rng.randint(0, 120) for _ in range(rng.randint(0, 12)))]
+        got = substring.cover(found)
+        words = lambda x: {w for s, e, _, _ in x for w in range(s, e)}
+        assert words(got) == words(found) and set(got) <= set(found) and len(got) == len(set(got))
+        assert not found or max(e - s for s, e, _, _ in got) == max(e - s for s, e, _, _ in found)
+
+
 # --- 10 benchmark ---------------------------------------------------------------------------
 
 def levenshtein_inside(item, text):
