@@ -1,12 +1,18 @@
 """Main text of web pages by minimum-cut labelling.
 
-A page is scanned into text blocks (runs of text between block-level tags) with
-their chain of open elements.  A linear classifier on a block's elements, class
-names, link share and length gives the cost of calling it content or
-boilerplate; these costs are the capacities from the two terminals.  Smoothness
-edges join neighbours in page order and blocks of one parent element, stronger
-the closer their elements are in the tree.  The minimum cut is the labelling
-with the least total cost; the source side is the main text.
+A page is scanned into text blocks (runs of text between block-level tags) and
+the tree of their elements.  A linear classifier on a block's elements, names,
+link share and length gives the cost of calling it content or boilerplate; these
+costs are the capacities from the two terminals.  Smoothness edges join
+neighbours in page order and blocks of one parent element, stronger the closer
+their elements are in the tree.  The minimum cut is the labelling with the least
+total cost; the source side is the main text.
+
+Names speak for the part of a page that they mark, not for the whole page: those of
+elements around the principal article, or around most of the plain text, are left
+out (``<div class="site has-sidebar">``).  Of the other elements around a block the
+strongest one counts once, however many there are.  Scan and classifier take time
+in proportion to the page, whatever the depth of its tree.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ import html
 import math
 import re
 from collections import deque
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,79 +34,152 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
                     "samp small span strike strong sub sup time tt u var wbr".split())
 _BOILER = frozenset("nav header footer aside form menu dialog fieldset".split())
+_BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 _MAIN = frozenset(("article", "main"))
 _CLOSED_BY = {"p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main menu "
                              "nav ol p pre section table ul".split()),
               "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")),
               "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "tr": frozenset(("tr",))}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_NAMES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-_BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|notices?|alert|popup|modal|"
-    r"overlay|nav(?:bar|igation)?|menu|breadcrumbs?|side(?:bar|nav)?|rail|widget|footer|header|masthead|toolbar|comments?|"
-    r"replies|disqus|discussion|respond|share|sharing|social|follow|related|recommended|more|newsletter|subscribe|signup|login|"
-    r"search|pagination|pager|tags?|copyright|legal|outbrain|taboola|skip)(?:$|[\s_-])", re.I)
-_GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|story|entry|body|text)(?:$|[\s_-])", re.I)
-
+_SCOPES = ("ul", "ol", "table", "dl")
+# A quote opens a value only after an equals sign: an odd one elsewhere is part of a name.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>=]+|=)*+)(>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s]+))?")
+_INVISIBLE = re.compile(r"display\s*:\s*none", re.I)
+_BAD_WORDS = frozenset(
+    "ad ads advert adverts advertisement banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
+    "popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar sidenav rail widget footer header masthead "
+    "toolbar comment comments replies disqus share sharing social related recommended newsletter subscribe signup login "
+    "pagination pager copyright outbrain taboola".split())
+#: Words that also name an article's own parts or states: decisive only alone.
+_WEAK_WORDS = frozenset("alert side discussion respond follow more search tag tags legal skip".split())
+_GOOD_WORDS = frozenset("article main content post story entry hentry body text".split())
+#: Tokens that tell a state or a topic of an element, not what it is.
+_STATE = re.compile(r"^(?:has|no|with|without)[-_]|[-_](?:open|closed|on|off|enabled|disabled|active|expanded|collapsed)$")
+_TOPIC = re.compile(r"^(?:tag|category)[-_]")
+_SPLIT = re.compile(r"[-_]+")
+
+STRONG, WEAK = -6.0, -2.5  # evidence against content
 NEIGHBOUR = 0.6   # smoothness between blocks next to each other
 SAME_PARENT = 1.2  # added when they are alike elements of one parent
 _BLANK = re.compile(r"\s+")
 
 
+@dataclass
+class Element:
+    tag: str
+    parent: int                # position among the page's elements, -1 for none
+    depth: int                 # elements around it and itself, inline ones left out
+    block: int                 # nearest element that is not inline, itself included
+    role: float                # evidence of its tag and visibility, at most 0
+    name: float                # evidence of its names, at most 0
+    good: bool                 # a name says content
+    mixed: bool                # a name says nothing against content
+    main: bool                 # article or main
+    plain: int = 0             # characters inside, without links and parts that its role rules out
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[int, ...]      # open elements, outermost first (inline ones left out)
-    tag: str                   # innermost of them
+    element: int               # innermost element
+    tag: str                   # innermost one that is not inline
+    parent: int                # the one around that
     linked: int                # characters inside links
-    log_odds: float            # classifier's evidence for content from the path
+    apart: int                 # steps in the tree from the block before
 
 
 @dataclass
-class _Open:
-    tag: str
-    number: int
-    evidence: float
-    main: bool
-
-
-def _evidence(tag: str, attributes: str, in_main: bool) -> float:
-    """Evidence that an element holds content, from its tag and names."""
-    out = 0.0
+class Page:
+    blocks: list[Block] = field(default_factory=list)
+    elements: list[Element] = field(default_factory=list)
+
+
+def name_evidence(names: str) -> tuple[float, bool, bool]:
+    """(evidence against content, some name says content, some name says nothing
+    against it) of an element's class names and id.
+
+    A word of :data:`_BAD_WORDS` beside names that say content is weak evidence;
+    one of :data:`_WEAK_WORDS` counts in full only where no other name stands."""
+    strong = weak = good = other = False
+    tokens = names.lower().split()
+    for token in tokens:
+        words = _SPLIT.split(token)
+        if _STATE.search(token) or (len(tokens) > 1 and _TOPIC.search(token)):
+            other = True
+        elif not _BAD_WORDS.isdisjoint(words):
+            strong = True
+        elif not _WEAK_WORDS.isdisjoint(words):
+            weak = True
+        elif not _GOOD_WORDS.isdisjoint(words):
+            good = True
+        else:
+            other = True
+    mixed = good or other
+    if strong:
+        return (WEAK if good else STRONG), good, mixed
+    if weak:
+        return (0.0 if good else WEAK if other else STRONG), good, mixed
+    return 0.0, good, True
+
+
+def _element(tag: str, attributes: str, parent: int, depth: int, block: int, in_main: bool) -> Element:
+    role, main, names = 0.0, tag in _MAIN, ""
     if tag in _BOILER:
-        out -= 1.0 if tag == "header" and in_main else 6.0
-    elif tag in _MAIN:
-        out += 3.0
-    elif tag in ("h1", "p", "pre", "blockquote"):
-        out += 0.5
+        role = -1.0 if tag == "header" and in_main else STRONG
     if attributes:
-        names = " ".join(n.strip("\"'") for n in _NAMES.findall(attributes))
-        if names and tag not in ("body", "html"):
-            if _BAD_NAME.search(names):
-                out -= 6.0
-            elif _GOOD_NAME.search(names):
-                out += 1.5
-        if _HIDDEN.search(attributes):
-            out -= 6.0
-    return out
+        for key, value in _ATTRIBUTE.findall(attributes):
+            key, value = key.lower(), value.strip("\"'")
+            if key in ("class", "id"):
+                names += " " + value
+            elif key == "role":
+                said = set(value.lower().split())
+                main = main or "main" in said
+                role = min(role, STRONG) if said & _BOILER_ROLES else role
+            elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and _INVISIBLE.search(value)):
+                role = min(role, STRONG)
+    if tag in _SKIP or tag == "head":
+        role = -20.0
+    name, good, mixed = (0.0, False, True) if tag in ("body", "html") else name_evidence(names)
+    return Element(tag, parent, depth, block, role, name, good, mixed, main)
+
+
+def scanned(page: str) -> Page:
+    """Text blocks of a page in order and its elements; scripts and the like are
+    gone and character references decoded.  Broken markup is read as far as it goes."""
+    out = Page()
+    elements = out.elements
+    stack: list[int] = []
+    opened: dict[str, list[int]] = {}  # positions in the stack by tag
+    parts: list[str] = []
+    linked = at = mains = 0
+    before = low = 0  # depth of the block before, and the lowest since
 
+    def depth() -> int:
+        return elements[stack[-1]].depth if stack else 0
 
-def blocks(page: str) -> list[Block]:
-    """Text blocks of a page in order; markup, scripts and the like are gone and
-    character references decoded.  Broken markup is read as far as it goes."""
-    out: list[Block] = []
-    stack: list[_Open] = []
-    parts: list[str] = []
-    linked = counter = at = 0
+    def innermost(tag: str) -> int:
+        own = opened.get(tag)
+        return own[-1] if own else -1
+
+    def close(position: int) -> None:
+        nonlocal low, mains
+        while len(stack) > position:
+            e = elements[stack.pop()]
+            opened[e.tag].pop()
+            mains -= e.main
+        low = min(low, depth())
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, before, low
         text = _BLANK.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            outer = [o for o in stack if o.tag not in _INLINE]
-            out.append(Block(text, tuple(o.number for o in outer), outer[-1].tag if outer else "", min(linked, len(text)),
-                             sum(o.evidence for o in stack)))
+            element = stack[-1] if stack else -1
+            inner = elements[element].block if stack else -1
+            parent = elements[inner].parent if inner >= 0 else -1
+            out.blocks.append(Block(text, element, elements[inner].tag if inner >= 0 else "",
+                                    elements[parent].block if parent >= 0 else -1, min(linked, len(text)),
+                                    before + depth() - 2 * low))
+            before = low = depth()
         parts.clear()
         linked = 0
 
@@ -108,14 +187,13 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         if text:
             parts.append(text)
-            if any(o.tag == "a" for o in stack):
+            if opened.get("a"):
                 linked += len(text)
 
     while at < len(page):
         found = _TOKEN.search(page, at)
         if not found:
-            tail = page[at:]
-            add(tail)
+            add(page[at:])
             break
         add(page[at:found.start()])
         at = found.end()
@@ -123,16 +201,17 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         if found.group(1):
-            depth = next((n for n in range(len(stack) - 1, -1, -1) if stack[n].tag == tag), None)
             if tag not in _INLINE:
                 flush()
-            if depth is not None and (tag not in _INLINE or all(o.tag in _INLINE for o in stack[depth:])):
-                del stack[depth:]
+            position = innermost(tag)
+            # an inline element ends only where no block has been opened inside it
+            if position >= 0 and (tag not in _INLINE or elements[stack[position]].depth == depth()):
+                close(position)
             continue
         if tag in _RAW:
             if not found.group(3).endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = close.end() if close else len(page)
+                end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                at = end.end() if end else len(page)
             continue
         if tag in _VOID:
             if tag == "br":
@@ -144,23 +223,83 @@ def blocks(page: str) -> list[Block]:
             flush()
             for closing, by in _CLOSED_BY.items():
                 if tag in by:  # an open paragraph, list item or cell ends here
-                    depth = next((n for n in range(len(stack) - 1, -1, -1) if stack[n].tag == closing), None)
-                    if depth is not None and (closing == "p" or not any(o.tag in ("ul", "ol", "table", "dl") for o in stack[depth + 1:])):
-                        del stack[depth:]
-        counter += 1
-        in_main = any(o.main for o in stack)
-        skipped = -20.0 if tag in _SKIP or tag == "head" else 0.0
-        stack.append(_Open(tag, counter, _evidence(tag, found.group(3), in_main) + skipped, in_main or tag in _MAIN))
-        if tag == "body":
-            stack[:] = [o for o in stack if o.tag != "head"]
+                    position = innermost(closing)
+                    if position >= 0 and (closing == "p" or all(innermost(t) < position for t in _SCOPES)):
+                        close(position)
+            if tag == "body" and innermost("head") >= 0:
+                close(innermost("head"))
+        parent, inline = (stack[-1] if stack else -1), tag in _INLINE
+        block = len(elements) if not inline else elements[parent].block if parent >= 0 else -1
+        made = _element(tag, found.group(3), parent, depth() + (not inline), block, mains > 0)
+        opened.setdefault(tag, []).append(len(stack))
+        stack.append(len(elements))
+        elements.append(made)
+        mains += made.main
     flush()
     return out
 
 
-def log_odds(block: Block) -> float:
+def principal(elements: list[Element]) -> int:
+    """The article or main with most plain text, or one inside it that holds half
+    of that; -1 if there is none.  One that its names speak against is none."""
+    own = [e.main and e.plain > 0 and (e.mixed or e.name > STRONG) for e in elements]
+    best = max((i for i, fits in enumerate(own) if fits), key=lambda i: (elements[i].plain, -i), default=-1)
+    inside = {best}
+    for i in range(best + 1, len(elements) if best >= 0 else 0):  # elements come after those around them
+        if elements[i].parent in inside:
+            inside.add(i)
+            if own[i] and 2 * elements[i].plain >= elements[best].plain:
+                best, inside = i, {i}
+    return best
+
+
+def path_evidence(page: Page) -> list[float]:
+    """Classifier's evidence for content from the elements around each block."""
+    elements = page.elements
+    ruled_out: list[bool] = []
+    for e in elements:
+        ruled_out.append(e.role <= STRONG and e.tag != "form" or e.parent >= 0 and ruled_out[e.parent])
+    total = 0
+    for b in page.blocks:
+        plain = len(b.text) - b.linked
+        if b.element < 0 or not ruled_out[b.element]:
+            total += plain
+            if b.element >= 0:
+                elements[b.element].plain += plain
+    for e in reversed(elements):
+        if e.parent >= 0:
+            elements[e.parent].plain += e.plain
+    around, i = set(), principal(elements)
+    while i >= 0:
+        around.add(i)
+        i = elements[i].parent
+    against: list[float] = []   # strongest evidence of the elements around, itself included
+    main: list[bool] = []
+    good: list[bool] = []
+    for i, e in enumerate(elements):
+        wrapper = i in around or (e.mixed and total > 0 and 2 * e.plain > total)
+        role = 0.0 if wrapper and e.tag == "form" else e.role
+        own = min(role, 0.0 if wrapper else e.name)
+        inherited = (against[e.parent], main[e.parent], good[e.parent]) if e.parent >= 0 else (0.0, False, False)
+        against.append(min(own, inherited[0]))
+        main.append(e.main or inherited[1])
+        good.append(e.good or inherited[2])
+    out = []
+    for b in page.blocks:
+        if b.element < 0:
+            out.append(0.0)
+        elif against[b.element] <= STRONG:  # an article's name does not speak for the menu inside it
+            out.append(against[b.element])
+        else:
+            out.append(against[b.element] + 3.0 * main[b.element] + 1.5 * good[b.element]
+                       + (0.5 if b.tag in ("h1", "p", "pre", "blockquote") else 0.0))
+    return out
+
+
+def log_odds(block: Block, evidence: float) -> float:
     """Classifier: evidence for content of one block."""
     words = block.text.count(" ") + 1
-    return block.log_odds + 0.5 * math.log(words) - 1.0 - 4.0 * block.linked / max(1, len(block.text))
+    return evidence + 0.5 * math.log(words) - 1.0 - 4.0 * block.linked / max(1, len(block.text))
 
 
 def minimum_cut(content: list[float], boilerplate: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -237,16 +376,11 @@ def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
     last: dict[tuple[int, str], int] = {}
     for i, b in enumerate(found):
         if i:
-            p, q = found[i - 1].path, b.path
-            shared = 0
-            while shared < min(len(p), len(q)) and p[shared] == q[shared]:
-                shared += 1
-            apart = len(p) + len(q) - 2 * shared
-            out.append((i - 1, i, NEIGHBOUR / (1 + apart) + (SAME_PARENT if apart <= 2 and found[i - 1].tag == b.tag else 0.0)))
-        parent = (b.path[-2] if len(b.path) > 1 else -1, b.tag)
-        if parent in last and last[parent] < i - 1:
-            out.append((last[parent], i, SAME_PARENT / 2))
-        last[parent] = i
+            out.append((i - 1, i, NEIGHBOUR / (1 + b.apart) + (SAME_PARENT if b.apart <= 2 and found[i - 1].tag == b.tag else 0.0)))
+        kind = (b.parent, b.tag)
+        if kind in last and last[kind] < i - 1:
+            out.append((last[kind], i, SAME_PARENT / 2))
+        last[kind] = i
     return out
 
 
@@ -256,12 +390,12 @@ def _softplus(x: float) -> float:
 
 def main_text(page: str | None) -> str:
     """Main text of one page: content blocks joined by a line feed."""
-    found = blocks(page or "")
-    if not found:
+    found = scanned(page or "")
+    if not found.blocks:
         return ""
-    odds = [log_odds(b) for b in found]
-    keep = minimum_cut([_softplus(-o) for o in odds], [_softplus(o) for o in odds], smoothness(found))
-    return "\n".join(b.text for b, k in zip(found, keep) if k)
+    odds = [log_odds(b, e) for b, e in zip(found.blocks, path_evidence(found))]
+    keep = minimum_cut([_softplus(-o) for o in odds], [_softplus(o) for o in odds], smoothness(found.blocks))
+    return "\n".join(b.text for b, k in zip(found.blocks, keep) if k)
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import uuid
 
 import numpy as np
@@ -296,6 +297,62 @@ def test_html_main_text():
     assert htmltext.main_text(page[:page.index("Last") + 8]).endswith("Last <")
 
 
+WRAPPERS = ("site has-sidebar", "post tag-legal", "page-wrapper nav-open", "story more", "article-body share-on",
+            "comments-closed hentry")
+
+
+@pytest.mark.parametrize("around", WRAPPERS)
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_html_names_of_wrappers_do_not_empty_the_page(around, tag):
+    parts = ["Title of it", "First paragraph with several words of text.", "Second paragraph with more words."]
+    body = (f"<nav><a href=x>home</a> <a href=y>news</a></nav><{tag}><h1>{parts[0]}</h1><p>{parts[1]}</p><p>{parts[2]}</p></{tag}>"
+            "<aside>Side words here.</aside><div class='comments'><p>I like this a lot, said a reader.</p></div><footer>me</footer>")
+    want = "\n".join(parts)
+    assert htmltext.main_text(f"<html><body><div class='{around}'>{body}</div></body></html>") == want
+    assert htmltext.main_text(f"<body class='{around}'><form id=aspnetForm>{body}</form></body>") == want
+    assert htmltext.main_text(f"<body><div class='{around}'><div><section class='{around}'>{body}</section></div></div></body>") == want
+
+
+def test_html_planted_pages_give_their_article():
+    rng = random.Random(5)
+    waste = ["<nav class='menu'><ul><li><a href=a>{0}</a><li><a href=b>{0}</a></ul></nav>", "<aside><p>{0}</p></aside>",
+             "<div class=\"cookie-notice\"><p>{0}</p></div>", "<form><label>{0}</label><input name=q></form>",
+             "<div class='ad'>{0}</div>", "<section id=comments><div class='comment'><p>{0}</p></div></section>",
+             "<div class='related-posts'><h3>{0}</h3><a href=c>{0}</a></div>", "<script>var a = '<p>{0}</p>';</script>",
+             "<!-- <p>{0}</p> -->", "<div role=navigation>{0}</div>", "<p hidden>{0}</p>", "<div style='display: none'>{0}</div>"]
+    for n in range(120):
+        def words(lo, hi):
+            return prose(rng, rng.randrange(lo, hi), STOCK)
+        parts = [words(8, 60) for _ in range(rng.randrange(2, 8))]
+        inner = "".join(f"<p title='it's'>{x}" + rng.choice(["</p>", ""]) for x in parts)
+        junk = [rng.choice(waste).format(words(3, 25)) for _ in range(6)]
+        page = (f"<!DOCTYPE html><head><title>{words(2, 5)}</title></head><body class='{rng.choice(WRAPPERS)}'>{junk[0]}"
+                f"<div class='{rng.choice(WRAPPERS)}'>{junk[1]}{junk[2]}<article>{inner}{junk[3]}</article>{junk[4]}</div>{junk[5]}"
+                f"<footer>&copy; {words(3, 9)}</footer></body>")
+        assert htmltext.main_text(page) == "\n".join(parts), page
+
+
+@pytest.mark.parametrize("name, evidence", [
+    ("ad", htmltext.STRONG), ("sidebar-left", htmltext.STRONG), ("legal", htmltext.STRONG), ("box legal", htmltext.WEAK),
+    ("post legal", 0.0), ("post-comments widget", htmltext.STRONG), ("post comments", htmltext.WEAK), ("post tag-legal", 0.0),
+    ("has-sidebar", 0.0), ("", 0.0), ("adrift", 0.0)])
+def test_html_evidence_of_names(name, evidence):
+    assert htmltext.name_evidence(name)[0] == evidence
+
+
+def test_html_odd_quotes_leak_no_markup():
+    assert htmltext.main_text("<article><p title='it's'>Words of the text go on.</p><p class=\"a\"b\">More of it here.</p></article>") == (
+        "Words of the text go on.\nMore of it here.")
+    assert htmltext.main_text("<article><p data-x=a\"b alt=''c'>Words of the text go on.</p></article>") == "Words of the text go on."
+
+
+@pytest.mark.parametrize("piece", ["<div>some more words of text ", "<div>word </span></li><a href=x>b", "<ul><li><p>word</i>"])
+def test_html_time_follows_the_page_at_any_depth(piece):
+    start = time.process_time()
+    htmltext.main_text(piece * 8000)
+    assert time.process_time() - start < 1.5
+
+
 def test_minimum_cut_equals_exhaustive_search():
     rng = random.Random(7)
     for _ in range(60):
