@@ -181,10 +181,53 @@ def test_mixture_meets_marginals(spark):
     cells = mixture.described(frame(spark, rows), "doc_id", "text", "source", "lang").groupBy(*mixture.DIMENSIONS).agg(
         F.sum("n_tokens").alias("tokens"))
     targets = {"source": {"a": 1.0, "b": 1.0}, "lang": {"en": 1.0, "fr": 0.6, mixture.NO_VALUE: 0.4}, "topic": {"prose": 2.0}}
-    got = mixture.rake(cells, sweeps=20, targets=targets).collect()
+    raked, error = mixture.rake(cells, targets=targets)
+    got = raked.collect()
+    assert error <= mixture.TOLERANCE
     for d, want in targets.items():
         for value, weight in want.items():
-            assert sum(r["weight"] for r in got if r[d] == value) == pytest.approx(weight, rel=1e-6)
+            assert sum(r["weight"] for r in got if r[d] == value) == pytest.approx(weight / 2, rel=1e-9)
+
+
+def _mixed(spark, rows, **options):
+    cells = mixture.described(frame(spark, rows), "doc_id", "text", "source", "lang")
+    return mixture.cell_probabilities(cells, **options)
+
+
+@pytest.mark.parametrize("budget", [0.02, 0.5, 0.97, 1.0])
+def test_mixture_meets_its_token_budget(spark, budget):
+    rows = [(i, prose(random.Random(i), 5 + i % 7, STOCK) + (" | x" if i % 5 == 0 else ""), ("en", "fr", None)[i * i % 3 % 2],
+             "abbbcccc"[i % 8], 0) for i in range(300)]
+    got = _mixed(spark, rows, budget=budget).collect()
+    total = sum(r["tokens"] for r in got)
+    assert sum(r["tokens"] * r["prob"] for r in got) == pytest.approx(budget * total, rel=1e-9)
+    below = [r["prob"] * r["tokens"] / r["weight"] for r in got if r["prob"] < 1]
+    assert not below or max(below) == pytest.approx(min(below))  # one factor for all cells that are not taken whole
+    assert all(r["prob"] == 1 for r in got) == (budget == 1.0)
+
+
+def test_mixture_yield_does_not_hang_on_a_rare_cell(spark):
+    rows = [(i, prose(random.Random(i), 40, STOCK), ("en", "fr", "es")[i * i % 3], "abcd"[i % 4], 0) for i in range(600)]
+    rare = rows + [(9999, "password = one two three", "zz", "rare", 0)]
+    plain, more = ([r.asDict() for r in _mixed(spark, x).collect()] for x in (rows, rare))
+    sizes = [sum(r["tokens"] * r["prob"] for r in x) for x in (plain, more)]
+    assert abs(sizes[1] / sizes[0] - 1) < 0.01
+    # each cell's documents are as likely as before, but for what the rare cell takes
+    before = {(r["source"], r["lang"], r["topic"]): r["prob"] for r in plain}
+    assert all(abs(r["prob"] / before[r["source"], r["lang"], r["topic"]] - 1) < 0.25 for r in more if r["source"] != "rare")
+
+
+def test_mixture_report_and_targets_that_cannot_be_met(spark):
+    rows = [(i, "one two three", "en" if i % 2 else "fr", "a" if i % 2 else "b", 0) for i in range(40)]
+    probs = _mixed(spark, rows, budget=0.25)
+    got = {(r["dimension"], r["value"]): r for r in mixture.report(probs).collect()}
+    assert got["source", "a"]["expected"] == pytest.approx(got["source", "a"]["target"]) == pytest.approx(0.5)
+    assert got["topic", "prose"]["expected_tokens"] == pytest.approx(0.25 * 120)
+    cells = mixture.described(frame(spark, rows), "doc_id", "text", "source", "lang").groupBy(*mixture.DIMENSIONS).agg(
+        F.sum("n_tokens").alias("tokens"))
+    # source a is always English: both cannot have these shares
+    _, error = mixture.rake(cells, targets={"source": {"a": 9.0, "b": 1.0}, "lang": {"en": 1.0, "fr": 9.0}}, max_sweeps=4)
+    assert error > 0.5
 
 
 def test_mixture_edges(spark):
