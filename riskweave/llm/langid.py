@@ -23,6 +23,7 @@ from riskweave.llm.common import hash_order, held_out, thinned
 
 SAMPLE_ROWS = 400          # training rows per language at most
 DICTIONARY_BYTES = 1 << 17  # dictionary size per language at most
+SLACK = 4                  # characters brought per byte of a text's share
 PIECE_BYTES = 2048
 MARGIN = 0.01
 UNDETERMINED = "und"
@@ -38,30 +39,44 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
           size: int = DICTIONARY_BYTES, seed: int = 8) -> dict[str, bytes]:
     """Dictionary content per language, from rows whose id is not held out.
 
-    ``rows`` bounds what is brought to the driver: that many texts per language,
-    each cut to its share of ``size`` bytes.  Ids are ranked without their texts.
+    ``rows`` and ``size`` bound what is brought to the driver: that many texts per
+    language, of each a piece of up to ``SLACK`` times its share of ``size`` bytes,
+    in characters, from a hash-chosen place of the whole text.  A language with
+    fewer texts takes longer pieces, and what short texts leave of the dictionary
+    goes to the longer ones.  Ids are ranked without their texts.
     """
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     known = known.where(~held_out("id", modulus, remainder)).where("lang is not null and text is not null")
     counts = known.groupBy("lang").count().collect()  # one row per language
-    few = F.lit(False)
+    few, width = F.lit(False), F.lit(0)
     for r in counts:
         few = few | ((F.col("lang") == r["lang"]) & thinned("id", seed, rows, r["count"]))
+        width = F.when(F.col("lang") == r["lang"], F.lit(SLACK * size // min(rows, r["count"]))).otherwise(width)
     ranked = (known.select("id", "lang").where(few).distinct()
               .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(hash_order("id", seed), "id")))
               .where(F.col("rank") <= rows))
-    share = 4 * size // rows
-    picked = (known.join(F.broadcast(ranked), ["id", "lang"])
-              .select("lang", "rank", "id", F.substring("text", 1, share).alias("text")).distinct())
+    places = F.greatest(F.length("text") - F.col("width") + 1, F.lit(1))
+    start = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("id")), places).cast("int") + 1
+    picked = (known.join(F.broadcast(ranked), ["id", "lang"]).withColumn("width", width)
+              .select("lang", "rank", "id", F.col("text").substr(start, F.col("width")).alias("text")).distinct())
     found: dict[str, list[tuple[int, str]]] = {}
     for r in picked.collect():
         found.setdefault(r["lang"], []).append((r["rank"], r["text"]))
     out = {}
     for lang, texts in sorted(found.items()):
-        unique = list(dict.fromkeys(t for _, t in sorted(texts) if _LETTER.search(t)))
+        unique = list(dict.fromkeys(t.lower() for _, t in sorted(texts) if _LETTER.search(t)))
         if unique:
-            # the dictionary's end is the cheapest to refer to and is kept
-            out[lang] = " ".join(unique).lower().encode()[-size:]
+            out[lang] = b" ".join(shared([t.encode() for t in unique], size))
+    return out
+
+
+def shared(texts: list[bytes], size: int) -> list[bytes]:
+    """Starts of ``texts`` of ``size`` bytes together, one blank between two counted:
+    all the same length but for texts that are shorter."""
+    out, left = list(texts), size - len(texts) + 1
+    for done, i in enumerate(sorted(range(len(texts)), key=lambda n: len(texts[n]))):
+        out[i] = texts[i][:max(0, left // (len(texts) - done))]
+        left -= len(out[i])
     return out
 
 

@@ -327,6 +327,33 @@ def test_language_by_dictionary(spark):
     assert langid.language_id(frame(spark, [])).count() == 0
 
 
+def test_language_dictionaries_fill_up_from_whole_texts(spark):
+    rng = random.Random(3)
+    early, late = STOCK[::2], STOCK[1::2]
+    # each text's first 60,000 characters have other words than the rest
+    rows = [(i, prose(rng, 15000, early) + " " + prose(rng, 40000, late), "long", "s", 0) for i in range(6)]
+    rows += [(100 + i, prose(rng, 12, STOCK), "short", "s", 0) for i in range(900)]
+    size = 1 << 15
+    got = langid.train(frame(spark, rows), size=size)
+    assert size - 4 <= len(got["long"]) <= size and len(got["short"]) <= size
+    words = set(got["long"].decode().split())
+    assert words & set(late)  # beginnings alone have none of them
+    # the few short texts are used whole
+    assert abs(len(got["short"]) - 400 * len(rows[50][1])) < 400 * 12
+
+
+def test_shares_of_a_dictionary():
+    rng = random.Random(1)
+    for _ in range(200):
+        texts = [b"x" * rng.randrange(0, 40) for _ in range(rng.randrange(1, 12))]
+        size = rng.randrange(12, 400)
+        got = langid.shared(texts, size)
+        assert len(b" ".join(got)) <= size
+        cut = [len(g) for g, t in zip(got, texts) if len(g) < len(t)]
+        assert all(t.startswith(g) for g, t in zip(got, texts))
+        assert not cut or (max(cut) - min(cut) <= 1 and max(map(len, got)) <= max(cut) and size - len(b" ".join(got)) < len(texts))
+
+
 # --- 5 HTML ------------------------------------------------------------------------------
 
 def test_html_main_text():
