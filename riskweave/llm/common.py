@@ -38,6 +38,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one run, each deleted once what was made from it is
+    written (and so needs no file of it when an executor is lost)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths[name] = shared_path(self.spark, "llm", f"{name}-{uuid.uuid4().hex}")
+        df.write.parquet(self.paths[name])
+        return self.spark.read.schema(df.schema).parquet(self.paths[name])
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            removed(self.spark, self.paths.pop(name))
+
+
 class Rounds:
     """Written tables of an iteration: each write deletes the table before it,
     which nothing but the new one was made from."""
