@@ -22,7 +22,7 @@ from riskweave.llm.common import hash_order, temp_name, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-_BLANKS = " \t\n\x0b\x0c\r"
+_UNCOUNTED = r"[^#*$%&|<>!?0-9.,;:\p{Lu}]+"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 BINS = 32
@@ -35,10 +35,6 @@ FEATURES = ("n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_sh
             "digit_share", "distinct_share", "end_share")
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
 def measured(docs: DataFrame, text_col: str, id_col: str = "doc_id") -> DataFrame:
     """doc_id, the base statistics (long) and FEATURES (double) of every row.
 
@@ -47,25 +43,25 @@ def measured(docs: DataFrame, text_col: str, id_col: str = "doc_id") -> DataFram
     windows are found by sorting the windows' 64-bit hashes with their position.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    step = docs.select(F.col(id_col).alias("doc_id"), text.alias("t"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"))
-    solid = _without(F.col("t"), _BLANKS)
-    lines = F.filter(F.split(F.col("t"), "\n", -1), lambda s: F.length(_without(s, _BLANKS)) > 0)
+    lines = F.filter(F.split(text, "\n", -1), lambda s: s.rlike(WORD))
+    # the few characters that are counted, taken out of the text in one pass
+    step = docs.select(F.col(id_col).alias("doc_id"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"),
+                       lines.alias("lines"), F.regexp_replace(text, _UNCOUNTED, "").alias("k"))
+    among = lambda chars: F.length("k") - F.length(F.translate("k", chars, ""))
     # position and hash of every window, ordered by hash
     step = step.select(
-        "doc_id", F.size("w").cast("long").alias("n_words"), F.length(solid).cast("long").alias("word_chars"),
-        (F.length("t") - F.length(_without(F.col("t"), SYMBOLS))).cast("long").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        "doc_id", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        among(SYMBOLS).cast("long").alias("n_symbols"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.array_distinct("w")).alias("n_distinct"),
-        F.length(F.regexp_replace("t", r"[^\p{Lu}]", "")).alias("n_upper"),
-        (F.length("t") - F.length(_without(F.col("t"), "!?"))).alias("n_marks"),
-        (F.length("t") - F.length(_without(F.col("t"), "0123456789"))).alias("n_digits"),
-        (F.length("t") - F.length(_without(F.col("t"), ".,;:"))).alias("n_ends"),
-        F.when(F.size("w") >= 3, F.array_sort(F.transform(
+        F.length(F.regexp_replace("k", r"[^\p{Lu}]+", "")).alias("n_upper"),
+        among("!?").alias("n_marks"), among("0123456789").alias("n_digits"), among(".,;:").alias("n_ends"),
+        F.when(F.size("w") >= 3, F.sort_array(F.transform(
             F.sequence(F.lit(0), F.size("w") - 3),
             lambda i: F.struct(F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h"), i.alias("p")))))
         .otherwise(F.array().cast("array<struct<h:bigint,p:int>>")).alias("s"))
     same = lambda i, j: F.coalesce(F.get("s", i)["h"] == F.get("s", j)["h"], F.lit(False))
-    step = step.withColumn("r", F.array_sort(F.transform(
+    step = step.withColumn("r", F.sort_array(F.transform(
         F.filter(F.col("s"), lambda x, i: same(i, i - 1) | same(i, i + 1)), lambda x: x["p"])))
     covered = F.aggregate(F.col("r"), F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda a, p: F.struct(
         p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")), lambda a: a["n"])
