@@ -7,10 +7,11 @@ over its hidden states pools them into one vector with a logistic output.  All
 overlapping windows of the whole text are scored, ``STRIDE`` words apart, and a
 text's score is its largest window's.
 
-Training (numpy, driver) takes a bounded sample of labelled rows with short
-texts; a toxic text teaches with the window that currently scores highest, a
-clean one with its highest and a random one.  A final offset is set on longer
-labelled texts, where the maximum runs over many windows.
+Training (numpy, driver) takes a sample of labelled texts of every length,
+bounded by its rows and its characters; a toxic text teaches with the window that
+currently scores highest, a clean one with its highest and a random one.  A final
+offset is set on labelled texts of every length, where the maximum runs over many
+windows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm import textops
@@ -33,9 +34,10 @@ WORD_DIM = 6
 CHAR_DIM = 8
 HIDDEN = 8
 SAMPLE_ROWS = 2500       # training rows per class at most
-SAMPLE_CHARS = 6000      # length of a training text at most
-CALIBRATION_ROWS = 300   # longer rows per class for the offset at most
-CALIBRATION_CHARS = 30000
+SAMPLE_CHARS = 6_000_000  # characters of training texts per class; the text that reaches it is the last
+CALIBRATION_ROWS = 300   # rows per class for the offset at most
+CALIBRATION_CHARS = 2_000_000
+PIECE_CHARS = 125_000    # a longer text teaches with a piece from a hash-chosen place
 _BLOCK = 1024            # windows run together
 
 
@@ -269,7 +271,8 @@ def fit(texts: list[str], toxic: np.ndarray, *, epochs: int = 10, steps: int = 8
     while epoch < epochs or step < steps:
         if epoch == 0:  # texts of one window: no choice to make yet
             use = np.flatnonzero(single)
-            use = use if len(use) >= batch else np.arange(len(first))
+            if len(use) < batch or toxic[row[use]].all() or not toxic[row[use]].any():
+                use = rng.permutation(len(first))[:batch * steps // 3]
         else:
             logit = window_logits(p, v, first, length)
             order = np.lexsort((logit, row))
@@ -327,25 +330,34 @@ def calibrated(p: dict, texts: list[str], toxic: np.ndarray, toxic_share: float)
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", modulus: int = 5, remainder: int = 0, rows: int = SAMPLE_ROWS,
-          chars: int = SAMPLE_CHARS, seed: int = 1) -> dict[str, np.ndarray]:
-    """Fit on labelled rows whose id is not held out: at most ``rows`` texts of
-    up to ``chars`` characters per class, and ``CALIBRATION_ROWS`` of any length
-    up to ``CALIBRATION_CHARS`` per class for the offset."""
+          chars: int = SAMPLE_CHARS, piece: int = PIECE_CHARS, seed: int = 1) -> dict[str, np.ndarray]:
+    """Fit on labelled rows whose id is not held out: per class, texts of every
+    length in hash order, at most ``rows`` and until ``chars`` characters are
+    reached, and others up to ``CALIBRATION_ROWS`` and ``CALIBRATION_CHARS`` for the
+    offset.  A text over ``piece`` characters teaches with that many from a
+    hash-chosen place; an id that comes with several texts teaches with one."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .where(~held_out("id", modulus, remainder)).where("label in (0, 1)")
              .groupBy("id").agg(F.max("label").alias("label")))
     shares = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    lengths = docs.select(F.col(id_col).alias("id"), F.length(text_col).alias("size")).where(
-        F.col("size").between(1, CALIBRATION_CHARS))
+    lengths = docs.select(F.col(id_col).alias("id"), F.length(text_col).alias("size")).where("size > 0")
     picked = None
     for label in (0, 1):  # ids are chosen without their texts
-        own = lengths.join(known.where(F.col("label") == label), "id").where(thinned("id", seed, 4 * rows, shares.get(label, 0)))
-        for kind, part in (("fit", own.where(F.col("size") <= chars).orderBy(hash_order("id", seed), "id").limit(rows)),
-                           ("offset", own.orderBy(hash_order("id", seed + 1), "id").limit(CALIBRATION_ROWS))):
-            part = part.select("id", F.lit(kind).alias("kind"), "label")
+        own = (lengths.join(known.where(F.col("label") == label), "id")
+               .where(thinned("id", seed, 4 * rows, shares.get(label, 0))).groupBy("id").agg(F.max("size").alias("size")))
+        for kind, shift, most, budget in (("fit", 0, rows, chars), ("offset", 1, CALIBRATION_ROWS, CALIBRATION_CHARS)):
+            part = own.select("id", F.lit(kind).alias("kind"), F.lit(label).alias("label"), hash_order("id", seed + shift).alias("h"),
+                              F.least("size", F.lit(piece)).alias("size"), F.lit(budget).alias("budget"))
+            part = part.orderBy("h", "id").limit(most)
             picked = part if picked is None else picked.unionByName(part)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked.distinct()), "id")
-    sample = texts.where(F.length("text").between(1, CALIBRATION_CHARS)).select("kind", "label", "text")
+    before = F.sum("size").over(Window.partitionBy("kind", "label").orderBy("h", "id")
+                                .rowsBetween(Window.unboundedPreceding, -1))
+    picked = picked.withColumn("before", F.coalesce(before, F.lit(0))).where("before < budget").select("id", "kind", "label")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
+    room = F.greatest(F.length("text") - piece, F.lit(0)) + 1
+    start = (F.pmod(hash_order("id", seed + 2), room) + 1).cast("int")
+    sample = (texts.where(F.length("text") > 0).withColumn("text", F.substring("text", start, F.lit(piece)))
+              .groupBy("kind", "label", "id").agg(F.max("text").alias("text")).select("kind", "label", "text"))
     found = sorted(tuple(r) for r in sample.collect())
     side = lambda kind: ([t for k, _, t in found if k == kind], np.array([y == 1 for k, y, _ in found if k == kind], bool))
     p = fit(*side("fit"), seed=seed)

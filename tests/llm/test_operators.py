@@ -6,6 +6,7 @@ import random
 import re
 import time
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -312,6 +313,40 @@ def test_classifiers_learn_and_handle_edges(spark, kind):
     assert module.score(frame(spark, []), model).count() == 0
 
 
+def test_toxicity_learns_from_long_texts_alone(spark):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(100, 160):  # every labelled text has over 30,000 characters
+        words = [rng.choice(STOCK) for _ in range(9000)]
+        if i % 2:
+            at = rng.randrange(8900)
+            words[at:at + 12] = ["vilebad", "vilely", "vileness", "vilebad"] * 3
+        rows.append((i, " ".join(words), "en", "a", 0))
+        labels.append((i, 1, i % 2))
+    assert min(len(r[1]) for r in rows) > 30000
+    docs = frame(spark, rows)
+    model = toxicity.train(docs, spark.createDataFrame(labels, LABELS))
+    got = toxicity.score(docs, model).collect()
+    held = [r for r in got if r["held_out"]]
+    assert len(held) > 5 and all(r["predicted"] == r["doc_id"] % 2 for r in held)
+
+
+def test_toxicity_sample_is_bounded_by_characters_and_takes_every_length(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic, seed: seen.append((texts, toxic)) or toxicity.fresh(0))
+    rows = [(i, f"w{i} " * (5000 if i % 3 == 0 else 20), "en", "a", 0) for i in range(400)] + [(7, "again", "en", "a", 0)] * 3
+    marks = spark.createDataFrame([(i, 1, i % 2) for i in range(400)], LABELS)
+    toxicity.train(frame(spark, rows), marks, chars=100_000, piece=4000)
+    texts, toxic = seen[0]
+    for side in (True, False):
+        sizes = [len(t) for t, y in zip(texts, toxic) if y == side]
+        assert 100_000 <= sum(sizes) < 104_000 and max(sizes) == 4000 and min(sizes) < 200
+    seen.clear()
+    toxicity.train(frame(spark, rows), marks)
+    texts, toxic = seen[0]
+    assert len(texts) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(400))
+
+
 # --- 8 language ------------------------------------------------------------------------
 
 def test_language_by_dictionary(spark):
