@@ -48,7 +48,6 @@ def measured(docs: DataFrame, text_col: str, id_col: str = "doc_id") -> DataFram
     step = docs.select(F.col(id_col).alias("doc_id"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"),
                        lines.alias("lines"), F.regexp_replace(text, _UNCOUNTED, "").alias("k"))
     among = lambda chars: F.length("k") - F.length(F.translate("k", chars, ""))
-    # position and hash of every window, ordered by hash
     step = step.select(
         "doc_id", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         among(SYMBOLS).cast("long").alias("n_symbols"),
@@ -56,10 +55,12 @@ def measured(docs: DataFrame, text_col: str, id_col: str = "doc_id") -> DataFram
         F.size(F.array_distinct("w")).alias("n_distinct"),
         F.length(F.regexp_replace("k", r"[^\p{Lu}]+", "")).alias("n_upper"),
         among("!?").alias("n_marks"), among("0123456789").alias("n_digits"), among(".,;:").alias("n_ends"),
-        F.when(F.size("w") >= 3, F.sort_array(F.transform(
-            F.sequence(F.lit(0), F.size("w") - 3),
-            lambda i: F.struct(F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h"), i.alias("p")))))
-        .otherwise(F.array().cast("array<struct<h:bigint,p:int>>")).alias("s"))
+        F.when(F.size("w") >= 3, F.transform(
+            F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2))))
+        .otherwise(F.array().cast("array<bigint>")).alias("h"))
+    # position and hash of every window, ordered by hash, of the texts that repeat one
+    step = step.withColumn("s", F.when(F.size(F.array_distinct("h")) < F.size("h"), F.sort_array(F.transform(
+        "h", lambda h, p: F.struct(h.alias("h"), p.alias("p"))))).otherwise(F.array().cast("array<struct<h:bigint,p:int>>")))
     same = lambda i, j: F.coalesce(F.get("s", i)["h"] == F.get("s", j)["h"], F.lit(False))
     step = step.withColumn("r", F.sort_array(F.transform(
         F.filter(F.col("s"), lambda x, i: same(i, i - 1) | same(i, i + 1)), lambda x: x["p"])))
