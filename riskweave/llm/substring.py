@@ -19,8 +19,8 @@
    that lies inside segments found before, as do the equal words around it, is
    passed over.
 
-Segments of one document that touch, whatever document they point to, form one
-passage, reported from ``MIN_WORDS`` words on.  Words are lower-cased.
+The chains of a document are aligned together.  Its segments that touch,
+whatever document they point to, form one passage, reported from ``MIN_WORDS`` words on.  Words are lower-cased.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -371,7 +372,7 @@ def _agreeing(same: np.ndarray, start: int, end: int, identity: float, least: in
     return sorted(out)
 
 
-_SEGMENT = "doc_id long, ref long, s int, e int, q int, same int"
+_PASSAGES = "array<struct<start_word:int,n_words:int,ref_doc_id:bigint,ref_start:int,identity:double>>"
 
 
 def chain_segments(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -430,28 +431,92 @@ def lone_segments(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     return cover(found)
 
 
+def promising(x: np.ndarray, y: np.ndarray, at: np.ndarray, to: np.ndarray, x_span: np.ndarray, y_span: np.ndarray) -> np.ndarray:
+    """For single anchors (``at`` in ``x``, ``to`` in ``y``, each inside its own
+    ``span`` of start and end), whether the words around may hold a segment.
+
+    A segment of 40 words or more that agrees enough has a half that does, so some
+    part of under ``2 * MIN_SEGMENT`` words does; it has no more disagreements than
+    the longest such part may have, and neither has any window inside it."""
+    least = MIN_SEGMENT - int((1 - IDENTITY) * (2 * MIN_SEGMENT - 1) + 1e-6)
+    steps = np.arange(-_MARGIN, K + _MARGIN)
+    out = np.zeros(len(at), bool)
+    for lo in range(0, len(at), 4096):
+        part = slice(lo, lo + 4096)
+        i, j = at[part, None] + steps, to[part, None] + steps
+        inside = (i >= x_span[part, :1]) & (i < x_span[part, 1:]) & (j >= y_span[part, :1]) & (j < y_span[part, 1:])
+        same = inside & (x[np.where(inside, i, 0)] == y[np.where(inside, j, 0)])
+        total = np.cumsum(np.pad(same, ((0, 0), (1, 0))), axis=1, dtype=np.int16)
+        out[part] = (total[:, MIN_SEGMENT:] - total[:, :-MIN_SEGMENT]).max(axis=1) >= least
+    return out
+
+
+def _bytes(c: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all values, borders) of a binary column."""
+    edges = np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1].astype(np.int64)
+    return np.frombuffer(c.buffers()[2] or b"", np.uint8), edges
+
+
+def document_segments(found: pa.Array, texts: pa.Array) -> list[list[dict]]:
+    """Per document the segments of all its chains (ref, a, b, lone, y), ``texts``
+    its signatures: one, or more where rows repeat an id."""
+    rows = found.flatten()
+    ref, lone = (rows.field(n).to_numpy(zero_copy_only=False) for n in ("ref", "lone"))
+    of_chain = np.repeat(np.arange(len(found)), pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64))
+    sides = []
+    for name in ("a", "b"):
+        c = rows.field(name)
+        size = pc.list_value_length(c).to_numpy(zero_copy_only=False).astype(np.int64)
+        sides.append((c.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.append(0, np.cumsum(size))))
+    (a, cut), (b, _) = sides
+    chain = np.repeat(np.arange(len(rows)), np.diff(cut))
+    low = np.minimum.reduceat(b, cut[:-1]) if len(b) else b
+    b = b - np.maximum(0, low - _MARGIN)[chain]  # within the chain's own stretch
+    y, y_cut = _bytes(rows.field("y"))
+    x, x_cut = _bytes(texts.flatten())
+    copies = pc.list_value_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    first = np.append(0, np.cumsum(copies))
+    out: list[list[dict]] = [[] for _ in range(len(found))]
+    for n in range(int(copies.max(initial=0))):
+        has = (copies > n)[of_chain]
+        text = np.minimum(first[:-1] + n, len(x_cut) - 2)[of_chain]  # signature of each chain
+        x_span, y_span = np.column_stack([x_cut[text], x_cut[text + 1]]), np.column_stack([y_cut[:-1], y_cut[1:]])
+        look = np.zeros(len(a), bool)
+        single = np.flatnonzero((lone & has)[chain])
+        of = chain[single]
+        look[single] = promising(x, y, x_span[of, 0] + a[single], y_span[of, 0] + b[single], x_span[of], y_span[of])
+        left = np.add.reduceat(look, cut[:-1], dtype=np.int64) if len(look) else np.zeros(0, np.int64)
+        for c in np.flatnonzero(has & (~lone | (left > 0))).tolist():
+            own = slice(cut[c], cut[c + 1])
+            pick = np.flatnonzero(look[own]) if lone[c] else slice(None)
+            own_a, own_b = a[own][pick], b[own][pick]
+            a0 = max(0, int(own_a.min()) - _MARGIN)
+            sig = x[x_span[c, 0] + a0:min(x_span[c, 1], x_span[c, 0] + int(own_a.max()) + K + _MARGIN)]
+            b0 = max(0, int(low[c]) - _MARGIN)
+            along = lone_segments if lone[c] else chain_segments
+            for s, e, q, agree in along(sig, y[y_span[c, 0]:y_span[c, 1]], own_a - a0, own_b):
+                out[of_chain[c]].append({"ref": int(ref[c]), "s": s + a0, "e": e + a0, "q": max(0, q + b0), "same": agree})
+    return out
+
+
 def aligned(found: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Segments (doc_id, ref, s, e, q, same) of chains; words s..e of the
-    document agree with the earlier document's words from q on."""
+    """(doc_id, passages): a document's chains are aligned together, so one row
+    per document comes out however many others it shares words with."""
     lo = lambda c: F.greatest(F.array_min(c) - _MARGIN, F.lit(0))
     hi = lambda c: F.array_max(c) + K + _MARGIN
     cut = lambda c: F.col("sig").substr(lo(c) + 1, hi(c) - lo(c))
-    both = found.join(sigs.withColumnRenamed("doc_id", "ref"), "ref").select("doc_id", "ref", "a", "b", "lone", cut("b").alias("y"))
-    both = both.join(sigs, "doc_id").select("doc_id", "ref", "a", "b", "lone", cut("a").alias("x"), "y")
+    both = found.join(sigs.withColumnRenamed("doc_id", "ref"), "ref").select(
+        "doc_id", F.struct("ref", "a", "b", "lone", cut("b").alias("y")).alias("c"))
+    own = sigs.groupBy("doc_id").agg(F.collect_list("sig").alias("x"))
+    both = both.groupBy("doc_id").agg(F.collect_list("c").alias("c")).join(own, "doc_id")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for r in (r for lo in range(0, batch.num_rows, 256) for r in batch.slice(lo, 256).to_pylist()):
-                a, b = np.array(r["a"]), np.array(r["b"])
-                a0, b0 = max(0, int(a.min()) - _MARGIN), max(0, int(b.min()) - _MARGIN)
-                of = lone_segments if r["lone"] else chain_segments
-                for s, e, q, n in of(np.frombuffer(r["x"], np.uint8), np.frombuffer(r["y"], np.uint8), a - a0, b - b0):
-                    rows.append((r["doc_id"], r["ref"], s + a0, e + a0, max(0, q + b0), n))
-            cols = list(zip(*rows)) or [()] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "ref", "s", "e", "q", "same"])
-    return both.mapInArrow(run, _SEGMENT)
+    @F.arrow_udf(_PASSAGES)
+    def passages(chain: pa.Array, texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("start_word", pa.int32()), ("n_words", pa.int32()), ("ref_doc_id", pa.int64()),
+                                   ("ref_start", pa.int32()), ("identity", pa.float64())]))
+        return pa.array([m for lo in range(0, len(chain), 512) for m in map(
+            joined, document_segments(chain.slice(lo, 512), texts.slice(lo, 512)))], kind)
+    return both.select("doc_id", passages("c", "x").alias("passages")).where(F.size("passages") > 0)
 
 
 def joined(found: list[dict], least: int = MIN_WORDS, gap: int = JOIN_GAP) -> list[dict]:
@@ -462,7 +527,7 @@ def joined(found: list[dict], least: int = MIN_WORDS, gap: int = JOIN_GAP) -> li
 
     def close() -> None:
         if group and max(g["e"] for g in group) - group[0]["s"] >= least:
-            best = max(group, key=lambda g: (g["e"] - g["s"], -g["ref"], -g["q"]))
+            best = max(group, key=lambda g: (g["e"] - g["s"], -g["ref"], -g["q"], g["same"]))
             out.append({"start_word": group[0]["s"], "n_words": max(g["e"] for g in group) - group[0]["s"],
                         "ref_doc_id": best["ref"], "ref_start": best["q"], "identity": best["same"] / (best["e"] - best["s"])})
 
@@ -477,17 +542,8 @@ def joined(found: list[dict], least: int = MIN_WORDS, gap: int = JOIN_GAP) -> li
     return out
 
 
-_PASSAGES = "array<struct<start_word:int,n_words:int,ref_doc_id:bigint,ref_start:int,identity:double>>"
-
-
 def passages_by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, passages) of every document that repeats an earlier one."""
-    @F.arrow_udf(_PASSAGES)
-    def merged(lists: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("start_word", pa.int32()), ("n_words", pa.int32()), ("ref_doc_id", pa.int64()),
-                                   ("ref_start", pa.int32()), ("identity", pa.float64())]))
-        return pa.array([joined(x) for x in lists.to_pylist()], kind)
-
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(
         "doc_id is not null and text is not null")
     kept = Scratch(docs.sparkSession)
@@ -496,9 +552,7 @@ def passages_by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str
     kept.drop("substring-seeds", "substring-first")
     chain = kept.write(chained(shared), "substring-chains")
     kept.drop("substring-links")
-    segs = aligned(chain, kept.write(signatures(texts), "substring-signatures"))
-    lists = segs.groupBy("doc_id").agg(F.collect_set(F.struct("s", "e", "ref", "q", "same")).alias("g"))
-    out = kept.write(lists.select("doc_id", merged("g").alias("passages")).where(F.size("passages") > 0), "substring-passages")
+    out = kept.write(aligned(chain, kept.write(signatures(texts), "substring-signatures")), "substring-passages")
     kept.drop("substring-chains", "substring-signatures")
     return out
 

@@ -661,6 +661,38 @@ def test_cover_keeps_the_words_and_the_longest():
         assert not found or max(e - s for s, e, _, _ in got) == max(e - s for s, e, _, _ in found)
 
 
+def test_alignment_gives_one_row_per_document(spark):
+    rng = random.Random(37)
+    word = lambda: f"{rng.choice(STOCK)}{rng.randrange(10**8)}"
+    blocks, rows = [[word() for _ in range(30)] for _ in range(8)], []
+    for n in range(40):  # every document shares other pieces with every other
+        w = [word() for _ in range(20)]
+        for part in rng.sample(blocks, 5):
+            w += part + [word() for _ in range(20)]
+        rows.append((n, " ".join(w), "en", "a", 0))
+    wide = [(100 + n, " ".join(word() for _ in range(10)) + " " + " ".join(x for p in blocks[n % 3:n % 3 + 3] for x in p), "en", "a", 0) for n in range(20)]
+    texts = frame(spark, rows + wide).select("doc_id", "text")
+    found = substring.seeds(texts)
+    chain = substring.chained(substring.links(found, substring.firsts(found)))
+    assert chain.count() > 100
+    got = substring.aligned(chain, substring.signatures(texts)).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(100, 120))  # of the others no repeat reaches 50 words
+    assert all([(m["start_word"], m["n_words"]) for m in r["passages"]] == [(10, 90)] for r in got)
+
+
+def test_promising_anchors_hold_every_segment():
+    rng = np.random.default_rng(41)
+    x = rng.integers(0, 256, 60 * 300).astype(np.uint8)
+    y = np.where(rng.random(len(x)) < np.repeat(rng.uniform(0, 0.95, 60), 300), 7, x).astype(np.uint8)
+    at = np.arange(60) * 300 + rng.integers(0, 296, 60)
+    span = np.column_stack([np.arange(60) * 300, np.arange(60) * 300 + 300])
+    got = substring.promising(x, y, at, at, span, span)
+    for i, (lo, hi) in enumerate(span):
+        s, e = max(lo, at[i] - 100), min(hi, at[i] + 105)
+        assert got[i] or not substring.segments((x == y)[s:e])
+    assert 0 < got.sum() < 60
+
+
 # --- 10 benchmark ---------------------------------------------------------------------------
 
 def levenshtein_inside(item, text):
