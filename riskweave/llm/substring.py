@@ -4,11 +4,16 @@
    with the smallest hash is a seed, so an exact passage of ``K + WINDOW`` words
    shares a seed in all its copies.
 2. *Links*: a seed that occurs in two documents or more is joined to its first
-   occurrence (smallest document, then position).  Each occurrence gets one
-   link, so links grow with the text however often a passage repeats.  Sampled
-   runs of ``LONG`` words are linked in the same way: a passage of lines that
-   each come earlier elsewhere is found whole, since the runs across the lines'
-   borders come first in the document that holds the passage.
+   occurrence (smallest document, then position), and if it occurs ``FEW`` times
+   at most to every one in an earlier document.  Of a more frequent seed the runs
+   that it forms with the next 1, 3, 7, .. frequent seeds of its document are
+   joined in the same way: the longer a run, the rarer it is.  What stays
+   unlinked: copies whose every seed is frequent and that, between two edits, share
+   no run which occurs ``FEW`` times at most or first in one of them.  Links grow
+   with the text however often a passage repeats.  Sampled runs of ``LONG`` words
+   are seeds too: a passage of lines that each come earlier elsewhere is found
+   whole, since the runs across the lines' borders come first in the document that
+   holds the passage.
 3. *Chains*: the links of a document to one earlier document are chained in
    order on both sides; a tree over the earlier document's positions gives the
    best predecessor within ``MAX_GAP`` words on both sides under a linear gap cost.
@@ -20,7 +25,8 @@
    passed over.
 
 The chains of a document are aligned together.  Its segments that touch,
-whatever document they point to, form one passage, reported from ``MIN_WORDS`` words on.  Words are lower-cased.
+whatever document they point to, form one passage, reported from ``MIN_WORDS``
+words on.  Words are lower-cased.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm import textops
@@ -40,6 +46,7 @@ from riskweave.llm.common import Scratch, temp_name, written
 K = 5
 WINDOW = 8
 LONG = 25             # words of a long run
+FEW = 8               # occurrences up to which all pairs of a seed are linked
 MIN_WORDS = 50
 MIN_SEGMENT = 20      # words of one aligned segment
 IDENTITY = 0.8
@@ -119,15 +126,55 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, sig binary")
 
 
-def firsts(found: DataFrame) -> DataFrame:
-    """(h, ref, q): the first occurrence of each seed that two documents share."""
-    return (found.groupBy("h").agg(F.min(F.struct("doc_id", "p")).alias("f"), F.max("doc_id").alias("last"))
-             .where(F.col("f.doc_id") < F.col("last")).select("h", F.col("f.doc_id").alias("ref"), F.col("f.p").alias("q")))
+def shared(found: DataFrame) -> DataFrame:
+    """``found(doc_id, h, p, ..)`` without seeds that one document alone has, with
+    the first occurrence (ref, q) of the others and their number ``n``."""
+    first = (found.groupBy("h").agg(F.min(F.struct("doc_id", "p")).alias("f"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+             .where(F.col("f.doc_id") < F.col("last")).select("h", F.col("f.doc_id").alias("ref"), F.col("f.p").alias("q"), "n"))
+    return found.join(first, "h")
 
 
-def links(found: DataFrame, first: DataFrame) -> DataFrame:
-    """(doc_id, ref, p, q): shared seeds' occurrences in other documents than the first one's."""
-    return found.join(first, "h").where("doc_id <> ref").select("doc_id", "ref", "p", "q")
+def first_links(found: DataFrame) -> DataFrame:
+    """(doc_id, ref, p, q): occurrences in other documents than the first one's."""
+    return found.where("doc_id <> ref").select("doc_id", "ref", "p", "q")
+
+
+def pair_links(found: DataFrame) -> DataFrame:
+    """(doc_id, ref, p, q): every occurrence of a seed of ``FEW`` at most to those in
+    earlier documents, but for the first, which ``first_links`` has."""
+    few = found.where(F.col("n").between(3, FEW))
+    earlier = few.where("doc_id <> ref or p <> q").select("h", F.col("doc_id").alias("ref"), F.col("p").alias("q"))
+    return few.select("h", "doc_id", "p").join(earlier, "h").where("ref < doc_id").select("doc_id", "ref", "p", "q")
+
+
+def numbered(found: DataFrame) -> DataFrame:
+    """``found`` with the number ``nth`` of each seed in its document; where two are
+    too far apart for a chain a number is left out."""
+    w = Window.partitionBy("doc_id").orderBy("p", "h")
+    far = F.coalesce((F.col("p") - F.lag("p").over(w) > MAX_GAP + K).cast("long"), F.lit(0))
+    return found.withColumn("far", far).select("doc_id", "h", "p", "ref", "q", (F.row_number().over(w) + F.sum("far").over(w)).alias("nth"))
+
+
+def doubled(found: DataFrame, step: int) -> DataFrame:
+    """Runs of ``2 * step`` seeds from ``found``, whose ``h`` stand for ``step`` seeds
+    from ``nth`` on; ``before`` is the first place of the shorter run."""
+    w = Window.partitionBy("doc_id").orderBy("nth").rangeBetween(step, step)
+    return (found.withColumn("next", F.max("h").over(w)).where("next is not null")
+            .select("doc_id", "nth", "p", F.xxhash64("h", "next").alias("h"), F.struct("ref", "q").alias("before")))
+
+
+def links(found: DataFrame, kept: Scratch) -> DataFrame:
+    """(doc_id, ref, p, q) of ``found``, the rows of ``shared``: each occurrence to
+    the first one, of a seed that occurs ``FEW`` times at most to each in an earlier
+    document.  More frequent seeds go on as runs of 2, 4, 8, .. of them in a row,
+    linked in the same way, until no frequent run is left (see above what stays)."""
+    out = first_links(found).unionByName(pair_links(found))
+    rest, step = kept.write(numbered(found.where(F.col("n") > FEW)), "substring-frequent"), 1
+    while not rest.isEmpty():
+        run = kept.write(shared(doubled(rest, step)), f"substring-runs-{step}")
+        out = out.unionByName(first_links(run.where("ref <> before.ref or q <> before.q"))).unionByName(pair_links(run))
+        rest, step = run.where(F.col("n") > FEW), 2 * step
+    return out
 
 
 # --- Chains ------------------------------------------------------------------------
@@ -486,16 +533,24 @@ def document_segments(found: pa.Array, texts: pa.Array) -> list[list[dict]]:
         of = chain[single]
         look[single] = promising(x, y, x_span[of, 0] + a[single], y_span[of, 0] + b[single], x_span[of], y_span[of])
         left = np.add.reduceat(look, cut[:-1], dtype=np.int64) if len(look) else np.zeros(0, np.int64)
-        for c in np.flatnonzero(has & (~lone | (left > 0))).tolist():
+        # a chain that cannot reach beyond a segment already found is passed over: it would
+        # add no word and name no passage; so the longest chains come first
+        low_a, high_a = np.minimum.reduceat(a, cut[:-1]) if len(a) else a, np.maximum.reduceat(a, cut[:-1]) if len(a) else a
+        start, end = np.maximum(0, low_a - _MARGIN), np.minimum(x_span[:, 1] - x_span[:, 0], high_a + K + _MARGIN)
+        todo = np.flatnonzero(has & (~lone | (left > 0)))
+        wide: list[list[tuple[int, int, int]]] = [[] for _ in range(len(found))]
+        for c in todo[np.lexsort((ref[todo], low_a[todo] - high_a[todo]))].tolist():
+            d, lo, hi, r = of_chain[c], int(start[c]), int(end[c]), int(ref[c])
+            if any(s <= lo and hi <= e and (hi - lo < e - s or r > g) for s, e, g in wide[d]):
+                continue
             own = slice(cut[c], cut[c + 1])
             pick = np.flatnonzero(look[own]) if lone[c] else slice(None)
-            own_a, own_b = a[own][pick], b[own][pick]
-            a0 = max(0, int(own_a.min()) - _MARGIN)
-            sig = x[x_span[c, 0] + a0:min(x_span[c, 1], x_span[c, 0] + int(own_a.max()) + K + _MARGIN)]
             b0 = max(0, int(low[c]) - _MARGIN)
             along = lone_segments if lone[c] else chain_segments
-            for s, e, q, agree in along(sig, y[y_span[c, 0]:y_span[c, 1]], own_a - a0, own_b):
-                out[of_chain[c]].append({"ref": int(ref[c]), "s": s + a0, "e": e + a0, "q": max(0, q + b0), "same": agree})
+            for s, e, q, agree in along(x[x_span[c, 0] + lo:x_span[c, 0] + hi], y[y_span[c, 0]:y_span[c, 1]], a[own][pick] - lo, b[own][pick]):
+                out[d].append({"ref": r, "s": s + lo, "e": e + lo, "q": max(0, q + b0), "same": agree})
+                if e - s >= K + _MARGIN and not any(x0 <= s + lo and e + lo <= x1 for x0, x1, _ in wide[d]):
+                    wide[d].append((s + lo, e + lo, r))
     return out
 
 
@@ -548,10 +603,10 @@ def passages_by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str
         "doc_id is not null and text is not null")
     kept = Scratch(docs.sparkSession)
     found = kept.write(seeds(texts), "substring-seeds")
-    shared = kept.write(links(found, kept.write(firsts(found), "substring-first")), "substring-links")
-    kept.drop("substring-seeds", "substring-first")
-    chain = kept.write(chained(shared), "substring-chains")
-    kept.drop("substring-links")
+    several = kept.write(shared(found), "substring-shared")
+    kept.drop("substring-seeds")
+    chain = kept.write(chained(links(several, kept)), "substring-chains")
+    kept.drop(*(n for n in list(kept.paths) if n != "substring-chains"))
     out = kept.write(aligned(chain, kept.write(signatures(texts), "substring-signatures")), "substring-passages")
     kept.drop("substring-chains", "substring-signatures")
     return out

@@ -673,7 +673,7 @@ def test_alignment_gives_one_row_per_document(spark):
     wide = [(100 + n, " ".join(word() for _ in range(10)) + " " + " ".join(x for p in blocks[n % 3:n % 3 + 3] for x in p), "en", "a", 0) for n in range(20)]
     texts = frame(spark, rows + wide).select("doc_id", "text")
     found = substring.seeds(texts)
-    chain = substring.chained(substring.links(found, substring.firsts(found)))
+    chain = substring.chained(substring.first_links(substring.shared(found)))
     assert chain.count() > 100
     got = substring.aligned(chain, substring.signatures(texts)).collect()
     assert sorted(r["doc_id"] for r in got) == list(range(100, 120))  # of the others no repeat reaches 50 words
@@ -693,6 +693,25 @@ def test_promising_anchors_hold_every_segment():
     assert 0 < got.sum() < 60
 
 
+@pytest.mark.parametrize("each,apart,least", [(1, 12, 7), (12, 24, 4)])
+def test_passages_of_seeds_first_seen_elsewhere(spark, each, apart, least):
+    rng = random.Random(43)
+    word = lambda: f"{rng.choice(STOCK)}{rng.randrange(10**8)}"
+    rows, later = [], set()
+    for n in range(8):  # overlapping pieces of 18 words come first, in ``each`` documents
+        part, base = [word() for _ in range(96)], 1000 * n
+        for m in range(14 * each):
+            at = 6 * (m // each)
+            rows.append((base + m, " ".join([word() for _ in range(10)] + part[at:at + 18] + [word() for _ in range(10)]), "en", "a", 0))
+        for copy in range(2):  # then the passage, then it again with words changed
+            rows.append((base + 900 + copy, " ".join([word() for _ in range(30)] + part + [word() for _ in range(30)]), "en", "a", 0))
+            part = [word() if i % apart == 7 else w for i, w in enumerate(part)]
+        later.add(base + 901)
+    got = {r["doc_id"]: r for r in substring.repeated_passages(frame(spark, rows)).collect()}
+    found = [i for i in later if i in got and got[i]["ref_doc_id"] == i - 1 and got[i]["n_words"] >= 80]
+    assert len(found) >= least
+
+
 # --- 10 benchmark ---------------------------------------------------------------------------
 
 def levenshtein_inside(item, text):
