@@ -1,18 +1,20 @@
 """Quality classifier by Bradley-Terry pairwise ranking.
 
 Every text gets a vector of bounded statistics of its whole word sequence.
-Preference pairs (a text labelled good is preferred to one labelled bad) are
-drawn from a bounded sample of labelled rows; a Bradley-Terry model scores a
-text by a weighted sum of hinge functions of its statistics, fitted by the
-logistic loss on the difference of the two texts' features.  The decision
-threshold is a quantile of the scores of the labelled sample: the share of bad
-texts among the labels.  The published score is a logistic function of the
+Every text labelled good is preferred to every one labelled bad; a Bradley-Terry
+model scores a text by a weighted sum of hinge functions of its statistics,
+fitted by the logistic loss on the difference of the two texts' features, over
+all pairs of all labelled rows: a row's share of the gradient follows from its
+score and the other class's counts of scores, so a step is two passes over the
+rows' statistics.  The decision threshold is a quantile of the scores of all
+labelled rows: the share of bad texts among them.  The published score is a logistic function of the
 ranking score that equals ``CUT`` at that quantile, so ``score >= CUT`` keeps
 what ranks above it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,10 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import textops
-from riskweave.llm.common import hash_order, held_out, thinned
+from riskweave.llm.common import Scratch, held_out
 
-SAMPLE_ROWS = 3000   # labelled rows per class brought to the driver at most
 CUT = 0.3
+BIN = 0.02           # scores are counted in bins of this width
+FINE = 1e-6          # width of the bin that the threshold ends
+_TASK_ROWS = 20000   # rows of statistics in a partition
 _KNOTS = 8
 _WINDOW = 50
 
@@ -137,61 +141,100 @@ class RankingModel:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_pairs(x: np.ndarray, good: np.ndarray, bad_share: float, *, pairs: int = 60000, steps: int = 400,
-              rate: float = 0.05, decay: float = 1e-4, seed: int = 6) -> RankingModel:
-    """Bradley-Terry fit: logistic loss on feature differences of (good, bad)
-    pairs; ``bad_share`` is the quantile of the threshold.  With one class only
+def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(label, statistics) of a batch of (label, x)."""
+    return batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(batch.num_rows, len(STATISTICS))
+
+
+def counted(stats: DataFrame, model: RankingModel, width: float, within: tuple[float, float] | None = None) -> np.ndarray:
+    """(label, bin, rows) in order of bins: how many rows of ``stats(label, x)`` rank in
+    each bin of ``width``, of those ranked from the first of ``within`` to below the second."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label, x = _rows(batch)
+            rank = model.rank(x)
+            has = (rank >= within[0]) & (rank < within[1]) if within else np.ones(len(rank), bool)
+            key, n = np.unique(np.column_stack([label, np.floor(rank / width)])[has].astype(np.int64), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(n)], ["label", "bin", "n"])
+    got = stats.mapInArrow(run, "label long, bin long, n long").groupBy("label", "bin").agg(F.sum("n").alias("n")).collect()
+    return np.array(sorted(((r["label"], r["bin"], r["n"]) for r in got), key=lambda r: r[1]), np.int64).reshape(-1, 3)
+
+
+def gradient(stats: DataFrame, model: RankingModel) -> np.ndarray:
+    """Of the logistic loss, averaged over all pairs of a good and a bad row."""
+    bins = counted(stats, model, BIN)
+    of = [bins[bins[:, 0] == c] for c in (0, 1)]
+    total = [c[:, 2].sum() for c in of]
+
+    def lost(rank: np.ndarray, good: bool) -> np.ndarray:
+        """Mean loss slope of rows against the other class's bins."""
+        other = of[0 if good else 1]
+        at = (np.arange(rank.min() // BIN, rank.max() // BIN + 2) + 0.5) * BIN if len(rank) else np.zeros(1)
+        z = (at[:, None] - (other[:, 1] + 0.5) * BIN) * (1 if good else -1)
+        slope = (1.0 / (1.0 + np.exp(np.clip(z, -40, 40)))) @ other[:, 2] / other[:, 2].sum()
+        return np.interp(rank, at, slope)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(model.weights.size)
+        for batch in batches:
+            label, x = _rows(batch)
+            basis = model.basis(x)
+            rank = basis @ model.weights
+            for good in (False, True):
+                own = label == int(good)
+                out += (lost(rank[own], good) @ basis[own]) * (-1 if good else 1) / total[int(good)]
+        yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], ["g"])
+    return np.sum([r["g"] for r in stats.mapInArrow(run, "g array<double>").collect()], axis=0)
+
+
+def fit(stats: DataFrame, *, steps: int = 50, rate: float = 0.15, decay: float = 1e-4) -> RankingModel:
+    """Bradley-Terry fit over all pairs of ``stats(label, x)``.  With one class only
     the model keeps everything (all good) or nothing."""
-    rng = np.random.default_rng(seed)
-    knots = np.quantile(x, np.linspace(0, 1, _KNOTS + 1)[:-1], axis=0).T if len(x) else np.zeros((len(STATISTICS), _KNOTS))
-    spread = x.std(axis=0) + 1e-3 if len(x) else np.ones(len(STATISTICS))
-    model = RankingModel(knots, spread, np.zeros(knots.size), 0.0, 1.0)
-    up, down = np.flatnonzero(good), np.flatnonzero(~good)
-    if not len(up) or not len(down):
-        model.cut = -1.0 if len(up) or not len(x) else 1.0
+    each = [F.col("x")[i] for i in range(len(STATISTICS))]
+    probs = np.linspace(0, 1, _KNOTS // 2 + 1)[:-1].tolist()
+    of = {r["label"]: r for r in stats.groupBy("label").agg(
+        F.count("*").alias("n"), F.array(*map(F.avg, each)).alias("mean"), F.array(*map(F.var_pop, each)).alias("var"),
+        F.array(*(F.percentile_approx(c, probs, 10000) for c in each)).alias("knots")).collect()}
+    model = RankingModel(np.zeros((len(STATISTICS), _KNOTS)), np.ones(len(STATISTICS)), np.zeros(len(STATISTICS) * _KNOTS), 0.0, 1.0)
+    if len(of) < 2:
+        model.cut = 1.0 if 0 in of else -1.0
         return model
-    b = model.basis(x)
-    i, j = rng.choice(up, pairs), rng.choice(down, pairs)
-    m, v = np.zeros(b.shape[1]), np.zeros(b.shape[1])
+    mean, var = (np.array([of[c][n] for c in (0, 1)]) for n in ("mean", "var"))  # both classes weigh the same
+    model.knots = np.sort(np.concatenate([np.array(of[c]["knots"]) for c in (0, 1)], axis=1), axis=1)
+    model.spread = np.sqrt(var.mean(axis=0) + mean.var(axis=0)) + 1e-3
+    m, v = np.zeros(model.weights.size), np.zeros(model.weights.size)
     for t in range(1, steps + 1):
-        pick = rng.integers(0, pairs, 1024)
-        diff = b[i[pick]] - b[j[pick]]
-        lost = 1.0 / (1.0 + np.exp(np.clip(diff @ model.weights, -40, 40)))
-        grad = -(lost[:, None] * diff).mean(axis=0) + decay * model.weights
+        grad = gradient(stats, model) + decay * model.weights
         m = 0.9 * m + 0.1 * grad
-        v = 0.999 * v + 0.001 * grad * grad
-        model.weights -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    rank = model.rank(x)
-    weight = np.where(good, (1 - bad_share) / len(up), bad_share / len(down))
-    order = np.argsort(rank, kind="stable")
-    at = int(np.searchsorted(np.cumsum(weight[order]), bad_share))
-    lo = rank[order[min(at, len(x) - 1)]]
-    hi = rank[order[min(at + 1, len(x) - 1)]]
-    model.cut = float((lo + hi) / 2)
-    model.scale = float(2.0 / (np.std(rank) + 1e-6))
+        v = 0.99 * v + 0.01 * grad * grad
+        model.weights = model.weights - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
+    bins = counted(stats, model, BIN)
+    bad = of[0]["n"]  # as many rows are to rank below the threshold as are labelled bad
+    at = int(np.searchsorted(np.cumsum(bins[:, 2]), bad))
+    edge = bins[at, 1] * BIN
+    fine = counted(stats, model, FINE, (edge - BIN, edge + 2 * BIN))
+    below = bins[bins[:, 1] < bins[at, 1] - 1, 2].sum()
+    model.cut = float((fine[min(int(np.searchsorted(below + np.cumsum(fine[:, 2]), bad)), len(fine) - 1), 1] + 1) * FINE)
+    weight = bins[:, 2] / np.where(bins[:, 0] == 1, of[1]["n"], of[0]["n"]) / 2
+    middle = weight @ bins[:, 1]
+    model.scale = float(2.0 / (np.sqrt(weight @ (bins[:, 1] - middle) ** 2) * BIN + 1e-6))
     return model
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", modulus: int = 5, remainder: int = 0, rows: int = SAMPLE_ROWS,
-          seed: int = 6) -> RankingModel:
-    """Fit on at most ``rows`` labelled texts of each class whose id is not held
-    out (taken in a fixed hash order); the class shares come from all of them."""
+          label_col: str = "quality", modulus: int = 5, remainder: int = 0) -> RankingModel:
+    """Fit on all labelled texts whose id is not held out."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .where(~held_out("id", modulus, remainder)).where("label in (0, 1)")
              .groupBy("id").agg(F.max("label").alias("label")))
-    shares = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    picked = None
-    for label in (0, 1):
-        part = known.where(F.col("label") == label).where(thinned("id", seed, rows, shares.get(label, 0))).orderBy(hash_order("id", seed), "id").limit(rows)
-        picked = part if picked is None else picked.unionByName(part)
-    sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
-              .select("label", "text", "id"))
-    stats = sample.select("id", "label", statistics_column("text").alias("x")).distinct().orderBy("id", "label").collect()
-    x = np.array([r["x"] for r in stats], np.float64).reshape(len(stats), len(STATISTICS))
-    good = np.array([r["label"] == 1 for r in stats], bool)
-    bad = shares.get(0, 0) / max(1, sum(shares.values()))
-    return fit_pairs(x, good, bad, seed=seed)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(~held_out("id", modulus, remainder))
+    measured = texts.select("id", statistics_column("text").alias("x")).join(known, "id").distinct()
+    kept = Scratch(docs.sparkSession)
+    parts = known.count() // _TASK_ROWS + 1
+    stats = kept.write(measured.select("label", "x").repartition(parts), "quality-statistics")
+    model = fit(stats)
+    kept.drop("quality-statistics")
+    return model
 
 
 def statistics_column(text: str) -> Column:

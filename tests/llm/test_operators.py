@@ -313,6 +313,28 @@ def test_classifiers_learn_and_handle_edges(spark, kind):
     assert module.score(frame(spark, []), model).count() == 0
 
 
+def test_quality_learns_from_all_rows_and_pairs(spark):
+    rng = random.Random(47)
+    # labels that the texts hardly show, so that the threshold lies among both classes
+    words = [s.upper() if n % 9 == 0 else s + "," * (n % 4 == 0) for n, s in enumerate(STOCK)]
+    rows = [(i, prose(rng, rng.randint(8, 60), words), "en", "a", 0) for i in range(10000)]
+    labels = [(i, int(len(r[1]) > 150 if rng.random() < 0.3 else rng.random() < 0.55), 0) for i, r in enumerate(rows)]
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, LABELS)
+    model = quality.train(docs, marks)
+    got = [r for r in quality.score(docs, model).collect() if not r["held_out"]]
+    bad = sum(not labels[r["doc_id"]][1] for r in got)
+    assert bad > 3000 and len(got) - bad > 3000  # more than one bounded sample would hold
+    assert abs(sum(not r["predicted"] for r in got) - bad) <= 2
+    few = [r for r in got if r["doc_id"] < 300]
+    x = quality.text_statistics(pa.array([rows[r["doc_id"]][1] for r in few]))
+    good = np.array([labels[r["doc_id"]][1] == 1 for r in few])
+    stats = spark.createDataFrame([(int(g), v.tolist()) for g, v in zip(good, x)], "label int, x array<double>")
+    basis, rank = model.basis(x), model.rank(x)
+    lost = 1 / (1 + np.exp(rank[good][:, None] - rank[~good][None]))
+    brute = -(lost.mean(axis=1) @ basis[good] / good.sum() - lost.mean(axis=0) @ basis[~good] / (~good).sum())
+    assert np.allclose(quality.gradient(stats, model), brute, atol=5e-3)
+
+
 def test_toxicity_learns_from_long_texts_alone(spark):
     rng = random.Random(9)
     rows, labels = [], []
