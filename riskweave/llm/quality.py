@@ -26,9 +26,9 @@ from riskweave.llm import textops
 from riskweave.llm.common import Scratch, held_out
 
 CUT = 0.3
-BIN = 0.02           # scores are counted in bins of this width
+BIN = 0.1            # scores are counted in bins of this width; the slope changes by 0.025 a bin at most
 FINE = 1e-6          # width of the bin that the threshold ends
-_TASK_ROWS = 20000   # rows of statistics in a partition
+_TASK_ROWS = 5000    # rows of statistics in a partition
 _KNOTS = 8
 _WINDOW = 50
 
