@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import textops
@@ -127,54 +127,115 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def shared(found: DataFrame) -> DataFrame:
-    """``found(doc_id, h, p, ..)`` without seeds that one document alone has, with
-    the first occurrence (ref, q) of the others and their number ``n``."""
-    first = (found.groupBy("h").agg(F.min(F.struct("doc_id", "p")).alias("f"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-             .where(F.col("f.doc_id") < F.col("last")).select("h", F.col("f.doc_id").alias("ref"), F.col("f.p").alias("q"), "n"))
-    return found.join(first, "h")
+    """(doc_id, h, p, .., ref, q, frequent) from ``found(doc_id, h, p, ..)``: seeds that
+    two documents share or more.  Each occurrence of one that occurs over ``FEW`` times
+    comes with the first (smallest document, then position), one of another seed
+    once with each occurrence in an earlier document.
+
+    A task reads its seeds in order and keeps of a seed no more than ``FEW`` rows or
+    the rows of one document."""
+    more = [c for c in found.columns if c not in ("doc_id", "h", "p")]
+    kind = "doc_id long, h long, p int, " + "".join(f"{c} {found.schema[c].dataType.simpleString()}, " for c in more) + "ref long, q int, frequent boolean"
+    types = [pa.int64(), pa.int64(), pa.int32(), *(pa.int64() if found.schema[c].dataType.simpleString() == "bigint" else pa.int32() for c in more)]
+    names = ["doc_id", "h", "p", *more, "ref", "q", "frequent"]
+
+    def rows(x: np.ndarray, ref: np.ndarray, q: np.ndarray, frequent: bool) -> pa.RecordBatch:
+        cols = [pa.array(x[:, n].astype(t.to_pandas_dtype())) for n, t in enumerate(types)]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(ref), pa.array(q.astype(np.int32)), pa.array(np.full(len(x), frequent))], names)
+
+    def of_seeds(x: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first = np.flatnonzero(np.append(True, np.diff(x[:, 1]) != 0))
+        size = np.diff(np.append(first, len(x)))
+        several = x[first, 0] < x[first + size - 1, 0]
+        of = np.repeat(np.where(several & (size > FEW), first, -1), size)
+        at = np.flatnonzero(of >= 0)
+        yield rows(x[at], x[of[at], 0], x[of[at], 2], True)
+        of = np.repeat(np.where(several & (size <= FEW), first, len(x)), size)
+        for step in range(1, FEW):
+            at = np.flatnonzero(np.arange(len(x)) - step >= of)
+            at = at[x[at - step, 0] < x[at, 0]]
+            yield rows(x[at], x[at - step, 0], x[at - step, 2], False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, under_way = np.zeros((0, len(types)), np.int64), None
+        for batch in batches:
+            x = np.concatenate([rest, integers(batch)])
+            rest = x[:0]
+            if under_way is not None:  # a frequent seed goes on
+                n = int(np.searchsorted(x[:, 1], under_way[1], side="right"))
+                yield rows(x[:n], np.full(n, under_way[0]), np.full(n, under_way[2]), True)
+                x = x[n:]
+            if not len(x):
+                continue
+            under_way, tail = None, int(np.searchsorted(x[:, 1], x[-1, 1]))
+            if tail:
+                yield from of_seeds(x[:tail])
+            rest = x[tail:]
+            if len(rest) > FEW and rest[0, 0] < rest[-1, 0]:
+                yield from of_seeds(rest)
+                rest, under_way = rest[:0], rest[0]
+        if len(rest):
+            yield from of_seeds(rest)
+
+    ordered = found.select("doc_id", "h", "p", *more).repartition("h").sortWithinPartitions("h", "doc_id", "p")
+    return ordered.mapInArrow(run, kind)
 
 
 def first_links(found: DataFrame) -> DataFrame:
-    """(doc_id, ref, p, q): occurrences in other documents than the first one's."""
+    """(doc_id, ref, p, q): links to earlier documents in the rows of ``shared``."""
     return found.where("doc_id <> ref").select("doc_id", "ref", "p", "q")
 
 
-def pair_links(found: DataFrame) -> DataFrame:
-    """(doc_id, ref, p, q): every occurrence of a seed of ``FEW`` at most to those in
-    earlier documents, but for the first, which ``first_links`` has."""
-    few = found.where(F.col("n").between(3, FEW))
-    earlier = few.where("doc_id <> ref or p <> q").select("h", F.col("doc_id").alias("ref"), F.col("p").alias("q"))
-    return few.select("h", "doc_id", "p").join(earlier, "h").where("ref < doc_id").select("doc_id", "ref", "p", "q")
-
-
-def numbered(found: DataFrame) -> DataFrame:
-    """``found`` with the number ``nth`` of each seed in its document; where two are
-    too far apart for a chain a number is left out."""
-    w = Window.partitionBy("doc_id").orderBy("p", "h")
-    far = F.coalesce((F.col("p") - F.lag("p").over(w) > MAX_GAP + K).cast("long"), F.lit(0))
-    return found.withColumn("far", far).select("doc_id", "h", "p", "ref", "q", (F.row_number().over(w) + F.sum("far").over(w)).alias("nth"))
-
-
-def doubled(found: DataFrame, step: int) -> DataFrame:
-    """Runs of ``2 * step`` seeds from ``found``, whose ``h`` stand for ``step`` seeds
-    from ``nth`` on; ``before`` is the first place of the shorter run."""
-    w = Window.partitionBy("doc_id").orderBy("nth").rangeBetween(step, step)
-    return (found.withColumn("next", F.max("h").over(w)).where("next is not null")
-            .select("doc_id", "nth", "p", F.xxhash64("h", "next").alias("h"), F.struct("ref", "q").alias("before")))
-
-
-def links(found: DataFrame, kept: Scratch) -> DataFrame:
-    """(doc_id, ref, p, q) of ``found``, the rows of ``shared``: each occurrence to
-    the first one, of a seed that occurs ``FEW`` times at most to each in an earlier
-    document.  More frequent seeds go on as runs of 2, 4, 8, .. of them in a row,
-    linked in the same way, until no frequent run is left (see above what stays)."""
-    out = first_links(found).unionByName(pair_links(found))
-    rest, step = kept.write(numbered(found.where(F.col("n") > FEW)), "substring-frequent"), 1
-    while not rest.isEmpty():
-        run = kept.write(shared(doubled(rest, step)), f"substring-runs-{step}")
-        out = out.unionByName(first_links(run.where("ref <> before.ref or q <> before.q"))).unionByName(pair_links(run))
-        rest, step = run.where(F.col("n") > FEW), 2 * step
-    return out
+def integers(batch: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
+
+
+def whole_documents(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[np.ndarray]:
+    """Rows of integer batches sorted by their first ``keys`` columns, cut where
+    those change: the last group of a batch may go on in the next."""
+    rest: np.ndarray | None = None
+    for batch in batches:
+        x = integers(batch)
+        if rest is not None:
+            x = np.concatenate([rest, x])
+        if not len(x):
+            continue
+        tail = int(np.flatnonzero((x[:, :keys] != x[-1, :keys]).any(axis=1)).max(initial=-1)) + 1
+        if tail:
+            yield x[:tail]
+        rest = x[tail:]
+    if rest is not None and len(rest):
+        yield rest
+
+
+def runs(found: DataFrame) -> DataFrame:
+    """(doc_id, h, p, ref0, q0): runs of 2, 4, 8, .. seeds of ``found(doc_id, h, p, ref,
+    q)`` in a row, with the first place of their first seed.
+
+    Seeds too far apart for a chain are in no run together."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in whole_documents(batches, 1):
+            far = (np.diff(x[:, 0]) != 0) | (np.diff(x[:, 2]) > MAX_GAP + K)
+            row = np.append(0, np.cumsum(far))
+            v, n = x[:, 1].copy().view(np.uint64), 1
+            while 2 * n <= len(x):
+                v, n = textops.mix(v[:-n] * textops.BASE + v[n:]), 2 * n
+                at = np.flatnonzero(row[:len(v)] == row[n - 1:])
+                if not len(at):
+                    break
+                cols = [x[at, 0], v[at].view(np.int64), x[at, 2].astype(np.int32), x[at, 3], x[at, 4].astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "h", "p", "ref0", "q0"])
+
+    ordered = found.select("doc_id", "h", "p", "ref", "q").repartition("doc_id").sortWithinPartitions("doc_id", "p", "h")
+    return ordered.mapInArrow(run, "doc_id long, h long, p int, ref0 long, q0 int")
+
+
+def links(found: DataFrame) -> DataFrame:
+    """(doc_id, ref, p, q) of ``found``, the rows of ``shared``, and of the runs of its
+    frequent seeds (see above what stays), but for a run's links to the first place
+    of its first seed."""
+    several = shared(runs(found.where("frequent"))).where("ref <> ref0 or q <> q0")
+    return first_links(found).unionByName(first_links(several))
 
 
 # --- Chains ------------------------------------------------------------------------
@@ -262,14 +323,14 @@ def chains(a: np.ndarray, b: np.ndarray, k: int = K, cost: float = GAP_COST, max
     return out
 
 
-def thinned(part: np.ndarray, step: int = LONG) -> np.ndarray:
-    """Anchors (.., a, b) of one document pair, sorted, without those inside an
+def thinned(x: np.ndarray, step: int = LONG) -> np.ndarray:
+    """Anchors (doc_id, ref, a, b), sorted, each once and without those inside an
     unbroken diagonal run, of which every ``step``-th stays: the alignment reads
     all words between two anchors of a diagonal."""
-    a, b = part[:, 2], part[:, 3]
-    on = (np.diff(a) == 1) & (np.diff(b) == 1)
-    inner = np.append(False, on) & np.append(on, False) & (a % step != 0)
-    return part[~inner]
+    x = x[np.append(True, (np.diff(x, axis=0) != 0).any(axis=1))]
+    on = (np.diff(x, axis=0) == (0, 0, 1, 1)).all(axis=1)
+    inner = np.append(False, on) & np.append(on, False) & (x[:, 2] % step != 0)
+    return x[~inner]
 
 
 def bundles(a: np.ndarray, b: np.ndarray, margin: int = _MARGIN) -> list[np.ndarray]:
@@ -290,40 +351,30 @@ def chained(found: DataFrame) -> DataFrame:
     """(doc_id, ref, a, b, lone): anchor positions of the chains of ``links``;
     single anchors near each other come as one row (``lone``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.schema([("doc_id", pa.int64()), ("ref", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())),
-                          ("lone", pa.bool_())])
-        rest: np.ndarray | None = None
-
         def grouped(x: np.ndarray) -> pa.RecordBatch:
-            cut = np.flatnonzero((np.diff(x[:, 0]) != 0) | (np.diff(x[:, 1]) != 0)) + 1
-            rows: list[tuple] = []
-            edges = np.concatenate([[0], cut, [len(x)]])
-            for g in range(len(edges) - 1):
-                part = x[edges[g]:edges[g + 1]]
-                if len(part) > 1:
-                    part = thinned(np.unique(part, axis=0))
-                all_of = chains(part[:, 2], part[:, 3]) if len(part) > 1 else [np.array([0])]
-                single = part[np.sort([c[0] for c in all_of if len(c) == 1]).astype(np.int64)]
-                for c in (c for c in all_of if len(c) > 1):
-                    rows.append((part[0, 0], part[0, 1], part[c, 2].tolist(), part[c, 3].tolist(), False))
-                for c in bundles(single[:, 2], single[:, 3]):
-                    rows.append((part[0, 0], part[0, 1], single[c, 2].tolist(), single[c, 3].tolist(), True))
-            cols = list(zip(*rows)) or [()] * 5
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kind.types)], schema=kind)
-
-        for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
-            if rest is not None:
-                x = np.concatenate([rest, x])
-            if not len(x):
-                continue
-            # the last (document, reference) may go on in the next batch
-            tail = int(np.flatnonzero((x[:, 0] != x[-1, 0]) | (x[:, 1] != x[-1, 1])).max(initial=-1)) + 1
-            if tail:
-                yield grouped(x[:tail])
-            rest = x[tail:]
-        if rest is not None and len(rest):
-            yield grouped(rest)
+            x = thinned(x)
+            new = np.append(True, (np.diff(x[:, :2], axis=0) != 0).any(axis=1))
+            first = np.flatnonzero(new)
+            size = np.diff(np.append(first, len(x)))
+            turn = np.append(False, (np.diff(x[:, 3] - x[:, 2]) != 0) | (np.diff(x[:, 2]) > MAX_GAP)) & ~new
+            plain = np.add.reduceat(turn, first, dtype=np.int64) == 0  # pairs of one chain on one diagonal
+            picks, sizes, lone = [np.flatnonzero(np.repeat(plain, size))], size[plain].tolist(), (size[plain] == 1).tolist()
+            for at, n in zip(first[~plain].tolist(), size[~plain].tolist()):
+                part = x[at:at + n]
+                all_of = chains(part[:, 2], part[:, 3])
+                single = np.sort([c[0] for c in all_of if len(c) == 1]).astype(np.int64)
+                near = [single[c] for c in bundles(part[single, 2], part[single, 3])]
+                several = [c for c in all_of if len(c) > 1]
+                picks += [at + c for c in several + near]
+                sizes += map(len, several + near)
+                lone += [False] * len(several) + [True] * len(near)
+            pick, edges = np.concatenate(picks), np.append(0, np.cumsum(sizes)).astype(np.int32)
+            sides = [pa.ListArray.from_arrays(pa.array(edges), pa.array(x[pick, n].astype(np.int32))) for n in (2, 3)]
+            heads = x[pick[edges[:-1]]]
+            return pa.RecordBatch.from_arrays([pa.array(heads[:, 0]), pa.array(heads[:, 1]), *sides, pa.array(lone, pa.bool_())],
+                                              ["doc_id", "ref", "a", "b", "lone"])
+
+        yield from map(grouped, whole_documents(batches, 2))
 
     ordered = found.repartition("doc_id", "ref").sortWithinPartitions("doc_id", "ref", "p", "q")
     return ordered.mapInArrow(run, _CHAIN)
@@ -602,11 +653,9 @@ def passages_by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(
         "doc_id is not null and text is not null")
     kept = Scratch(docs.sparkSession)
-    found = kept.write(seeds(texts), "substring-seeds")
-    several = kept.write(shared(found), "substring-shared")
-    kept.drop("substring-seeds")
-    chain = kept.write(chained(links(several, kept)), "substring-chains")
-    kept.drop(*(n for n in list(kept.paths) if n != "substring-chains"))
+    several = kept.write(shared(seeds(texts)), "substring-shared")
+    chain = kept.write(chained(links(several)), "substring-chains")
+    kept.drop("substring-shared")
     out = kept.write(aligned(chain, kept.write(signatures(texts), "substring-signatures")), "substring-passages")
     kept.drop("substring-chains", "substring-signatures")
     return out

@@ -22,7 +22,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = np.random.default_rng(20240131).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -102,7 +102,7 @@ def word_hashes(w: Words, lower: bool = False) -> np.ndarray:
         return np.zeros(0, np.uint64)
     data = LOWER[w.data] if lower else w.data
     n = len(data)
-    power = np.full(n, _BASE, np.uint64)
+    power = np.full(n, BASE, np.uint64)
     power[0] = 1
     np.cumprod(power, out=power)
     total = np.zeros(n + 1, np.uint64)
@@ -120,7 +120,7 @@ def kmer_hashes(w: Words, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     acc = np.zeros(n, np.uint64)
     for j in range(k):
-        acc = acc * _BASE + h[j:j + n]
+        acc = acc * BASE + h[j:j + n]
     row = w.row
     at = np.flatnonzero(row[:n] == row[k - 1:])
     return mix(acc[at]), at

@@ -734,6 +734,29 @@ def test_passages_of_seeds_first_seen_elsewhere(spark, each, apart, least):
     assert len(found) >= least
 
 
+def test_shared_seeds_give_every_link_once(spark):
+    rng = random.Random(47)
+    rows = {(rng.randrange(30), rng.choice((1, 2, 3 + rng.randrange(60))), rng.randrange(40)) for _ in range(260)} | {(50, 77, p) for p in range(30)}
+    by_seed: dict[int, list] = {}
+    for d, h, p in sorted(rows):
+        by_seed.setdefault(h, []).append((d, p))
+    want = []
+    for h, at in by_seed.items():
+        if at[0][0] != at[-1][0]:
+            want += [(d, h, p, *(at[0] if len(at) > substring.FEW else e), len(at) > substring.FEW) for n, (d, p) in enumerate(at)
+                     for e in at[:1 if len(at) > substring.FEW else n] if len(at) > substring.FEW or e[0] < d]
+    found = spark.createDataFrame([(d, h, p) for d, h, p in rows], "doc_id long, h long, p int")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    try:
+        for n in ("1", "7", "1000"):
+            spark.conf.set(size, n)
+            assert sorted(map(tuple, substring.shared(found).collect())) == sorted(want)
+    finally:
+        spark.conf.set(size, before)
+    assert {x[-1] for x in want} == {True, False}
+
+
 # --- 10 benchmark ---------------------------------------------------------------------------
 
 def levenshtein_inside(item, text):
