@@ -20,9 +20,9 @@
 4. *Alignment*: a chain's two stretches, as one byte per word, are compared
    along its diagonals, with the best break point where the diagonal changes;
    segments in which at least ``IDENTITY`` of the words agree are passages.
-   Single links near each other (the repeats of a line) come as one row; one
-   that lies inside segments found before, as do the equal words around it, is
-   passed over.
+   Single links near each other (the repeats of a line) come as one row.  What
+   cannot reach beyond the words that a document's segments cover so far, nor be
+   longer than the longest of them there, is passed over.
 
 The chains of a document are aligned together.  Its segments that touch,
 whatever document they point to, form one passage, reported from ``MIN_WORDS``
@@ -31,6 +31,7 @@ words on.  Words are lower-cased.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Iterator
 
@@ -449,6 +450,9 @@ def segments(same: np.ndarray, identity: float = IDENTITY, least: int = MIN_SEGM
 def _agreeing(same: np.ndarray, start: int, end: int, identity: float, least: int) -> list[tuple[int, int, int]]:
     """Longest parts of a stretch in which ``identity`` of the words agree,
     longest first on either side of one already taken."""
+    agree = int(np.count_nonzero(same[start:end]))
+    if agree - identity * (end - start) >= -1e-6:
+        return [(start, end, agree)]
     total = np.append(0, np.cumsum(same[start:end] - identity))
     out, rest = [], [(0, end - start)]
     while rest:
@@ -485,14 +489,6 @@ def chain_segments(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -
     return found
 
 
-def _equal(x: np.ndarray, y: np.ndarray) -> int:
-    """Words at the start of both that are equal."""
-    n = min(len(x), len(y))
-    other = x[:n] != y[:n]
-    at = int(other.argmax()) if n else 0
-    return at if n and other[at] else n
-
-
 def cover(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
     """The fewest of the segments that cover the same words, and the longest one:
     repeats of a line give many that differ by a shift."""
@@ -512,23 +508,6 @@ def cover(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, i
     return out if longest is None or longest in out else [*out, longest]
 
 
-def lone_segments(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Segments around single anchors, each looked at with ``_MARGIN`` words on
-    either side.  An anchor inside segments already found is passed over if the
-    words that are equal on either side of it lie inside them too: it adds
-    nothing to what a passage covers."""
-    found: list[tuple[int, int, int, int]] = []
-    for i, j in zip(a.tolist(), b.tolist()):
-        x0, y0 = max(0, i - _MARGIN), max(0, j - _MARGIN)
-        around = [(s, e) for s, e, _, _ in found[-32:] if s <= i and i + K <= e]
-        if (around and i + _equal(x[i:i + K + _MARGIN], y[j:j + K + _MARGIN]) <= max(e for _, e in around)
-                and i - _equal(x[x0:i][::-1], y[y0:j][::-1]) >= min(s for s, _ in around)):
-            continue
-        near = chain_segments(x[x0:i + K + _MARGIN], y[y0:j + K + _MARGIN], np.array([i - x0]), np.array([j - y0]))
-        found += [(s + x0, e + x0, q + y0, n) for s, e, q, n in near]
-    return cover(found)
-
-
 def promising(x: np.ndarray, y: np.ndarray, at: np.ndarray, to: np.ndarray, x_span: np.ndarray, y_span: np.ndarray) -> np.ndarray:
     """For single anchors (``at`` in ``x``, ``to`` in ``y``, each inside its own
     ``span`` of start and end), whether the words around may hold a segment.
@@ -537,18 +516,64 @@ def promising(x: np.ndarray, y: np.ndarray, at: np.ndarray, to: np.ndarray, x_sp
     part of under ``2 * MIN_SEGMENT`` words does; it has no more disagreements than
     the longest such part may have, and neither has any window inside it."""
     least = MIN_SEGMENT - int((1 - IDENTITY) * (2 * MIN_SEGMENT - 1) + 1e-6)
-    steps = np.arange(-_MARGIN, K + _MARGIN)
     out = np.zeros(len(at), bool)
-    for lo in range(0, len(at), 4096):
-        part = slice(lo, lo + 4096)
-        i, j = at[part, None] + steps, to[part, None] + steps
-        inside = (i >= x_span[part, :1]) & (i < x_span[part, 1:]) & (j >= y_span[part, :1]) & (j < y_span[part, 1:])
-        same = inside & (x[np.where(inside, i, 0)] == y[np.where(inside, j, 0)])
+    for part, same in _around(x, y, at, to, x_span, y_span):
         total = np.cumsum(np.pad(same, ((0, 0), (1, 0))), axis=1, dtype=np.int16)
         out[part] = (total[:, MIN_SEGMENT:] - total[:, :-MIN_SEGMENT]).max(axis=1) >= least
     return out
 
 
+def _around(x: np.ndarray, y: np.ndarray, at: np.ndarray, to: np.ndarray, x_span: np.ndarray,
+            y_span: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Blocks of anchors, and which words around each agree along its diagonal."""
+    steps = np.arange(-_MARGIN, K + _MARGIN)
+    low = np.maximum(x_span[:, 0] - at, y_span[:, 0] - to)
+    high = np.minimum(x_span[:, 1] - at, y_span[:, 1] - to)
+    for lo in range(0, len(at), 4096):
+        part = slice(lo, lo + 4096)
+        same = x.take(at[part, None] + steps, mode="clip") == y.take(to[part, None] + steps, mode="clip")
+        yield part, same & (steps >= low[part, None]) & (steps < high[part, None])
+
+
+def reaches(x: np.ndarray, y: np.ndarray, at: np.ndarray, to: np.ndarray, x_span: np.ndarray, y_span: np.ndarray) -> np.ndarray:
+    """(first word, last word + 1), from each single anchor, between which all the
+    ``segments`` around it lie; equal where there is none.
+
+    A segment's words have a score over zero from its start and none of them lies
+    above all that follow, whatever else closes segments."""
+    out = np.zeros((len(at), 2), np.int64)
+    for part, same in _around(x, y, at, to, x_span, y_span):
+        total = np.cumsum(np.pad(np.where(same, 1, -EDGE_PRICE), ((0, 0), (1, 0))), axis=1)
+        low = np.minimum.accumulate(total, axis=1)[:, :-1]
+        high = np.maximum.accumulate(total[:, ::-1], axis=1)[:, -2::-1]
+        may = np.cumsum(np.pad((total[:, 1:] > low) & (high >= total[:, :-1]), ((0, 0), (1, 0))), axis=1, dtype=np.int16)
+        full = may[:, MIN_SEGMENT:] - may[:, :-MIN_SEGMENT] == MIN_SEGMENT
+        some = full.any(axis=1)
+        out[part, 0] = np.where(some, full.argmax(axis=1) - _MARGIN, 0)
+        out[part, 1] = np.where(some, full.shape[1] - 1 - full[:, ::-1].argmax(axis=1) + MIN_SEGMENT - _MARGIN, 0)
+    return out
+
+
+_Stretch = tuple[int, int, tuple[int, int]]
+
+
+def spread(own: list[_Stretch], s: int, e: int, ref: int) -> None:
+    """Add a segment to the disjoint stretches that a document's segments cover,
+    each with (words, -ref) of its longest segment."""
+    i = j = bisect_left(own, s, key=lambda g: g[1])
+    best = (e - s, -ref)
+    while j < len(own) and own[j][0] <= e:
+        s, e, best = min(s, own[j][0]), max(e, own[j][1]), max(best, own[j][2])
+        j += 1
+    own[i:j] = [(s, e, best)]
+
+
+def settled(own: list[_Stretch], lo: int, hi: int, ref: int) -> bool:
+    """No segment from ``lo`` to ``hi`` would add a word or name a passage."""
+    i = bisect_right(own, lo, key=lambda g: g[0]) - 1
+    return i >= 0 and hi <= own[i][1] and (hi - lo, -ref) < own[i][2]
+
+
 def _bytes(c: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all values, borders) of a binary column."""
     edges = np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1].astype(np.int64)
@@ -583,25 +608,34 @@ def document_segments(found: pa.Array, texts: pa.Array) -> list[list[dict]]:
         single = np.flatnonzero((lone & has)[chain])
         of = chain[single]
         look[single] = promising(x, y, x_span[of, 0] + a[single], y_span[of, 0] + b[single], x_span[of], y_span[of])
-        left = np.add.reduceat(look, cut[:-1], dtype=np.int64) if len(look) else np.zeros(0, np.int64)
-        # a chain that cannot reach beyond a segment already found is passed over: it would
-        # add no word and name no passage; so the longest chains come first
+        # what cannot reach beyond the words covered so far is passed over, so the longest come first
         low_a, high_a = np.minimum.reduceat(a, cut[:-1]) if len(a) else a, np.maximum.reduceat(a, cut[:-1]) if len(a) else a
         start, end = np.maximum(0, low_a - _MARGIN), np.minimum(x_span[:, 1] - x_span[:, 0], high_a + K + _MARGIN)
-        todo = np.flatnonzero(has & (~lone | (left > 0)))
-        wide: list[list[tuple[int, int, int]]] = [[] for _ in range(len(found))]
+        covered: list[list[_Stretch]] = [[] for _ in range(len(found))]
+        todo = np.flatnonzero(has & ~lone)
         for c in todo[np.lexsort((ref[todo], low_a[todo] - high_a[todo]))].tolist():
             d, lo, hi, r = of_chain[c], int(start[c]), int(end[c]), int(ref[c])
-            if any(s <= lo and hi <= e and (hi - lo < e - s or r > g) for s, e, g in wide[d]):
+            if settled(covered[d], lo, hi, r):
                 continue
-            own = slice(cut[c], cut[c + 1])
-            pick = np.flatnonzero(look[own]) if lone[c] else slice(None)
-            b0 = max(0, int(low[c]) - _MARGIN)
-            along = lone_segments if lone[c] else chain_segments
-            for s, e, q, agree in along(x[x_span[c, 0] + lo:x_span[c, 0] + hi], y[y_span[c, 0]:y_span[c, 1]], a[own][pick] - lo, b[own][pick]):
+            own, b0 = slice(cut[c], cut[c + 1]), max(0, int(low[c]) - _MARGIN)
+            for s, e, q, agree in chain_segments(x[x_span[c, 0] + lo:x_span[c, 0] + hi], y[y_span[c, 0]:y_span[c, 1]], a[own] - lo, b[own]):
                 out[d].append({"ref": r, "s": s + lo, "e": e + lo, "q": max(0, q + b0), "same": agree})
-                if e - s >= K + _MARGIN and not any(x0 <= s + lo and e + lo <= x1 for x0, x1, _ in wide[d]):
-                    wide[d].append((s + lo, e + lo, r))
+                spread(covered[d], s + lo, e + lo, r)
+        single = np.flatnonzero(look)
+        of = chain[single]
+        near = reaches(x, y, x_span[of, 0] + a[single], y_span[of, 0] + b[single], x_span[of], y_span[of])
+        lone_found: dict[int, list[tuple[int, int, int, int]]] = {}
+        for k in np.lexsort((a[single], ref[of], near[:, 0] - near[:, 1])).tolist():
+            c, i, shift = int(of[k]), int(a[single[k]]), int(b[single[k]] - a[single[k]])
+            d, lo, hi, r = of_chain[c], i + int(near[k, 0]), i + int(near[k, 1]), int(ref[c])
+            if lo == hi or settled(covered[d], lo, hi, r):
+                continue
+            x0, y0, b0 = x_span[c, 0] + lo, y_span[c, 0] + lo + shift, max(0, int(low[c]) - _MARGIN)
+            for s, e, agree in segments(x[x0:x0 + hi - lo] == y[y0:y0 + hi - lo]):
+                lone_found.setdefault(c, []).append((s + lo, e + lo, max(0, s + lo + shift + b0), agree))
+                spread(covered[d], s + lo, e + lo, r)
+        for c, own_found in lone_found.items():
+            out[of_chain[c]] += [{"ref": int(ref[c]), "s": s, "e": e, "q": q, "same": agree} for s, e, q, agree in cover(own_found)]
     return out
 
 

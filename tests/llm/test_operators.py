@@ -757,6 +757,39 @@ def test_shared_seeds_give_every_link_once(spark):
     assert {x[-1] for x in want} == {True, False}
 
 
+def test_reaches_hold_every_segment():
+    rng = np.random.default_rng(53)
+    x = rng.integers(0, 256, 80 * 300).astype(np.uint8)
+    part = np.repeat(rng.uniform(0.2, 1, 80 * 10), 30)  # agreement changes every 30 words
+    y = np.where(rng.random(len(x)) < part, x, x ^ 1)
+    at = np.arange(80) * 300 + rng.integers(0, 296, 80)
+    span = np.column_stack([np.arange(80) * 300, np.arange(80) * 300 + 300])
+    some = 0
+    for i, (lo, hi) in zip(at, substring.reaches(x, y, at, at, span, span)):
+        s, e = max(i // 300 * 300, i - 100), min(i // 300 * 300 + 300, i + 105)
+        got = [(s + a, s + b, n) for a, b, n in substring.segments((x == y)[s:e])]
+        assert all(i + lo <= a and b <= i + hi for a, b, _ in got)
+        assert got == [(i + lo + a, i + lo + b, n) for a, b, n in substring.segments((x == y)[i + lo:i + hi])]
+        some += bool(got)
+    assert 0 < some
+
+
+def test_covered_stretches():
+    rng = random.Random(59)
+    for _ in range(200):
+        own, found = [], []
+        for _ in range(12):
+            s, r = rng.randrange(100), rng.randrange(5)
+            e = s + rng.randint(1, 25)
+            inside = [g for g in own if g[0] <= s and e <= g[1]]
+            assert substring.settled(own, s, e, r) == any((e - s, -r) < g[2] for g in inside)
+            substring.spread(own, s, e, r)
+            found.append((s, e, r))
+        assert all(x[1] < y[0] for x, y in zip(own, own[1:]))
+        assert {w for s, e, _ in own for w in range(s, e)} == {w for s, e, _ in found for w in range(s, e)}
+        assert all(g[2] == max((e - s, -r) for s, e, r in found if g[0] <= s and e <= g[1]) for g in own)
+
+
 # --- 10 benchmark ---------------------------------------------------------------------------
 
 def levenshtein_inside(item, text):
