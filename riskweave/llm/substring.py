@@ -33,7 +33,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -127,22 +127,18 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, sig binary")
 
 
-def shared(found: DataFrame) -> DataFrame:
-    """(doc_id, h, p, .., ref, q, frequent) from ``found(doc_id, h, p, ..)``: seeds that
-    two documents share or more.  Each occurrence of one that occurs over ``FEW`` times
-    comes with the first (smallest document, then position), one of another seed
-    once with each occurrence in an earlier document.
+_Rows = Callable[[np.ndarray, np.ndarray, np.ndarray, bool], pa.RecordBatch]
 
-    A task reads its seeds in order and keeps of a seed no more than ``FEW`` rows or
-    the rows of one document."""
-    more = [c for c in found.columns if c not in ("doc_id", "h", "p")]
-    kind = "doc_id long, h long, p int, " + "".join(f"{c} {found.schema[c].dataType.simpleString()}, " for c in more) + "ref long, q int, frequent boolean"
-    types = [pa.int64(), pa.int64(), pa.int32(), *(pa.int64() if found.schema[c].dataType.simpleString() == "bigint" else pa.int32() for c in more)]
-    names = ["doc_id", "h", "p", *more, "ref", "q", "frequent"]
 
-    def rows(x: np.ndarray, ref: np.ndarray, q: np.ndarray, frequent: bool) -> pa.RecordBatch:
-        cols = [pa.array(x[:, n].astype(t.to_pandas_dtype())) for n, t in enumerate(types)]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(ref), pa.array(q.astype(np.int32)), pa.array(np.full(len(x), frequent))], names)
+def _paired(found: DataFrame, rows: _Rows, kind: str) -> DataFrame:
+    """What ``rows(x, ref, q, frequent)`` makes of ``found(doc_id, h, p, ..)``: ``x`` has
+    rows of hashes that two documents share or more.  Each occurrence of one that occurs
+    over ``FEW`` times comes with the first (smallest document, then position), one of
+    another hash once with each occurrence in an earlier document.
+
+    A task reads its hashes in order and keeps of one no more than ``FEW`` rows or
+    the rows of one document."""
+    width = len(found.columns)
 
     def of_seeds(x: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.append(True, np.diff(x[:, 1]) != 0))
@@ -158,7 +154,7 @@ def shared(found: DataFrame) -> DataFrame:
             yield rows(x[at], x[at - step, 0], x[at - step, 2], False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, under_way = np.zeros((0, len(types)), np.int64), None
+        rest, under_way = np.zeros((0, width), np.int64), None
         for batch in batches:
             x = np.concatenate([rest, integers(batch)])
             rest = x[:0]
@@ -178,8 +174,17 @@ def shared(found: DataFrame) -> DataFrame:
         if len(rest):
             yield from of_seeds(rest)
 
-    ordered = found.select("doc_id", "h", "p", *more).repartition("h").sortWithinPartitions("h", "doc_id", "p")
-    return ordered.mapInArrow(run, kind)
+    return found.repartition("h").sortWithinPartitions("h", "doc_id", "p").mapInArrow(run, kind)
+
+
+def shared(found: DataFrame) -> DataFrame:
+    """(doc_id, h, p, ref, q, frequent) from ``found(doc_id, h, p)``: seeds that two
+    documents share or more, each with the places that it is linked to."""
+    def rows(x: np.ndarray, ref: np.ndarray, q: np.ndarray, frequent: bool) -> pa.RecordBatch:
+        cols = [x[:, 0], x[:, 1], x[:, 2].astype(np.int32), ref, q.astype(np.int32), np.full(len(x), frequent)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "h", "p", "ref", "q", "frequent"])
+
+    return _paired(found.select("doc_id", "h", "p"), rows, "doc_id long, h long, p int, ref long, q int, frequent boolean")
 
 
 def first_links(found: DataFrame) -> DataFrame:
@@ -231,12 +236,22 @@ def runs(found: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "doc_id long, h long, p int, ref0 long, q0 int")
 
 
+def run_links(found: DataFrame) -> DataFrame:
+    """(doc_id, ref, p, q): links to earlier documents by the rows of ``runs``, but for
+    those to the first place of a run's first seed, which that seed has itself.  Nearly
+    all runs of near copies are such, so none of them leaves the pass."""
+    def rows(x: np.ndarray, ref: np.ndarray, q: np.ndarray, frequent: bool) -> pa.RecordBatch:
+        new = (x[:, 0] != ref) & ((ref != x[:, 3]) | (q != x[:, 4]))
+        cols = [x[new, 0], ref[new], x[new, 2].astype(np.int32), q[new].astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "ref", "p", "q"])
+
+    return _paired(found.select("doc_id", "h", "p", "ref0", "q0"), rows, "doc_id long, ref long, p int, q int")
+
+
 def links(found: DataFrame) -> DataFrame:
     """(doc_id, ref, p, q) of ``found``, the rows of ``shared``, and of the runs of its
-    frequent seeds (see above what stays), but for a run's links to the first place
-    of its first seed."""
-    several = shared(runs(found.where("frequent"))).where("ref <> ref0 or q <> q0")
-    return first_links(found).unionByName(first_links(several))
+    frequent seeds (see above what stays)."""
+    return first_links(found).unionByName(run_links(runs(found.where("frequent"))))
 
 
 # --- Chains ------------------------------------------------------------------------

@@ -757,6 +757,49 @@ def test_shared_seeds_give_every_link_once(spark):
     assert {x[-1] for x in want} == {True, False}
 
 
+def near_copies(rng, count):
+    """Documents with the same 200 words, but for one of them in each, and some of their own."""
+    word = lambda: f"{rng.choice(STOCK)}{rng.randrange(10**8)}"
+    part, rows = [word() for _ in range(200)], []
+    for n in range(count):
+        own = list(part)
+        own[rng.randrange(200)] = word()
+        rows.append((n, " ".join([word() for _ in range(20)] + own + [word() for _ in range(20)]), "en", "a", 0))
+    return rows
+
+
+def test_runs_of_near_copies_make_links_alone(spark, monkeypatch):
+    made = []
+    plain = type(spark.range(1)).mapInArrow
+
+    def noted(self, *args, **kwargs):
+        made.append(plain(self, *args, **kwargs))
+        return made[-1]
+
+    rows, size = near_copies(random.Random(61), 160), {}
+    for count in (80, 160):
+        found = substring.shared(substring.seeds(frame(spark, rows[:count]).select("doc_id", "text"))).cache()
+        long = [tuple(r) for r in substring.runs(found.where("frequent")).collect()]
+        places: dict[int, list] = {}
+        for d, h, p, ref, q in sorted(long):
+            places.setdefault(h, []).append((d, p, ref, q))
+        want = [tuple(r) for r in found.where("doc_id <> ref").select("doc_id", "ref", "p", "q").collect()]
+        before = len(want)
+        for at in places.values():
+            for n, (d, p, ref, q) in enumerate(at):
+                for e in at[:1] if len(at) > substring.FEW else at[:n]:
+                    if e[0] < d and e[:2] != (ref, q):
+                        want.append((d, e[0], p, e[1]))
+        with monkeypatch.context() as m:
+            m.setattr(type(found), "mapInArrow", noted)
+            got = substring.links(found)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+        size[count] = made[-1].count()  # what the pass over the runs makes: no row but the links
+        assert 0 < size[count] == len(want) - before < 0.2 * len(long)
+        found.unpersist()
+    assert size[160] < 3 * size[80]  # in proportion to the copies
+
+
 def test_reaches_hold_every_segment():
     rng = np.random.default_rng(53)
     x = rng.integers(0, 256, 80 * 300).astype(np.uint8)
