@@ -127,6 +127,26 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, sig binary")
 
 
+def _places(batch: pa.RecordBatch, most: int = 1 << 16) -> Iterator[np.ndarray]:
+    """Integer rows of a (doc_id, h, p, ..) batch, one for each place, in parts of about
+    ``most`` rows: those in the list ``more`` follow the one in ``p``."""
+    x = integers(batch.select([c for c in batch.schema.names if c != "more"]))
+    further = batch.column("more").flatten().to_numpy(zero_copy_only=False) if "more" in batch.schema.names else ()
+    if not len(further):
+        yield x
+        return
+    size = 1 + pc.list_value_length(batch.column("more")).to_numpy(zero_copy_only=False).astype(np.int64)
+    end = np.cumsum(size)
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(end // most)) + 1, [len(x)]])
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        part = np.repeat(x[lo:hi], size[lo:hi], axis=0)
+        before = int(end[lo] - size[lo])
+        later = np.ones(len(part), bool)
+        later[end[lo:hi] - size[lo:hi] - before] = False
+        part[later, 2] = further[before - lo:int(end[hi - 1]) - hi]
+        yield part
+
+
 _Rows = Callable[[np.ndarray, np.ndarray, np.ndarray, bool], pa.RecordBatch]
 
 
@@ -134,11 +154,12 @@ def _paired(found: DataFrame, rows: _Rows, kind: str) -> DataFrame:
     """What ``rows(x, ref, q, frequent)`` makes of ``found(doc_id, h, p, ..)``: ``x`` has
     rows of hashes that two documents share or more.  Each occurrence of one that occurs
     over ``FEW`` times comes with the first (smallest document, then position), one of
-    another hash once with each occurrence in an earlier document.
+    another hash once with each occurrence in an earlier document.  A row is one occurrence,
+    or all those of a document where ``more`` lists the places after ``p``.
 
     A task reads its hashes in order and keeps of one no more than ``FEW`` rows or
     the rows of one document."""
-    width = len(found.columns)
+    width = len([c for c in found.columns if c != "more"])
 
     def of_seeds(x: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.append(True, np.diff(x[:, 1]) != 0))
@@ -155,8 +176,8 @@ def _paired(found: DataFrame, rows: _Rows, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest, under_way = np.zeros((0, width), np.int64), None
-        for batch in batches:
-            x = np.concatenate([rest, integers(batch)])
+        for part in (part for batch in batches for part in _places(batch)):
+            x = np.concatenate([rest, part])
             rest = x[:0]
             if under_way is not None:  # a frequent seed goes on
                 n = int(np.searchsorted(x[:, 1], under_way[1], side="right"))
@@ -214,9 +235,28 @@ def whole_documents(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[np
         yield rest
 
 
-def runs(found: DataFrame) -> DataFrame:
-    """(doc_id, h, p, ref0, q0): runs of 2, 4, 8, .. seeds of ``found(doc_id, h, p, ref,
-    q)`` in a row, with the first place of their first seed.
+def _once(x: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    """(doc_id, h, p, ref0, q0, more) of runs ``v`` that start at the rows of ``x``, in
+    order: a run that a document repeats is one row, its places after the first in ``more``."""
+    key = v + x[:, 0].astype(np.uint64) * textops.BASE
+    same = np.sort(key)
+    again = np.isin(key, same[1:][same[1:] == same[:-1]])
+    at = np.flatnonzero(again)
+    at = at[np.lexsort((v[at], x[at, 0]))]  # keeps the order of places
+    new = np.append(True, (np.diff(x[at, 0]) != 0) | (np.diff(v[at]) != 0))[:len(at)]
+    size = np.diff(np.append(np.flatnonzero(new), len(at))) - 1
+    size = np.append(np.zeros(int((~again).sum()), np.int64), size)
+    pick = np.append(np.flatnonzero(~again), at[new])
+    more = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(x[at[~new], 2].astype(np.int32)))
+    cols = [x[pick, 0], v[pick].view(np.int64), x[pick, 2].astype(np.int32), x[pick, 3], x[pick, 4].astype(np.int32)]
+    return pa.RecordBatch.from_arrays([*map(pa.array, cols), more], ["doc_id", "h", "p", "ref0", "q0", "more"])
+
+
+def document_runs(found: DataFrame) -> DataFrame:
+    """(doc_id, h, p, ref0, q0, more): runs of 2, 4, 8, .. seeds of ``found(doc_id, h, p,
+    ref, q)`` in a row, with the first place of their first seed.  A run is one row of a
+    document, ``more`` its places there after ``p``, mostly none: a line that comes
+    again and again makes few runs, each in many places.
 
     Seeds too far apart for a chain are in no run together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,29 +269,33 @@ def runs(found: DataFrame) -> DataFrame:
                 at = np.flatnonzero(row[:len(v)] == row[n - 1:])
                 if not len(at):
                     break
-                cols = [x[at, 0], v[at].view(np.int64), x[at, 2].astype(np.int32), x[at, 3], x[at, 4].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "h", "p", "ref0", "q0"])
+                yield _once(x[at], v[at])
 
     ordered = found.select("doc_id", "h", "p", "ref", "q").repartition("doc_id").sortWithinPartitions("doc_id", "p", "h")
-    return ordered.mapInArrow(run, "doc_id long, h long, p int, ref0 long, q0 int")
+    return ordered.mapInArrow(run, "doc_id long, h long, p int, ref0 long, q0 int, more array<int>")
+
+
+def runs(found: DataFrame) -> DataFrame:
+    """(doc_id, h, p, ref0, q0): the rows of ``document_runs`` place by place."""
+    return document_runs(found).select("doc_id", "h", F.explode(F.concat(F.array("p"), "more")).alias("p"), "ref0", "q0")
 
 
 def run_links(found: DataFrame) -> DataFrame:
-    """(doc_id, ref, p, q): links to earlier documents by the rows of ``runs``, but for
-    those to the first place of a run's first seed, which that seed has itself.  Nearly
+    """(doc_id, ref, p, q): links to earlier documents by the rows of ``document_runs``, but
+    for those to the first place of a run's first seed, which that seed has itself.  Nearly
     all runs of near copies are such, so none of them leaves the pass."""
     def rows(x: np.ndarray, ref: np.ndarray, q: np.ndarray, frequent: bool) -> pa.RecordBatch:
         new = (x[:, 0] != ref) & ((ref != x[:, 3]) | (q != x[:, 4]))
         cols = [x[new, 0], ref[new], x[new, 2].astype(np.int32), q[new].astype(np.int32)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "ref", "p", "q"])
 
-    return _paired(found.select("doc_id", "h", "p", "ref0", "q0"), rows, "doc_id long, ref long, p int, q int")
+    return _paired(found.select("doc_id", "h", "p", "ref0", "q0", "more"), rows, "doc_id long, ref long, p int, q int")
 
 
 def links(found: DataFrame) -> DataFrame:
     """(doc_id, ref, p, q) of ``found``, the rows of ``shared``, and of the runs of its
     frequent seeds (see above what stays)."""
-    return first_links(found).unionByName(run_links(runs(found.where("frequent"))))
+    return first_links(found).unionByName(run_links(document_runs(found.where("frequent"))))
 
 
 # --- Chains ------------------------------------------------------------------------

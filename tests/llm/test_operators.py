@@ -800,6 +800,59 @@ def test_runs_of_near_copies_make_links_alone(spark, monkeypatch):
     assert size[160] < 3 * size[80]  # in proportion to the copies
 
 
+def test_runs_of_a_repeated_line_are_one_row_a_document(spark, monkeypatch):
+    made = []
+    plain = type(spark.range(1)).mapInArrow
+
+    def noted(self, *args, **kwargs):
+        made.append(plain(self, *args, **kwargs))
+        return made[-1]
+
+    rng, rows, places = random.Random(67), {}, {}
+    word = lambda: f"{rng.choice(STOCK)}{rng.randrange(10**8)}"
+    line, other = ([word() for _ in range(12)] for _ in range(2))
+    for times in (40, 80):  # of the line in each document; one line in two more of them
+        docs = [(n, " ".join([word() for _ in range(20)] + line * (times + n) + other * (n % 7 == 3) + line * 3 + [word() for _ in range(20)]),
+                 "en", "a", 0) for n in range(14)]
+        found = substring.shared(substring.seeds(frame(spark, docs).select("doc_id", "text"))).cache()
+        by_doc: dict[int, list] = {}
+        for x in sorted(map(tuple, found.where("frequent").select("doc_id", "p", "h", "ref", "q").collect())):
+            by_doc.setdefault(x[0], []).append(x[1:])
+        at_run: dict[tuple, list] = {}
+        for d, own in by_doc.items():
+            for k in range(1, 12):
+                for i in range(len(own) - 2**k + 1):
+                    part = own[i:i + 2**k]
+                    if all(b[0] - a[0] <= substring.MAX_GAP + substring.K for a, b in zip(part, part[1:])):
+                        at_run.setdefault(tuple(x[1] for x in part), []).append((d, part[0][0], *part[0][2:]))
+        want = [tuple(r) for r in found.where("doc_id <> ref").select("doc_id", "ref", "p", "q").collect()]
+        for at in at_run.values():
+            for n, (d, p, ref, q) in enumerate(at):
+                want += [(d, e[0], p, e[1]) for e in (at[:1] if len(at) > substring.FEW else at[:n]) if e[0] < d and e[:2] != (ref, q)]
+        with monkeypatch.context() as m:
+            m.setattr(type(found), "mapInArrow", noted)
+            got = substring.links(found)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+        assert sorted((d, p, ref, q) for at in at_run.values() for d, p, ref, q in at) == sorted(
+            (r["doc_id"], r["p"], r["ref0"], r["q0"]) for r in substring.runs(found.where("frequent")).collect())
+        rows[times], places[times] = made[-2].count(), sum(map(len, at_run.values()))  # the runs that are dealt out
+        assert rows[times] == sum(len({x[0] for x in at}) for at in at_run.values()) < 0.2 * places[times]
+        found.unpersist()
+    assert places[80] > 1.9 * places[40] and rows[80] < 1.5 * rows[40]  # as its length doubles
+
+
+def test_places_come_in_parts():
+    rng = random.Random(71)
+    rows = [(n // 3, n, 100 * n, [100 * n + k + 1 for k in range(rng.choice((0, 0, 1, 9, 40)))]) for n in range(60)]
+    batch = pa.table({"doc_id": [r[0] for r in rows], "h": [r[1] for r in rows], "p": [r[2] for r in rows], "ref0": [7] * 60,
+                      "more": pa.array([r[3] for r in rows], pa.list_(pa.int32()))}).to_batches()[0]
+    for part in (batch, batch.slice(17, 20), batch.slice(60)):
+        own = rows[17:37] if len(part) == 20 else rows[:len(part)]
+        want = [[d, h, x, 7] for d, h, p, more in own for x in [p, *more]]
+        for most in (1, 16, 1 << 16):
+            assert np.concatenate(list(substring._places(part, most))).tolist() == want
+
+
 def test_reaches_hold_every_segment():
     rng = np.random.default_rng(53)
     x = rng.integers(0, 256, 80 * 300).astype(np.uint8)
